@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("q_tokens", "q_secrets", "q_bpe", "q_fingerprints", "q_packing", "q_topk", "q_neardup", "q_cdc", "q_pii")
+MODULES = ("q_tokens", "q_secrets", "q_bpe", "q_fingerprints", "q_packing", "q_topk", "q_neardup", "q_cdc", "q_pii", "q_quality")
 
 
 def queries() -> dict:
