@@ -89,7 +89,8 @@ def verified(pairs: DataFrame, docs: DataFrame, key: str, text: str, size: int =
     members = pairs.join(sizes, "lead").select("id", "lead", F.pmod(F.xxhash64("id"), F.col("parts")).alias("part"), F.lit(1).alias("role"))
     heads = sizes.select(F.col("lead").alias("id"), "lead", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.lit(0).alias("role"))
     texts = text_of(docs, key, text=text).where(F.col(key).isNotNull()).withColumnsRenamed({key: "id", text: "body"})
-    rows = members.unionByName(heads).join(texts, "id").select("lead", "part", "role", "id", "body")
+    # the same join at every size: a broadcast of the pairs would depend on how many there are
+    rows = members.unionByName(heads).hint("merge").join(texts, "id").select("lead", "part", "role", "id", "body")
     kind = rows.schema["id"].dataType.simpleString()
 
     def each(rows_):
