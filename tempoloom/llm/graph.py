@@ -26,7 +26,7 @@ def components(edges: DataFrame) -> DataFrame:
     before, state = None, _state(now)
     while state != before and state[0]:
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        least = written(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")  # written, so that a hub's partition of the join can be split
         large = both.join(least, "a").where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = large.where(F.col("a") != F.col("b")).distinct()
         down = large.groupBy("a").agg(F.min("b").alias("m"))

@@ -78,14 +78,15 @@ def candidate_pairs(banded: DataFrame) -> DataFrame:
     """(id, lead) from (id, bands): each text with the two leaders of each of its buckets."""
     keys = banded.select("id", F.explode("bands").alias("band"))
     least = F.struct(F.xxhash64("id").alias("h"), F.col("id").alias("id"))
+    # written, so that the join with it is of two plain shuffles, whose large partitions can be split
     leads = keys.groupBy("band").agg(F.min("id").alias("first"), F.min(least).alias("other"), F.count("*").alias("n")).where("n > 1").select("band", "first", F.col("other.id").alias("other"))
-    both = keys.join(leads, "band").select("id", F.explode(F.array_distinct(F.array("first", "other"))).alias("lead"))
+    both = keys.join(written(leads, "leads").hint("merge"), "band").select("id", F.explode(F.array_distinct(F.array("first", "other"))).alias("lead"))
     return both.where(F.col("id") != F.col("lead")).distinct()
 
 
 def verified(pairs: DataFrame, docs: DataFrame, key: str, text: str, size: int = SHINGLE, likeness: float = LIKENESS) -> DataFrame:
     """The pairs (a, b) of pairs (id, lead) whose texts are alike."""
-    sizes = pairs.groupBy("lead").agg(F.ceil(F.count("*") / GROUP).alias("parts"))
+    sizes = written(pairs.groupBy("lead").agg(F.ceil(F.count("*") / GROUP).alias("parts")), "sizes")
     members = pairs.join(sizes, "lead").select("id", "lead", F.pmod(F.xxhash64("id"), F.col("parts")).alias("part"), F.lit(1).alias("role"))
     heads = sizes.select(F.col("lead").alias("id"), "lead", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.lit(0).alias("role"))
     texts = text_of(docs, key, text=text).where(F.col(key).isNotNull()).withColumnsRenamed({key: "id", text: "body"})
