@@ -273,6 +273,6 @@ def pseudonymised(docs: DataFrame, text: str = "text", length: str = "n_chars",
                     columns[n_at] = pa.array([c if x is None or len(x) == len(y) else len(y) for c, x, y in zip(n, old, new, strict=True)], type=columns[n_at].type)
                 if count:
                     columns.append(pa.array([n for _, n in done], type=pa.int64()))
-                yield pa.RecordBatch.from_arrays(columns, names=names + [count] * bool(count))
+                yield pa.RecordBatch.from_arrays(columns, names=names + ([count] if count else []))
 
-    return docs.mapInArrow(apply, StructType([*docs.schema.fields, *[StructField(count, LongType())] * bool(count)]))
+    return docs.mapInArrow(apply, StructType(docs.schema.fields + ([StructField(count, LongType())] if count else [])))
