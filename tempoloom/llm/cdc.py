@@ -92,8 +92,9 @@ def chunks(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
 def regions(parts: DataFrame) -> DataFrame:
     """(id, start, end, left, right, main_left, main_right): runs of repeated chunks; where, as (id, at), their ends occur first, and where the ends lie in the document that most of the run comes from."""
     place = F.struct("id", "start")
-    first = parts.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").select("digest", "first")
-    again = parts.join(first, "digest").where(place != F.col("first")).select("id", "start", (F.col("start") + F.col("size")).alias("end"), F.col("first.id").alias("of"), F.col("first.start").alias("at"))
+    # written, so that the join with it is of two plain shuffles, whose large partitions can be split
+    first = written(parts.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").select("digest", "first"), "first")
+    again = parts.hint("merge").join(first, "digest").where(place != F.col("first")).select("id", "start", (F.col("start") + F.col("size")).alias("end"), F.col("first.id").alias("of"), F.col("first.start").alias("at"))
     again = again.withColumn("till", F.col("at") + F.col("end") - F.col("start"))
     order = Window.partitionBy("id").orderBy("start")
     run = again.withColumn("begins", F.coalesce(F.lag("end").over(order) < F.col("start"), F.lit(True)))
