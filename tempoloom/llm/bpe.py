@@ -112,14 +112,19 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
 
 
 class _Merged(dict):
+    """Ids of pre-tokens: those met lately, and behind them a generation of those met before."""
+
     def __init__(self, ranks: dict[bytes, int]):
         super().__init__()
-        self.ranks = ranks
+        self.ranks, self.older = ranks, {}
 
     def __missing__(self, token: str) -> tuple[int, ...]:
-        ids = merge(token.encode(), self.ranks)
+        ids = self.older.get(token)
+        if ids is None:
+            ids = merge(token.encode(), self.ranks)
         if len(token) <= KEPT_CHARS:
-            if len(self) >= KEPT:
+            if len(self) >= KEPT // 2:
+                self.older = dict(self)
                 self.clear()
             self[token] = ids
         return ids
