@@ -84,6 +84,25 @@ def metadata_view(values: tuple, length: float | None) -> np.ndarray:
     return out
 
 
+def _newton(z: np.ndarray, target: np.ndarray, importance: np.ndarray, ridge: np.ndarray, start: np.ndarray, steps: int = 50) -> np.ndarray:
+    """The weights of least logistic loss plus ridge times the squared distance from start; steps that don't lower it are halved."""
+    def loss(w):
+        odds = z @ w
+        return float((importance * (np.logaddexp(0, odds) - target * odds)).sum() + 0.5 * (ridge * (w - start) ** 2).sum())
+
+    w, now = start.copy(), loss(start)
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
+        slope = z.T @ (importance * (target - p)) - ridge * (w - start)
+        step = np.linalg.solve((z * (importance * np.maximum(p * (1 - p), 1e-9))[:, None]).T @ z + np.diag(ridge), slope)
+        while (after := loss(w + step)) > now and np.abs(step).max() > 1e-9:
+            step = step / 2
+        if after >= now - 1e-9:
+            break
+        w, now = w + step, after
+    return w
+
+
 @dataclass
 class Logistic:
     """A logistic classifier on standardised features, with Platt scaling of its log odds."""
@@ -99,16 +118,9 @@ class Logistic:
         mean, scale = x.mean(axis=0), x.std(axis=0)
         scale[scale < 1e-9] = 1
         z = np.column_stack([np.clip((x - mean) / scale, -8, 8), np.ones(len(x))])
-        w = np.zeros(z.shape[1])
-        ridge = np.full(len(w), penalty)
+        ridge = np.full(z.shape[1], penalty)
         ridge[-1] = 1e-6
-        for _ in range(25):  # Newton's steps
-            p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-            h = (z * (importance * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ z + np.diag(ridge)
-            step = np.linalg.solve(h, z.T @ (importance * (y - p)) - ridge * w)
-            w += step
-            if np.abs(step).max() < 1e-6:
-                break
+        w = _newton(z, y, importance, ridge, np.zeros(z.shape[1]))
         return Logistic(mean, scale, w)
 
     def odds(self, x: np.ndarray) -> np.ndarray:
@@ -121,15 +133,7 @@ class Logistic:
         z = self.odds(x)
         low, high = (1 / ((y == 0).sum() + 2), 1 - 1 / ((y == 1).sum() + 2))
         target = np.where(y == 1, high, low)
-        a, b = 1.0, 0.0
-        design = np.column_stack([z, np.ones(len(z))])
-        for _ in range(50):
-            p = 1 / (1 + np.exp(-np.clip(a * z + b, -30, 30)))
-            h = (design * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ design + np.diag([1e-3, 1e-6])
-            step = np.linalg.solve(h, design.T @ (target - p) - np.array([1e-3 * (a - 1), 0]))
-            a, b = a + step[0], b + step[1]
-            if np.abs(step).max() < 1e-6:
-                break
+        a, b = _newton(np.column_stack([z, np.ones(len(z))]), target, np.ones(len(z)), np.array([1e-2, 1e-6]), np.array([1.0, 0.0]))
         self.slope, self.shift = max(a, 0.0), b
 
 
@@ -180,7 +184,8 @@ def co_train(views: tuple[np.ndarray, np.ndarray], y: np.ndarray, pool: tuple[np
             sure = np.flatnonzero((np.abs(odds) >= _logit(confident)) & (given[1 - v] < 0))
             best = sure[np.argsort(-np.abs(odds[sure]), kind="stable")][:handed]
             given[1 - v][best] = odds[best] > 0
-    return Model(models[0], models[1], _logit(share))
+    # the prior of the documents that both views were calibrated on
+    return Model(models[0], models[1], _logit((y[check].sum() + 1) / (cut + 2)))
 
 
 def _number(docs: DataFrame, length: str):
