@@ -178,11 +178,11 @@ KINDS: tuple[tuple[str, str, Callable[[str, bytes], str | None]], ...] = (
     ("date", r"(?<![\d./-])(?:\d{4}-\d{1,2}-\d{1,2}|\d{4}/\d{1,2}/\d{1,2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}-\d{1,2}-\d{4})(?![\d/-]|\.\d)", _date),
     ("ip", r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d)", _ip),
     ("ssn", r"(?<![\d-])\d{3}([- ])\d{2}\1\d{4}(?![\d-])", _ssn),
-    ("phone", r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{2,4})[ .-]\d{3,4}[ .-]\d{4}(?![\d-])|(?<![\w+])\+\d{9,15}(?!\d)", _phone),
     ("card", r"(?<![\w.])\d(?:[ -]?\d){12,18}(?!\w|[.-]?\d)", _card),
+    ("phone", r"(?<![\w+])(?<!\d[ .-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{2,4})[ .-]\d{3,4}[ .-]\d{4}(?![\d-])(?![ .]\d)|(?<![\w+])\+\d{9,15}(?!\d)", _phone),
 )
 _PATTERNS = tuple((name, re.compile(p), fn) for name, p, fn in KINDS)
-_ANY_DIGIT = re.compile(r"\d{2}")
+_ANY_DIGIT = re.compile(r"\d")
 
 
 class Pseudonyms:
