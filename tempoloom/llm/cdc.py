@@ -1,8 +1,10 @@
 """Substring dedup by content-defined chunking with a gear rolling hash.
 
-A boundary stands after each code point where the gear hash of the last 32 code
-points has ``BITS`` zero bits on top, so chunks of about 2**BITS code points
-follow the content and come back into step after an insertion. A chunk whose
+A boundary stands after each code point whose gear hash, of the last 16 code
+points, is the greatest within ``RADIUS`` code points to either side. Chunks are
+about 2 * RADIUS code points long, rarely very short or long, follow the content
+and come back into step after an insertion: a shared passage has equal
+boundaries from 16 + RADIUS code points after its begin to RADIUS before its end. A chunk whose
 digest occurs earlier - in a document with a smaller key, or before in the same
 one - is a repeat of its first occurrence.
 
@@ -30,28 +32,42 @@ from pyspark.sql import functions as F
 
 from .common import code_points, map_rows, seeds, text_of, written
 
-BITS, LONGEST = 5, 1024
+RADIUS, LONGEST = 16, 1024
 #: Words from which a repeated region counts, and code points of chunks that a region needs to be looked at.
 WORDS, LEAST = 50, 64
 #: Code points around an end of a region that are compared; a longer shared stretch has a boundary and so a chunk of its own, but for texts without any.
 AROUND = 512
-_GEAR = (seeds(256, 3) >> np.uint64(32)).astype(np.uint32)
+_GEAR = (seeds(256, 3) >> np.uint64(48)).astype(np.uint16)
 _HIGH = np.uint32(0x9E3779B1)
 
 
-def cut_points(points: np.ndarray, bits: int = BITS, longest: int = LONGEST) -> list[int]:
+def gear_hashes(points: np.ndarray) -> np.ndarray:
+    """The gear hash up to each code point, in 16 bits, so that it holds the last 16: h = 2 * h before + gear."""
+    h = _GEAR[points & np.uint32(255)] + ((points >> np.uint32(8)) * _HIGH >> np.uint32(16)).astype(np.uint16)
+    for i in range(4):  # after i steps h covers 2**i code points
+        w = 1 << i
+        if len(h) > w:
+            more = h.copy()
+            more[w:] += h[:-w] << np.uint16(w)
+            h = more
+    return h
+
+
+def cut_points(points: np.ndarray, radius: int = RADIUS, longest: int = LONGEST) -> list[int]:
     """The ends of the chunks of a text with these code points."""
     n = len(points)
     if not n:
         return []
-    h = _GEAR[points & np.uint32(255)] + (points >> np.uint32(8)) * _HIGH
-    for i in range(5):  # after i steps h covers 2**i code points: sum of gear << distance
-        w = 1 << i
-        if n > w:
-            more = h.copy()
-            more[w:] += h[:-w] << np.uint32(w)
-            h = more
-    ends = np.flatnonzero(h >> np.uint32(32 - bits) == 0) + 1
+    h = gear_hashes(points)
+    padded = np.zeros(n + 2 * radius, dtype=h.dtype)
+    padded[radius : radius + n] = h
+    top, w = padded, 1  # top[i]: the greatest of padded[i : i + w]
+    while w < radius:
+        step = min(w, radius - w)
+        top = np.maximum(top[: len(top) - step], top[step:])
+        w += step
+    # of equal hashes the first counts, so that a periodic text has no boundaries
+    ends = np.flatnonzero((h > top[:n]) & (h >= top[radius + 1 : radius + 1 + n])) + 1 if n > 1 else np.array([n])
     if not len(ends) or ends[-1] != n:
         ends = np.append(ends, n)
     sizes = np.diff(ends, prepend=0)
@@ -155,7 +171,7 @@ def extended(found: DataFrame, around: DataFrame, words: int = WORDS) -> DataFra
     for p, place in (own | {"l": F.col("left"), "r": F.col("right"), "ml": F.col("main_left"), "mr": F.col("main_right")}).items():
         rows = rows.withColumn(f"{p}_place", place).join(side(p), f"{p}_place")
     texts = [f"{p}_{x}" for p in ("s", "e", "l", "r", "ml", "mr") for x in ("before", "after")]
-    rows = rows.select("id", "start", "end", F.col("left.id").alias("first_id"), (F.col("e_words") - F.col("s_words")).alias("words"), *texts)
+    rows = rows.select("id", "start", "end", F.col("main_left.id").alias("first_id"), (F.col("e_words") - F.col("s_words")).alias("words"), *texts)
     kind = rows.schema["id"].dataType.simpleString()
 
     def each(rows_):
