@@ -29,8 +29,8 @@ from pyspark.sql import DataFrame
 from .common import U64, code_points, mix64, seeds, text_of
 
 _MASKS = np.array([(1 << (8 * i)) - 1 for i in range(9)], dtype=U64)
-#: Entries of the table of merged pre-tokens, and the longest pre-token kept in it.
-KEPT, KEPT_CHARS = 400_000, 40
+#: Entries of the table of merged pre-tokens, and the bytes of the longest pre-token kept in it.
+KEPT, KEPT_BYTES = 400_000, 40
 
 
 class PerfectHash:
@@ -111,6 +111,58 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
     return tuple(out)
 
 
+#: The pattern of contractions, words, numbers, other signs and white space that byte-level vocabularies use; it is cut without the regular expression.
+COMMON_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+_SPACE, _LETTER, _NUMBER, _OTHER = range(4)
+
+
+@cache
+def _classes() -> np.ndarray:
+    """Of each code point: white space, letter, number or other."""
+    out = np.full(0x110000, _OTHER, dtype=np.uint8)
+    usable = "".join(map(chr, (*range(0xD800), *range(0xE000, 0x110000))))
+    for kind, pattern in ((_LETTER, r"\p{L}+"), (_NUMBER, r"\p{N}+"), (_SPACE, r"\s+")):
+        for m in regex.finditer(pattern, usable):
+            out[code_points(m[0])] = kind
+    return out
+
+
+def common_starts(points: np.ndarray, texts: np.ndarray) -> np.ndarray:
+    """Where the matches of COMMON_PATTERN begin in texts put one after the other; texts: where each non-empty one begins.
+
+    A run of one class is a match, with a blank before it if there is one. Of
+    white space before other signs the last one stands apart, as it is that
+    blank or a match of its own. An apostrophe that begins a match takes the
+    letters of a contraction from the word after it.
+    """
+    n = len(points)
+    kind = _classes()[points]
+    first = np.zeros(n + 1, dtype=bool)
+    first[texts] = first[n] = True
+    new = first[:n].copy()
+    new[1:] |= kind[1:] != kind[:-1]
+    space, blank = kind == _SPACE, points == 32
+    after_blank = np.zeros(n, dtype=bool)
+    after_blank[1:] = blank[:-1] & ~first[1:n]
+    before_other = np.zeros(n, dtype=bool)
+    before_other[:-1] = ~space[1:] & ~first[1:n]
+    start = np.where(space, new | before_other, new & ~after_blank)
+    at = np.flatnonzero((points == 39) & start)
+    at = at[~first[at + 1]] if len(at) else at
+    if len(at):
+        one = points[at + 1]
+        inside = ~first[at + 2]  # first[n] is true, and at + 1 < n here
+        two = np.where(inside, points[np.minimum(at + 2, n - 1)], 0)
+        letters = lambda c: sum((one == ord(x) for x in c), np.zeros(len(at), dtype=bool))
+        short = letters("stmd")
+        long = ((one == ord("r")) | (one == ord("v"))) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))
+        start[at[short | long] + 1] = False
+        begin = np.append(start, True)
+        begin[at[short] + 2] = begin[at[long] + 3] = True
+        start = begin[:n]
+    return np.flatnonzero(start)
+
+
 class _Merged(dict):
     """Ids of pre-tokens: those met lately, and behind them a generation of those met before."""
 
@@ -118,11 +170,11 @@ class _Merged(dict):
         super().__init__()
         self.ranks, self.older = ranks, {}
 
-    def __missing__(self, token: str) -> tuple[int, ...]:
+    def __missing__(self, token: bytes) -> tuple[int, ...]:
         ids = self.older.get(token)
         if ids is None:
-            ids = merge(token.encode(), self.ranks)
-        if len(token) <= KEPT_CHARS:
+            ids = merge(token, self.ranks)
+        if len(token) <= KEPT_BYTES:
             if len(self) >= KEPT // 2:
                 self.older = dict(self)
                 self.clear()
@@ -136,7 +188,7 @@ class Codec:
     def __init__(self, path: str, pattern: str):
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in (x.split() for x in f if x.strip())}
-        self.pattern = regex.compile(pattern)
+        self.pattern, self.common = regex.compile(pattern), pattern == COMMON_PATTERN
         self.merged = _Merged(self.ranks)
         self.token = {i: t for t, i in self.ranks.items()}
         short = [(t, i) for t, i in self.ranks.items() if len(t) <= 16]
@@ -150,36 +202,53 @@ class Codec:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in one array, and where those of each text begin (with the end at last)."""
-        tokens: list[str] = []
-        per_text = np.zeros(len(texts) + 1, dtype=np.int64)
-        for i, t in enumerate(texts):
-            tokens += self.pattern.findall(t)
-            per_text[i + 1] = len(tokens)
-        if not tokens:
+        joined = "".join(texts)
+        if not joined:
             return np.empty(0, dtype=np.int32), np.zeros(len(texts) + 1, dtype=np.int64)
-        joined = "".join(tokens)
-        ends = np.cumsum(np.fromiter(map(len, tokens), dtype=np.int64, count=len(tokens)))
-        if not joined.isascii():
-            points = code_points(joined)
-            ends = np.cumsum(1 + (points > 0x7F).astype(np.int64) + (points > 0x7FF) + (points > 0xFFFF))[ends - 1]
-        starts = np.concatenate(([0], ends[:-1]))
-        lengths = ends - starts
-        first, second = _words(joined.encode(), starts, lengths)
-        at = self.hash(_key(first, second, lengths))
+        begin = np.cumsum([0, *map(len, texts)])  # of each text, in code points
+        points = code_points(joined)
+        if self.common:
+            starts = common_starts(points, begin[:-1][begin[:-1] < begin[1:]])
+        else:
+            sizes = [len(x) for t in texts for x in self.pattern.findall(t)]
+            starts = np.cumsum([0, *sizes[:-1]])
+        of_text = np.searchsorted(starts, begin)
+        data = joined.encode()
+        if len(data) > len(points):
+            size = np.cumsum(1 + (points > 0x7F).astype(np.int64) + (points > 0x7FF) + (points > 0xFFFF))
+            starts = np.where(starts > 0, size[starts - 1], 0)
+        lengths = np.diff(starts, append=len(data))
+        first, second = _words(data, starts, lengths)
+        key = _key(first, second, lengths)
+        at = self.hash(key)
         hit = (at >= 0) & (self.first[at] == first) & (self.second[at] == second) & (self.length[at] == lengths)
         missed = np.flatnonzero(~hit)
-        other = [self.merged[tokens[i]] for i in missed.tolist()]
-        counts = np.ones(len(tokens), dtype=np.int64)
-        counts[missed] = np.fromiter(map(len, other), dtype=np.int64, count=len(other))
-        begin = np.concatenate(([0], np.cumsum(counts)))
-        ids = np.empty(begin[-1], dtype=np.int32)
+        # a pre-token of up to 16 bytes is looked up once in a batch, a longer one each time
+        short = lengths[missed] <= 16
+        _, one, which = np.unique(key[missed[short]], return_index=True, return_inverse=True)
+        one = missed[short][one]
+        which = which + int((~short).sum())
+        order = np.empty(len(missed), dtype=np.int64)
+        order[short], order[~short] = which, np.arange(int((~short).sum()))
+        looked = np.concatenate((missed[~short], one))
+        same = (first[missed] == first[looked[order]]) & (second[missed] == second[looked[order]]) & (lengths[missed] == lengths[looked[order]])
+        apart = np.flatnonzero(~same)  # as good as never: equal keys of different bytes
+        order[apart] = len(looked) + np.arange(len(apart))
+        looked = np.concatenate((looked, missed[apart]))
+        other = [self.merged[data[s : s + n]] for s, n in zip(starts[looked].tolist(), lengths[looked].tolist(), strict=True)]
+        each = np.fromiter(map(len, other), dtype=np.int64, count=len(other))
+        counts = np.ones(len(starts), dtype=np.int64)
+        counts[missed] = each[order]
+        to = np.concatenate(([0], np.cumsum(counts)))
+        ids = np.empty(to[-1], dtype=np.int32)
         whole = np.flatnonzero(hit)
-        ids[begin[whole]] = self.id[at[whole]]
+        ids[to[whole]] = self.id[at[whole]]
         if other:
             flat = np.fromiter(chain.from_iterable(other), dtype=np.int32)
             n = counts[missed]
-            ids[np.repeat(begin[missed] - (np.cumsum(n) - n), n) + np.arange(len(flat))] = flat
-        return ids, begin[per_text]
+            within = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+            ids[np.repeat(to[missed], n) + within] = flat[np.repeat((np.cumsum(each) - each)[order], n) + within]
+        return ids, to[of_text]
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.token.__getitem__, ids))
@@ -191,7 +260,7 @@ def codec(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
 
 
-def _groups(texts: list[str], most: int = 1 << 19) -> Iterator[tuple[int, int]]:
+def _groups(texts: list[str], most: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about ``most`` characters together."""
     begin = size = 0
     for i, t in enumerate(texts):

@@ -163,6 +163,24 @@ def test_encoding_equals_the_library(codec, reference, texts):
         assert own == reference.encode_ordinary(t) and codec.decode(own) == t.encode()
 
 
+@settings(max_examples=600, deadline=None)
+@given(texts=st.lists(st.text(alphabet="'' stmdrevl\n\tA1½!\u00a0\u3000é東\u0301😀", max_size=25), max_size=5))
+def test_cutting_equals_the_regular_expression(codec, texts):
+    import regex
+
+    assert public_tokenizers.PATTERN == bpe.COMMON_PATTERN
+    texts = [t for t in texts if t]
+    begin = np.cumsum([0, *map(len, texts)])
+    want = [int(b) + m.start() for b, t in zip(begin, texts, strict=False) for m in regex.finditer(bpe.COMMON_PATTERN, t)]
+    assert not texts or bpe.common_starts(code_points("".join(texts)), begin[:-1]).tolist() == want
+
+
+def test_other_patterns_are_cut_by_the_regular_expression(codec):
+    own = bpe.Codec(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), r"\S+|\s+")
+    ids, at = own.encode(["it's 10:30", "", "x"])
+    assert own.decode(ids[at[0] : at[1]].tolist()) == b"it's 10:30" and at[1] == at[2] and len(at) == 4
+
+
 def test_round_trip_query(spark, documents, reference):
     got = {r.doc_id: r for r in op4_bpe_round_trip(spark, documents[0]).collect()}
     for k, t in documents[2].items():
