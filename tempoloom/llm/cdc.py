@@ -35,8 +35,8 @@ from .common import code_points, map_rows, seeds, text_of, written
 RADIUS, LONGEST = 16, 1024
 #: Words from which a repeated region counts, and code points of chunks that a region needs to be looked at.
 WORDS, LEAST = 50, 64
-#: Code points around an end of a region that are compared; a longer shared stretch has a boundary and so a chunk of its own, but for texts without any.
-AROUND = 512
+#: Code points around an end of a region that are compared: more than a chunk and the reach of its boundaries, so a longer shared stretch has a chunk of its own, but for texts without boundaries.
+AROUND = 192
 _GEAR = (seeds(256, 3) >> np.uint64(48)).astype(np.uint16)
 _HIGH = np.uint32(0x9E3779B1)
 
@@ -109,7 +109,7 @@ def regions(parts: DataFrame) -> DataFrame:
     """(id, start, end, left, right, main_left, main_right): runs of repeated chunks; where, as (id, at), their ends occur first, and where the ends lie in the document that most of the run comes from."""
     place = F.struct("id", "start")
     # written, so that the join with it is of two plain shuffles, whose large partitions can be split
-    first = written(parts.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").select("digest", "first"), "first")
+    first = written(parts.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first"), "first")
     again = parts.hint("merge").join(first, "digest").where(place != F.col("first")).select("id", "start", (F.col("start") + F.col("size")).alias("end"), F.col("first.id").alias("of"), F.col("first.start").alias("at"))
     again = again.withColumn("till", F.col("at") + F.col("end") - F.col("start"))
     order = Window.partitionBy("id").orderBy("start")
@@ -165,17 +165,21 @@ def common_suffix(a: str, b: str) -> int:
 
 def extended(found: DataFrame, around: DataFrame, words: int = WORDS) -> DataFrame:
     """(id, start, end, words, first_id) of the regions that, extended to the whole passage, have enough words."""
-    side = lambda p: around.select(F.struct("id", "at").alias(f"{p}_place"), F.col("before").alias(f"{p}_before"), F.col("after").alias(f"{p}_after"), F.col("words").alias(f"{p}_words"))
+    # a row for each end and place, one join with their surroundings, and back together by region
     own = {"s": F.struct("id", F.col("start").alias("at")), "e": F.struct("id", F.col("end").alias("at"))}
-    rows = found
-    for p, place in (own | {"l": F.col("left"), "r": F.col("right"), "ml": F.col("main_left"), "mr": F.col("main_right")}).items():
-        rows = rows.withColumn(f"{p}_place", place).join(side(p), f"{p}_place")
-    texts = [f"{p}_{x}" for p in ("s", "e", "l", "r", "ml", "mr") for x in ("before", "after")]
-    rows = rows.select("id", "start", "end", F.col("main_left.id").alias("first_id"), (F.col("e_words") - F.col("s_words")).alias("words"), *texts)
+    places = own | {"l": F.col("left"), "r": F.col("right"), "ml": F.col("main_left"), "mr": F.col("main_right")}
+    ends = found.select("id", "start", "end", F.col("main_left.id").alias("first_id"), F.explode(F.array(*(F.struct(F.lit(k).alias("k"), p.alias("p")) for k, p in places.items()))).alias("x"))
+    near = around.select(F.col("id").alias("p_id"), F.col("at").alias("p_at"), "before", "after", F.col("words").alias("n"))
+    ends = ends.select("id", "start", "end", "first_id", F.col("x.k").alias("k"), F.col("x.p.id").alias("p_id"), F.col("x.p.at").alias("p_at")).hint("merge").join(near, ["p_id", "p_at"])
+    of = lambda k, *c: F.max(F.when(F.col("k") == k, F.struct(*c))).alias(k)
+    sides = {"s": ("before", "after", "n"), "e": ("before", "after", "n"), "l": ("before",), "r": ("after",), "ml": ("before", "after"), "mr": ("before", "after")}
+    whole = ends.groupBy("id", "start").agg(F.max("end").alias("end"), F.max("first_id").alias("first_id"), *(of(k, *c) for k, c in sides.items()))
+    texts = [f"{k}.{c}" for k, cs in sides.items() for c in cs if c != "n"]
+    rows = whole.select("id", "start", "end", "first_id", (F.col("e.n") - F.col("s.n")).alias("words"), *(F.col(t).alias(t.replace(".", "_")) for t in texts))
     kind = rows.schema["id"].dataType.simpleString()
 
     def each(rows_):
-        for i, start, end, first, n, own_before, s_after, e_before, own_after, l_before, _, _, r_after, ml_before, ml_after, mr_before, mr_after in rows_:
+        for i, start, end, first, n, own_before, s_after, e_before, own_after, l_before, r_after, ml_before, ml_after, mr_before, mr_after in rows_:
             same = min(LEAST, end - start)  # the main source counts at an end only if the text within the region is the same there
             left = common_suffix(own_before, l_before)
             if common_prefix(s_after, ml_after) >= same:
