@@ -83,3 +83,9 @@ def quantised(start: Column, end: Column) -> tuple[Column, Column]:
 def linspace_int(low: Column, high: Column, i: Column, n: int) -> Column:
     """The i-th of n whole numbers spread over low..high, fractions cut off."""
     return low.cast("int") if n <= 1 else (low + (high - low) * i / F.lit(float(n - 1))).cast("int")
+
+
+def class_name(class_id: Column, names: list[str]) -> Column:
+    """The name of a class; an id out of range is an error."""
+    bad = F.raise_error(F.concat(F.lit("no such class: "), class_id.cast("string")))
+    return F.when(class_id.between(0, len(names) - 1), F.get(F.array(*(F.lit(n) for n in names)), class_id)).otherwise(bad)

@@ -104,3 +104,16 @@ def window_scores(windows: DataFrame, frames: DataFrame, logits: str = "logits")
     pos = windows.select("video_id", "win_start", "win_end", F.explode(F.sequence(F.lit(0), F.col("win_end") - F.col("win_start") - 1)).alias("pos")).withColumn("frame", F.col("win_start") + F.col("pos"))
     return pos.join(frames.select("video_id", "frame", F.posexplode(logits).alias("class_id", "logit")), ["video_id", "frame"])
 
+
+
+def window_accuracy(rows: DataFrame) -> DataFrame:
+    """(label, n, accuracy) of window rows (label, pred), without the padding."""
+    return rows.where(F.col("label") != IGNORE).groupBy("label").agg(F.count("*").alias("n"), F.avg((F.col("pred") == F.col("label")).cast("double")).alias("accuracy"))
+
+
+def hard_negative_videos(frames: DataFrame, entries: DataFrame, label: str = "label") -> DataFrame:
+    """(video_id) of the videos that are all background and whose entry (polarity, hard_negative_eligible) is a negative, eligible scene; texts for yes count as yes."""
+    quiet = frames.groupBy("video_id").agg(F.every(F.coalesce(F.col(label) == BACKGROUND, F.lit(False))).alias("_quiet")).where("_quiet").select("video_id")
+    yes = F.coalesce(F.lower(F.trim(F.col("hard_negative_eligible").cast("string"))).isin("1", "true", "yes", "y"), F.lit(False))
+    fit = entries.where((F.lower(F.trim("polarity")) == "negative") & yes).select("video_id").distinct()
+    return quiet.join(fit, "video_id")

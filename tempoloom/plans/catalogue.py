@@ -709,3 +709,61 @@ def annotation_conflicts(spark, sf):
     f = event_frames(spark, sf)
     entries = f.select("video_id").distinct().withColumn("polarity", F.when(F.col("video_id") % 5 == 0, "negative").otherwise("positive"))
     return catalog.conflicts(f, entries)
+
+
+@_query(f"WITH {E}, q AS (SELECT video_id FROM e GROUP BY 1 HAVING bool_and(label = 14 OR video_id % 4 = 0)) SELECT video_id FROM q WHERE video_id % 3 = 0 AND video_id % 2 = 0")
+def hard_negative_videos(spark, sf):
+    """A fourth of the videos stand for recordings without any action."""
+    v = F.col("video_id")
+    f = event_frames(spark, sf).withColumn("label", F.when(v % 4 == 0, 14).otherwise(F.col("label")))
+    entries = f.select("video_id").distinct().select(v, F.when(v % 3 == 0, " Negative ").otherwise("positive").alias("polarity"), F.when(v % 2 == 0, "Yes").otherwise("no").alias("hard_negative_eligible"))
+    return windows.hard_negative_videos(f, entries)
+
+
+@_query(f"WITH {E}, {_windows_sql('e', 90, 30)} SELECT label, count(*) AS n, round(avg(CAST(pred = label AS INT)), 6) AS accuracy FROM w JOIN e ON e.video_id = w.video_id AND e.frame >= win_start AND e.frame < win_end GROUP BY 1")
+def window_accuracy(spark, sf):
+    f = event_frames(spark, sf)
+    return _rounded(windows.window_accuracy(windows.padded(windows.sliding_windows(windows.lengths(f), 90, 30), f, 90, ["pred"])), "accuracy")
+
+
+@_query(f"WITH {E} SELECT video_id, frame, pred, label FROM e")
+def aligned_predictions(spark, sf):
+    f = event_frames(spark, sf)
+    return evaluate.aligned(f.select("video_id", "frame", "pred"), f.select("video_id", "frame", "label"))
+
+
+@_query(f"WITH {D} SELECT video_id, CASE WHEN quality_passed THEN coalesce(status, 'none') ELSE 'missing_track' END AS status FROM d")
+def missing_tracks(spark, sf):
+    d = document_catalog(spark, sf).withColumn("status", F.coalesce("status", F.lit("none")))
+    return catalog.with_state(d, d.where("quality_passed")).select("video_id", "status")
+
+
+@_query(f"WITH {D} SELECT video_id, CASE WHEN NOT dirty THEN concat(source, '/', video_id) END AS annotation_path, concat(source, CASE WHEN dirty THEN '/NOVA project/gestures.annotation~' ELSE '/NOVA project/gestures.pred.annotation~' END) AS output_path, NOT dirty AS shadowed FROM d")
+def annotation_outputs(spark, sf):
+    """Annotations that are the engine's own are forgotten; beside the others, the output gets another name."""
+    d = document_catalog(spark, sf).withColumn("annotation_path", F.concat("source", F.lit("/"), "video_id")).withColumn("directory_path", F.col("source"))
+    out = catalog.annotation_output(catalog.own_annotations_forgotten(d, d.where("dirty").select("annotation_path")))
+    return out.select("video_id", "annotation_path", "output_path", "shadowed")
+
+
+@_query(f"WITH {D} SELECT video_id FROM d WHERE status IS NULL OR status <> 'passed'")
+def incompatible_records(spark, sf):
+    d = document_catalog(spark, sf).withColumnsRenamed({"status": "preprocess_fingerprint"}).withColumn("preprocess_config_fingerprint", F.lit(None).cast("string"))
+    return catalog.incompatible(d, ["passed"]).select("video_id")
+
+
+@_query(f"WITH {E} SELECT video_id, frame, ['click', 'purchase', 'signup'][label + 1] AS name FROM e WHERE label < 3")
+def class_names(spark, sf):
+    return event_frames(spark, sf).where("label < 3").select("video_id", "frame", S.class_name(F.col("label"), ["click", "purchase", "signup"]).alias("name"))
+
+
+@_query(f"WITH {E}, {runs('e', 'pred', 'p')}, {runs('e', 'label', 't')}, {runs('e', 'valid', 'k')} SELECT video_id, 'prediction' AS strip, seg_start, seg_end, label AS value FROM p UNION ALL SELECT video_id, 'truth', seg_start, seg_end, label FROM t UNION ALL SELECT video_id, 'tracking', seg_start, seg_end, label FROM k")
+def timeline_strips(spark, sf):
+    from ..sources import sinks
+
+    return sinks.timeline_strips(event_frames(spark, sf)).where("strip <> 'errors'")
+
+
+@_query(f"WITH {E} SELECT label, count(*) AS n FROM e GROUP BY 1")
+def label_counts(spark, sf):
+    return catalog.label_interval_counts(event_frames(spark, sf))

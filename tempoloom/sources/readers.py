@@ -90,6 +90,32 @@ def taxonomy(path: str) -> dict:
     return out
 
 
+def config(path: str, *required: str) -> dict:
+    """A config from YAML or JSON: a mapping whose required entries are mappings, too."""
+    with open(path, encoding="utf-8") as f:
+        text = f.read()
+    if path.endswith(".json"):
+        out = json.loads(text)
+    else:
+        import yaml
+
+        out = yaml.safe_load(text)
+    if not isinstance(out, dict):
+        raise ValueError(f"{path}: not a mapping")
+    if bad := [k for k in required if not isinstance(out.get(k), dict)]:
+        raise ValueError(f"{path}: no mappings {', '.join(bad)}")
+    return out
+
+
+def inputs(spark: SparkSession, paths: list[str], manifest_path: str | None = None, split: str = "test") -> list[str]:
+    """The paths to read: those given, else the files of a manifest's split."""
+    if paths:
+        return paths
+    if not manifest_path:
+        raise ValueError("neither paths nor a manifest")
+    return [r.path for r in manifest(spark, manifest_path).where(F.col("split") == split).orderBy("path").collect()]
+
+
 def inventory_jsonl(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(INVENTORY).json(path)
 
@@ -167,6 +193,18 @@ def tracks_npz(spark: SparkSession, path: str, pattern: str = "*.npz") -> DataFr
     return raw.mapInPandas(lambda b: _npz(b, read), "path string, frame int, landmarks array<float>, tracking_quality float, valid_mask float, hand_side byte, source_fps double, metadata_json string")
 
 
+def sequence_headers_npz(spark: SparkSession, path: str, pattern: str = "*.npz") -> DataFrame:
+    """(video_id, num_frames, labelled, valid_ratio, fps, source, subject_id, scene, polarity) of NPZ records, whose features are not unpacked."""
+
+    def read(path, z):
+        text = lambda k, default: str(z[k]) if k in z.files else default
+        valid = z["valid_mask"]
+        return pd.DataFrame({"video_id": [text("video_id", "")], "num_frames": [len(valid)], "labelled": ["labels" in z.files], "valid_ratio": [float((valid > 0.5).mean()) if len(valid) else 0.0], "fps": [float(z["fps"])], "source": [text("source", "")], "subject_id": [text("subject_id", "")], "scene": [text("scene", "unknown")], "polarity": [text("polarity", "unknown")]})
+
+    raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(path).select("path", "content")
+    return raw.mapInPandas(lambda b: _npz(b, read), "video_id string, num_frames int, labelled boolean, valid_ratio double, fps double, source string, subject_id string, scene string, polarity string")
+
+
 def mock_frames(spark: SparkSession, videos: int, frames: int = 200, fps: float = 15.0, miss: float = 0.08, seed: int = 0) -> DataFrame:
     """(video_id, frame, label, valid, quality, coords): made-up sequences of alternating segments, each class with movements of its own; one seed for each video."""
 

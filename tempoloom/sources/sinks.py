@@ -50,6 +50,16 @@ def group_stats_json(df: DataFrame, path: str, by: str = "grp") -> None:
     df.groupBy(by).agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("classes")).write.mode("overwrite").json(path)
 
 
+def summary_json(counts: DataFrame, path: str) -> str:
+    """The counts (field, value, n) of an inventory as one JSON document; there is a row for each value of a few fields."""
+    out: dict = {}
+    for r in counts.orderBy("field", "value").toLocalIterator():
+        out.setdefault(r["field"], {})[r["value"]] = r["n"]
+    with open(path, "w", encoding="utf-8") as f:
+        json.dump(out, f, indent=2)
+    return path
+
+
 def manifest_json(records: DataFrame, path: str, **more: object) -> str:
     """An experiment's manifest as one JSON document on the driver: an experiment lists its files by name, so it is read whole by what it is for."""
     rows = [r.asDict(recursive=True) for r in records.orderBy("split", "video_id").toLocalIterator()]

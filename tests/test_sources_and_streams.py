@@ -73,6 +73,8 @@ def test_npz_records(spark, tmp_path):
     np.savez_compressed(tmp_path / "a.npz", features=x, labels=np.array([1, 2, 14]), valid_mask=np.ones(3), video_id=np.asarray("a"), fps=np.float32(15), schema_version=np.asarray("v"), feature_names=np.asarray(feature_names()))
     got = readers.sequences_npz(spark, str(tmp_path), "v").orderBy("frame").collect()
     assert [r.label for r in got] == [1, 2, 14] and got[1].features == x[:, 1].tolist() and got[0].scene == "unknown"
+    h = readers.sequence_headers_npz(spark, str(tmp_path)).first()
+    assert (h.video_id, h.num_frames, h.labelled, h.valid_ratio, h.polarity) == ("a", 3, True, 1.0, "unknown")
     with pytest.raises(Exception, match="schema v, not w"):
         readers.sequences_npz(spark, str(tmp_path), "w").collect()
     np.savez_compressed(tmp_path / "t.track", landmarks=np.zeros((2, 21, 3)), tracking_quality=np.ones(2), valid_mask=np.array([1.0, 0.0]), source_fps=np.float32(30), metadata_json=np.asarray(json.dumps({"physical_hand": "left"})))
@@ -108,10 +110,21 @@ def test_manifest(spark, tmp_path):
     r = spark.createDataFrame([("a", "train"), ("b", "validation"), ("c", "test")], "video_id string, split string")
     path = sinks.manifest_json(r, str(tmp_path / "m.json"), seed=1)
     assert rows(readers.manifest(spark, path), "split", "path") == [("test", "c"), ("train", "a"), ("validation", "b")]
+    assert readers.inputs(spark, [], path, "train") == ["a"] and readers.inputs(spark, ["x"]) == ["x"]
     with pytest.raises(ValueError, match="test"):
         sinks.manifest_json(r.where("split <> 'test'"), path)
 
 
+def test_configs_and_summaries(spark, tmp_path):
+    p = tmp_path / "c.json"
+    p.write_text('{"a": {"b": 1}, "c": 2}')
+    assert readers.config(str(p), "a")["c"] == 2
+    with pytest.raises(ValueError, match="c"):
+        readers.config(str(p), "c")
+    counts = catalog.inventory_summary(spark.createDataFrame([("ok", "s", None), ("error", "s", "x;y")], "status string, source string, error string"), ("status", "source"))
+    assert json.loads(open(sinks.summary_json(counts, str(tmp_path / "s.json"))).read()) == {"error": {"x": 1, "y": 1}, "source": {"s": 2}, "status": {"error": 1, "ok": 1}}
+
+
 def test_latest_run(spark):
     files = spark.createDataFrame([("/o/0101/0101_1/predictions.json",), ("/o/0102/0102_3/predictions.json",), ("/o/0103/x/other.json",)], "path string")
     assert readers.latest_run(files).first().run == "/o/0102/0102_3"
