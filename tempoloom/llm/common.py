@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 U64 = np.uint64
 _GOLDEN = 0x9E3779B97F4A7C15
+#: Paths of the tables that written() has made and drop_written() hasn't deleted.
+_WRITTEN: list[str] = []
 _M1, _M2 = U64(0xBF58476D1CE4E5B9), U64(0x94D049BB133111EB)
 
 
@@ -33,10 +35,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/tempoloom/{name}-{uuid.uuid4().hex}"
     schema = df.schema
+    _WRITTEN.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 
+def drop_written(spark: SparkSession) -> None:
+    """Deletes what written() has put into the shared folder from this process; call it once the results are stored."""
+    jvm = spark.sparkContext._jvm
+    while _WRITTEN:
+        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit words whose output bits all depend on all input bits."""
     with np.errstate(over="ignore"):

@@ -112,6 +112,18 @@ def test_components(spark):
     assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_written_tables_can_be_dropped(spark):
+    from pathlib import Path
+
+    from tempoloom.llm import common
+
+    common.written(spark.range(3), "own")
+    path = Path(common._WRITTEN[-1])
+    assert path.is_dir()
+    common.drop_written(spark)
+    assert not path.exists() and not common._WRITTEN
+
+
 # ---- substring dedup ---------------------------------------------------------------
 
 
