@@ -52,8 +52,8 @@ def taxonomy_frame(spark: SparkSession, taxonomy: dict) -> DataFrame:
 def resolved_scenes(rows: DataFrame, taxonomy: DataFrame, scene_raw: str = "scene_raw") -> DataFrame:
     """rows with scene, polarity, scene_category and hard_negative_eligible; a scene that isn't listed has none, and names are never guessed by prefix."""
     t = taxonomy.select(F.col("key").alias("_key"), F.col("scene"), F.col("polarity"), F.col("category").alias("_c"), F.col("hard_negative").alias("_h"))
-    # a taxonomy is a short hand-written file, so this is a lookup in a broadcast table
-    out = rows.join(F.broadcast(t), normal_scene(F.col(scene_raw)) == F.col("_key"), "left")
+    # Spark knows the size of a taxonomy made on the driver, and broadcasts it if it is small
+    out = rows.join(t, normal_scene(F.col(scene_raw)) == F.col("_key"), "left")
     return out.withColumns({"scene_category": F.coalesce("_c", F.lit("unknown")), "hard_negative_eligible": F.coalesce("_h", F.lit(False))}).drop("_key", "_c", "_h")
 
 
@@ -74,8 +74,12 @@ def training_inventory(files: DataFrame, root: str, taxonomy: DataFrame, sources
     is_note = F.col("rel").endswith(f"{ANNOTATION_FOLDER}/{ANNOTATION_FILE}")
     notes = f.where(is_note).select("source", F.regexp_replace("dir", f"/?{ANNOTATION_FOLDER}$", "").alias("dir"), F.col("rel").alias("_note"))
     videos = f.where(F.lower("name").endswith(".mp4") & ~F.col("dir").endswith(ANNOTATION_FOLDER)).groupBy("source", "dir").agg(F.min(F.struct("name", "rel", "size", "mtime")).alias("_v"))
-    named = f.select("source", "dir").where(F.size(F.split(F.regexp_extract("dir", "([^/]*)$", 1), "_", -1)) >= 4).distinct()
-    named = named.unionByName(f.where(F.col("dir").endswith("/" + ANNOTATION_FOLDER)).select("source", F.regexp_replace("dir", f"/{ANNOTATION_FOLDER}$", "").alias("dir")).where(F.size(F.split(F.regexp_extract("dir", "([^/]*)$", 1), "_", -1)) >= 4)).distinct()
+    # every folder above a file, from the source down
+    parts = F.split("dir", "/")
+    levels = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, 1, n), "/"))
+    above = f.select("source", F.explode(levels).alias("dir")).distinct()
+    name = F.regexp_extract("dir", "([^/]*)$", 1)
+    named = above.where((F.size(F.split(name, "_", -1)) >= 4) & (name != ANNOTATION_FOLDER))
     folders = named.unionByName(notes.select("source", "dir")).unionByName(videos.select("source", "dir")).distinct()
     rows = folders.join(notes, ["source", "dir"], "left").join(videos, ["source", "dir"], "left").withColumns(name_parts(F.regexp_extract("dir", "([^/]*)$", 1)))
     rows = resolved_scenes(rows, taxonomy)

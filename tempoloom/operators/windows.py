@@ -32,7 +32,7 @@ def sliding_windows(videos: DataFrame, size: int, stride: int) -> DataFrame:
 
 def labelled_windows(frames: DataFrame, size: int, stride: int, keep_background: float = 1.0, background_role: str = "background", seed: int = 0, label: str = "label") -> DataFrame:
     """(video_id, win_start, win_end, is_background, window_role): the windows, those of only background kept with a probability."""
-    counted = frames.select("video_id", "frame", F.when(F.col(label) == BACKGROUND, 0).when(F.col(label).isNull(), 1).otherwise(1).alias("_a"))
+    counted = frames.select("video_id", "frame", F.when(F.col(label) == BACKGROUND, 0).otherwise(1).alias("_a"))
     running = F.sum("_a").over(Window.partitionBy("video_id").orderBy("frame"))
     # actions before each frame: a window is background if the count does not change over it
     before = counted.select("video_id", (F.col("frame") + 1).alias("_at"), running.alias("_n"))

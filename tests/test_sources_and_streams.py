@@ -46,7 +46,7 @@ def test_inventory_of_a_tree(spark, tmp_path):
     put("s1/batch/S1_F_meta_lie-up_x/a.mp4")
     put("s1/batch/S1_F_meta_lie-up_x/NOVA project/gestures.annotation~", "0;1;2\n")
     put("s1/bad/clip.mp4")
-    put("s1/S2_M_meta_pen/notes.txt")
+    put("s1/S2_M_meta_pen/deep/er/notes.txt")
     t = catalog.taxonomy_frame(spark, {"exact": {"lie-up": "positive", "pen": "negative"}, "aliases": {}})
     got = {r.video_id: r for r in catalog.training_inventory(readers.listing(spark, str(tmp_path)), str(tmp_path), t, ["s1", "gone"]).collect()}
     assert set(got) == {"s1__batch__S1_F_meta_lie-up_x", "s1__bad", "s1__S2_M_meta_pen", "gone"}
