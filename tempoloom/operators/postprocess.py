@@ -46,10 +46,18 @@ def filter_duration_runs(runs: DataFrame, least: int) -> DataFrame:
 
 
 def filter_duration(frames: DataFrame, least: int, label: str = "pred") -> DataFrame:
-    """The same on frames: the runs' new labels go back to their frames over the run's number, on the same partitioning."""
-    numbered = with_runs(frames, label, "seg_id")
-    runs = filter_duration_runs(segments(frames, label), least).select("video_id", "seg_id", "new_label")
-    return numbered.join(runs, ["video_id", "seg_id"]).withColumn(label, F.col("new_label")).drop("new_label", "seg_id")
+    """The same on frames, by windows alone: a run's neighbours stand before its first and after its last frame, so one exchange on video_id serves all."""
+    if least <= 1:
+        return frames
+    runs = with_runs(frames, label, "_run")
+    order = Window.partitionBy("video_id").orderBy("frame")
+    run = Window.partitionBy("video_id", "_run").orderBy("frame").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    sides = runs.withColumn("_lag", F.lag(label).over(order)).withColumn("_lead", F.lead(label).over(order))
+    sides = sides.withColumn("_before", F.first("_lag").over(run)).withColumn("_after", F.last("_lead").over(run)).withColumn("_n", F.count("*").over(run))
+    short = (F.col(label) != BACKGROUND) & (F.col("_n") < least)
+    same = F.col("_before").isNotNull() & (F.col("_before") == F.col("_after")) & (F.col("_before") != BACKGROUND)
+    new = F.when(short & same, F.col("_before")).when(short, F.lit(BACKGROUND)).otherwise(F.col(label))
+    return sides.withColumn(label, new).drop("_run", "_lag", "_lead", "_before", "_after", "_n")
 
 
 @dataclass(frozen=True)
