@@ -18,8 +18,9 @@ joined back, which adaptive execution can split when a digest is very common.
 
 Edge cases: a null text is empty and has no chunks; rows with a null key are
 not compared and stay as they are; rows that share a key and text count once;
-a text without boundaries is cut every 1024 code points; extra columns are
-ignored or kept; an empty table gives an empty table.
+a text that repeats a few code points is cut at ties, one without any is cut
+every 1024 code points; extra columns are ignored or kept; an empty table gives
+an empty table.
 """
 
 from __future__ import annotations
@@ -66,19 +67,31 @@ def cut_points(points: np.ndarray, radius: int = RADIUS, longest: int = LONGEST)
         step = min(w, radius - w)
         top = np.maximum(top[: len(top) - step], top[step:])
         w += step
-    # of equal hashes the first counts, so that a periodic text has no boundaries
-    ends = np.flatnonzero((h > top[:n]) & (h >= top[radius + 1 : radius + 1 + n])) + 1 if n > 1 else np.array([n])
+    left, right = top[:n], top[radius + 1 : radius + 1 + n]
+    # of equal hashes the first counts, so that a text that repeats itself has no boundaries here
+    ends = np.flatnonzero((h > left) & (h >= right)) + 1
     if not len(ends) or ends[-1] != n:
         ends = np.append(ends, n)
-    sizes = np.diff(ends, prepend=0)
-    if sizes.max() <= longest:
+    starts = np.concatenate(([0], ends[:-1]))
+    wide = np.flatnonzero(ends - starts > 8 * radius)
+    if not len(wide):
         return ends.tolist()
-    out, at = [], 0
-    for e in ends.tolist():
-        out += range(at + longest, e, longest)
-        out.append(e)
+    # in such a stretch, ties stand one period apart: cuts at the first tie after each 2 * radius give equal chunks
+    ties = np.flatnonzero((h >= left) & (h >= right)) + 1
+    out = set(ends.tolist())
+    for start, end in zip(starts[wide].tolist(), ends[wide].tolist(), strict=True):
+        own = ties[np.searchsorted(ties, start, side="right") : np.searchsorted(ties, end)].tolist()
+        at = start
+        for t in own:
+            if t - at >= 2 * radius:
+                out.add(t)
+                at = t
+    cuts, at = [], 0
+    for e in sorted(out):
+        cuts += range(at + longest, e, longest)
+        cuts.append(e)
         at = e
-    return out
+    return cuts
 
 
 def chunks(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
