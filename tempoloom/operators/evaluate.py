@@ -45,13 +45,14 @@ def match_counts_unique(frames: DataFrame, threshold: float) -> DataFrame:
     """(video_id, class_id, tp, fp, fn) for thresholds of 0.5 and more, where a segment has one possible partner at most, so an equi-join with an overlap condition finds it."""
     if threshold < 0.5:
         raise ValueError("below 0.5 the order of matching counts: use match_counts()")
-    p = action_spans(segments(frames, "pred")).withColumnsRenamed({"seg_start": "p0", "seg_end": "p1", "seg_id": "pid"})
-    t = action_spans(segments(frames, "label")).withColumnsRenamed({"seg_start": "t0", "seg_end": "t1", "seg_id": "tid"})
+    p = action_spans(segments(frames, "pred")).select("video_id", F.col("label").alias("class_id"), F.col("seg_start").alias("p0"), F.col("seg_end").alias("p1"))
+    t = action_spans(segments(frames, "label")).select("video_id", F.col("label").alias("class_id"), F.col("seg_start").alias("t0"), F.col("seg_end").alias("t1"))
+    same = (F.col("p.video_id") == F.col("t.video_id")) & (F.col("p.class_id") == F.col("t.class_id"))
     overlap = (F.col("p0") < F.col("t1")) & (F.col("t0") < F.col("p1")) & (iou(F.col("p0"), F.col("p1"), F.col("t0"), F.col("t1")) >= threshold)
-    hit = p.alias("p").join(t.alias("t"), (F.col("p.video_id") == F.col("t.video_id")) & (F.col("p.label") == F.col("t.label")) & overlap)
-    tp = hit.groupBy(F.col("p.video_id").alias("video_id"), F.col("p.label").alias("class_id")).agg(F.count("*").alias("tp"))
-    n = lambda df, name: df.groupBy("video_id", F.col("label").alias("class_id")).agg(F.count("*").alias(name))
-    both = n(p, "np").join(n(t, "nt"), ["video_id", "class_id"], "full").join(tp, ["video_id", "class_id"], "left").na.fill(0, ["np", "nt", "tp"])
+    # a prediction keeps its row with or without a partner, so one join serves both counts
+    tried = p.alias("p").join(t.alias("t"), same & overlap, "left").select("p.video_id", "p.class_id", F.col("t0").isNotNull().alias("hit"))
+    own = tried.groupBy("video_id", "class_id").agg(F.count("*").alias("np"), F.count_if("hit").alias("tp"))
+    both = own.join(t.groupBy("video_id", "class_id").agg(F.count("*").alias("nt")), ["video_id", "class_id"], "full").na.fill(0, ["np", "nt", "tp"])
     return both.select("video_id", "class_id", "tp", (F.col("np") - F.col("tp")).alias("fp"), (F.col("nt") - F.col("tp")).alias("fn"))
 
 
