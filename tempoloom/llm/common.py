@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -23,7 +24,7 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir; a temporary one only where that is unset (tests, local mode)."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):  # local-cluster is a cluster, too
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="tempoloom-")
         spark.conf.set("spark.checkpoint.dir", found)
