@@ -8,10 +8,13 @@ boundaries from 16 + RADIUS code points after its begin to RADIUS before its end
 digest occurs earlier - in a document with a smaller key, or before in the same
 one - is a repeat of its first occurrence.
 
-Repeated chunks that touch form a region. As a repeated passage rarely begins
-or ends at a boundary, both ends of a region are compared with the text around
-the first occurrence and extended to the exact passage. Regions of at least
-``words`` words are repeats: the first occurrence stays, the others go.
+Repeated chunks that touch form a region, whose chunks may come from several
+places. For each place that a good part of a region comes from, prefix hashes
+tell whether the whole region, or else that part, stands there word for word.
+As a repeated passage rarely begins or ends at a boundary, both ends are then
+compared with the text around that place and extended to the exact passage.
+Passages of at least ``words`` words are repeats: the first occurrence stays,
+the others go. Short lines from several places that happen to touch are none.
 
 The chunks of all documents are grouped by digest with partial aggregation and
 joined back, which adaptive execution can split when a digest is very common.
@@ -31,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import code_points, map_rows, seeds, text_of, written
+from .common import code_points, map_rows, mix64, seeds, text_of, written
 
 RADIUS, LONGEST = 16, 1024
 #: Words from which a repeated region counts, and code points of chunks that a region needs to be looked at.
@@ -40,6 +43,7 @@ WORDS, LEAST = 50, 64
 AROUND = 192
 _GEAR = (seeds(256, 3) >> np.uint64(48)).astype(np.uint16)
 _HIGH = np.uint32(0x9E3779B1)
+_BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 def gear_hashes(points: np.ndarray) -> np.ndarray:
@@ -119,22 +123,22 @@ def chunks(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
 
 
 def regions(parts: DataFrame) -> DataFrame:
-    """(id, start, end, left, right, main_left, main_right): runs of repeated chunks; where, as (id, at), their ends occur first, and where the ends lie in the document that most of the run comes from."""
+    """(id, of, shift, start, end, low, high): from start to end, id has chunks that of has first, shift code points before; they are part of a run of repeated chunks from low to high."""
     place = F.struct("id", "start")
     # written, so that the join with it is of two plain shuffles, whose large partitions can be split
     first = written(parts.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first"), "first")
-    again = parts.hint("merge").join(first, "digest").where(place != F.col("first")).select("id", "start", (F.col("start") + F.col("size")).alias("end"), F.col("first.id").alias("of"), F.col("first.start").alias("at"))
-    again = again.withColumn("till", F.col("at") + F.col("end") - F.col("start"))
+    again = parts.hint("merge").join(first, "digest").where(place != F.col("first")).select("id", "start", (F.col("start") + F.col("size")).alias("end"), "digest", F.col("first.id").alias("of"), (F.col("start") - F.col("first.start")).alias("shift"))
     order = Window.partitionBy("id").orderBy("start")
     run = again.withColumn("begins", F.coalesce(F.lag("end").over(order) < F.col("start"), F.lit(True)))
     run = run.withColumn("region", F.sum(F.col("begins").cast("int")).over(order))
-    # by source first: the one that most of a region comes from may reach further than those of its ends
-    ends = F.min(F.struct("start", "of", "at")).alias("l"), F.max(F.struct("end", "of", "till")).alias("r")
-    by_source = run.groupBy("id", "region", "of", (F.col("start") - F.col("at")).alias("shift")).agg(*ends, F.sum(F.col("end") - F.col("start")).alias("n"))
-    out = by_source.groupBy("id", "region").agg(F.min("l").alias("l"), F.max("r").alias("r"), F.max(F.struct("n", "of", "shift")).alias("m"))
-    at = lambda of, n: F.struct(F.col(of).alias("id"), F.greatest(n, F.lit(0)).cast("int").alias("at"))
-    main = at("m.of", F.col("l.start") - F.col("m.shift")).alias("main_left"), at("m.of", F.col("r.end") - F.col("m.shift")).alias("main_right")
-    return out.select("id", F.col("l.start").alias("start"), F.col("r.end").alias("end"), at("l.of", F.col("l.at")).alias("left"), at("r.of", F.col("r.till")).alias("right"), *main).where(F.col("end") - F.col("start") >= LEAST)
+    region = Window.partitionBy("id", "region")
+    run = run.withColumn("low", F.min("start").over(region)).withColumn("high", F.max("end").over(region))
+    # a chunk like the one right before it is a repeat of that, too: a word without end has the same source in all its chunks
+    like = (F.lag("digest").over(order) == F.col("digest")) & (F.lag("end").over(order) == F.col("start"))
+    own = F.when(like, F.struct(F.col("id").alias("of"), (F.col("start") - F.lag("start").over(order)).alias("shift")))
+    run = run.withColumn("sources", F.array_distinct(F.array_compact(F.array(F.struct("of", "shift"), own)))).select("id", "region", "start", "end", "low", "high", F.explode("sources").alias("x")).select("id", "region", "start", "end", "low", "high", "x.of", "x.shift")
+    by_place = run.groupBy("id", "region", "of", "shift").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min("low").alias("low"), F.max("high").alias("high"))
+    return by_place.where(F.col("end") - F.col("start") >= LEAST).drop("region")
 
 
 def word_starts(text: str, before: str) -> int:
@@ -142,23 +146,39 @@ def word_starts(text: str, before: str) -> int:
     return len(text.split()) - bool(text and before and not before.isspace() and not text[0].isspace())
 
 
+#: The ends that a candidate has in its own text (of the region and of its part), and those at its source.
+_ENDS = ("low", "high", "start", "end")
+
+
+def _at(column: str, source: bool):
+    return F.struct(F.col("of").alias("id"), (F.col(column) - F.col("shift")).alias("at")) if source else F.struct("id", F.col(column).alias("at"))
+
+
+def prefix_sums(points: np.ndarray) -> np.ndarray:
+    """Sums modulo 2**64 over the code points before each place, each times a power of _BASE: differences tell whether two stretches are equal."""
+    with np.errstate(over="ignore"):
+        power = np.cumprod(np.concatenate(([np.uint64(1)], np.full(len(points), _BASE, dtype=np.uint64))))
+        return np.concatenate(([np.uint64(0)], np.cumsum(mix64(points.astype(np.uint64) + np.uint64(1)) * power[:-1])))
+
+
 def surroundings(docs: DataFrame, found: DataFrame, key: str, text: str) -> DataFrame:
-    """(id, at, before, after, words): the text around each place that an end of a region has, and the words before it in its text."""
-    ends = F.explode(F.array(F.struct("id", F.col("start").alias("at")), F.struct("id", F.col("end").alias("at")), "left", "right", "main_left", "main_right")).alias("p")
-    places = found.select(ends).select("p.id", "p.at").distinct().groupBy("id").agg(F.sort_array(F.collect_list("at")).alias("places"))
+    """(id, at, before, after, words, sum) of each place that a candidate has: the text around it, and the words and the prefix sum before it."""
+    ends = F.explode(F.array(*(_at(c, source) for c in _ENDS for source in (False, True)))).alias("p")
+    places = found.select(ends).select("p.id", "p.at").where("at >= 0").distinct().groupBy("id").agg(F.sort_array(F.collect_list("at")).alias("places"))
     texts = text_of(docs, key, text=text).withColumnsRenamed({key: "id", text: "body"})
     rows = texts.join(places, "id").select("id", "body", "places")
     kind = rows.schema["id"].dataType.simpleString()
 
     def around(rows_):
         for i, body, at in rows_:
+            sums = prefix_sums(code_points(body)).view(np.int64)
             seen = words = 0
             for p in at:
                 words += word_starts(body[seen:p], body[seen - 1 : seen])
                 seen = p
-                yield i, p, body[max(0, p - AROUND) : p], body[p : p + AROUND], words
+                yield i, p, body[max(0, p - AROUND) : p], body[p : p + AROUND], words, int(sums[min(p, len(body))])
 
-    return map_rows(rows, around, f"id {kind}, at int, before string, after string, words long", 500).dropDuplicates(["id", "at"])
+    return map_rows(rows, around, f"id {kind}, at int, before string, after string, words long, sum long", 500).dropDuplicates(["id", "at"])
 
 
 def common_prefix(a: str, b: str) -> int:
@@ -176,36 +196,45 @@ def common_suffix(a: str, b: str) -> int:
     return common_prefix(a[::-1], b[::-1])
 
 
+def equal_stretches(own: tuple[int, int], its: tuple[int, int], start: int, shift: int) -> bool:
+    """Whether the stretch from start with the prefix sums own at its ends equals the one shift before with those of its text."""
+    mask = 2**64 - 1
+    return ((own[1] - own[0]) * pow(int(_BASE), start - shift, 2**64) - (its[1] - its[0]) * pow(int(_BASE), start, 2**64)) & mask == 0
+
+
 def extended(found: DataFrame, around: DataFrame, words: int = WORDS) -> DataFrame:
-    """(id, start, end, words, first_id) of the regions that, extended to the whole passage, have enough words."""
-    # a row for each end and place, one join with their surroundings, and back together by region
-    own = {"s": F.struct("id", F.col("start").alias("at")), "e": F.struct("id", F.col("end").alias("at"))}
-    places = own | {"l": F.col("left"), "r": F.col("right"), "ml": F.col("main_left"), "mr": F.col("main_right")}
-    ends = found.select("id", "start", "end", F.col("main_left.id").alias("first_id"), F.explode(F.array(*(F.struct(F.lit(k).alias("k"), p.alias("p")) for k, p in places.items()))).alias("x"))
-    near = around.select(F.col("id").alias("p_id"), F.col("at").alias("p_at"), "before", "after", F.col("words").alias("n"))
-    ends = ends.select("id", "start", "end", "first_id", F.col("x.k").alias("k"), F.col("x.p.id").alias("p_id"), F.col("x.p.at").alias("p_at")).hint("merge").join(near, ["p_id", "p_at"])
-    of = lambda k, *c: F.max(F.when(F.col("k") == k, F.struct(*c))).alias(k)
-    sides = {"s": ("before", "after", "n"), "e": ("before", "after", "n"), "l": ("before",), "r": ("after",), "ml": ("before", "after"), "mr": ("before", "after")}
-    whole = ends.groupBy("id", "start").agg(F.max("end").alias("end"), F.max("first_id").alias("first_id"), *(of(k, *c) for k, c in sides.items()))
-    texts = [f"{k}.{c}" for k, cs in sides.items() for c in cs if c != "n"]
-    rows = whole.select("id", "start", "end", "first_id", (F.col("e.n") - F.col("s.n")).alias("words"), *(F.col(t).alias(t.replace(".", "_")) for t in texts))
+    """(id, start, end, words, first_id) of the candidates that stand at their source and, extended to the whole passage, have enough words."""
+    # a row for each place of a candidate (those of its part only if it is not the whole region), one join, and back together
+    part = (F.col("start") > F.col("low")) | (F.col("end") < F.col("high"))
+    places = []
+    for c in _ENDS:
+        for source in (False, True):
+            place = F.struct(F.lit(f"{'its' if source else 'own'}_{c}").alias("k"), _at(c, source).alias("p"))
+            places.append(place if c in ("low", "high") else F.when(part, place))
+    key = ("id", "of", "shift", "start")
+    ends = found.select(*key, "end", "low", "high", F.explode(F.array_compact(F.array(*places))).alias("x")).select(*key, "end", "low", "high", F.col("x.k").alias("k"), F.col("x.p.id").alias("p_id"), F.col("x.p.at").alias("p_at"))
+    near = around.select(F.col("id").alias("p_id"), F.col("at").alias("p_at"), F.col("before"), F.col("after"), F.col("words").alias("n"), "sum")
+    ends = ends.hint("merge").join(near, ["p_id", "p_at"])
+    left = F.col("k").endswith("low") | F.col("k").endswith("start")
+    side = F.struct(F.when(left, F.col("before")).otherwise(F.col("after")).alias("text"), F.right("before", F.lit(1)).alias("last"), "n", "sum")
+    names = [f"{t}_{c}" for c in _ENDS for t in ("own", "its")]
+    whole = ends.groupBy(*key, "end", "low", "high").agg(*(F.max(F.when(F.col("k") == k, side)).alias(k) for k in names))
+    rows = whole.select("id", "of", "shift", "start", "end", "low", "high", *names)
     kind = rows.schema["id"].dataType.simpleString()
 
     def each(rows_):
-        for i, start, end, first, n, own_before, s_after, e_before, own_after, l_before, r_after, ml_before, ml_after, mr_before, mr_after in rows_:
-            same = min(LEAST, end - start)  # the main source counts at an end only if the text within the region is the same there
-            left = common_suffix(own_before, l_before)
-            if common_prefix(s_after, ml_after) >= same:
-                left = max(left, common_suffix(own_before, ml_before))
-            right = common_prefix(own_after, r_after)
-            if common_suffix(e_before, mr_before) >= same:
-                right = max(right, common_prefix(own_after, mr_after))
-            last = e_before[-1:]
-            n += word_starts(own_before[len(own_before) - left :], own_before[: len(own_before) - left][-1:]) + word_starts(own_after[:right], last)
-            if n >= words:
-                yield i, start - left, end + right, n, first
-
-    return map_rows(rows, each, f"id {kind}, start int, end int, words long, first_id {kind}")
+        for i, of, shift, start, end, low, high, *sides in rows_:
+            own_low, its_low, own_high, its_high, own_start, its_start, own_end, its_end = sides
+            for a, b, l_own, l_its, r_own, r_its in ((low, high, own_low, its_low, own_high, its_high), (start, end, own_start, its_start, own_end, its_end)):
+                if None in (l_own, l_its, r_own, r_its) or not equal_stretches((l_own["sum"], r_own["sum"]), (l_its["sum"], r_its["sum"]), a, shift):
+                    continue
+                left, right = common_suffix(l_own["text"], l_its["text"]), common_prefix(r_own["text"], r_its["text"])
+                n = r_own["n"] - l_own["n"] + word_starts(l_own["text"][len(l_own["text"]) - left :], l_own["text"][: len(l_own["text"]) - left][-1:]) + word_starts(r_own["text"][:right], r_own["last"])
+                if n >= words:
+                    yield i, a - left, b + right, n, of
+                break
+
+    return map_rows(rows, each, f"id {kind}, start int, end int, words long, first_id {kind}").distinct()
 
 
 def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:

@@ -193,6 +193,22 @@ def test_passages_stay_only_where_they_are_first(spark, seed):
     assert sum(short in r.text for r in cut.values()) > 30
 
 
+def test_prefix_sums_tell_equal_stretches():
+    a, b = "xx" + "the same stretch" + "y", "some text, then the same stretch"
+    p, q = (cdc.prefix_sums(code_points(t)).view(np.int64).tolist() for t in (a, b))
+    shift = 2 - b.index("the same")
+    pair = lambda x, y: ((p[x], p[y]), (q[x - shift], q[y - shift]))
+    assert cdc.equal_stretches(*pair(2, 18), 2, shift) and cdc.equal_stretches(*pair(5, 9), 5, shift) and not cdc.equal_stretches(*pair(1, 18), 1, shift)
+
+
+def test_short_lines_that_touch_are_no_passage(spark):
+    rng = random.Random(12)
+    lines = [" ".join(_words(rng, 20)) for _ in range(6)]
+    texts = {i: " ".join([*_words(rng, 60), line, *_words(rng, 60)]) for i, line in enumerate(lines)}
+    texts[9] = " ".join([*_words(rng, 30), *lines, *_words(rng, 30)])
+    assert cdc.repeated_spans(_table(spark, texts)).count() == 0
+
+
 def test_runs_of_one_word_are_repeats_too(spark):
     rng = random.Random(11)
     texts = {i: " ".join([*_words(rng, 40 + i), *["and"] * (80 + 7 * i), *_words(rng, 30)]) for i in range(5)}
