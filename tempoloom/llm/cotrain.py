@@ -12,8 +12,8 @@ with the least hashes of their keys, so its cost is bounded; the scores cover
 all documents. The weights, a few hundred numbers, travel with the tasks.
 
 Edge cases: a null text is empty, null metadata is a value of its own; labels
-that are null or have a null or unknown key are not used; several labels of one
-document all count; without labels of both classes every document gets the
+that are null or have a null or unknown key are not used; different labels of one
+document all count, rows of docs that share a key count once in the fit; without labels of both classes every document gets the
 share of good labels, or 1 without any; rows are scored one by one, so repeated
 rows get equal scores; extra columns are ignored or kept; an empty table gives
 an empty table.
@@ -212,8 +212,8 @@ def _slices(batches, rows: int = 500):
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", metadata: tuple[str, ...] = ("source", "lang"), length: str = "n_chars", labelled: int = LABELLED, pool: int = POOL) -> Model:
     """A model fitted to bounded samples of the labelled and of all documents."""
     known = labels.select(F.col(key).cast("long").alias("id"), F.col(label).cast("double").alias("y")).where("id IS NOT NULL AND y IN (0.0, 1.0)")
-    known = known.orderBy(F.xxhash64("id"), "id", "y").limit(labelled)
-    others = docs.select(F.col(key).cast("long").alias("id")).where("id IS NOT NULL").orderBy(F.xxhash64(F.col("id"), F.lit(1)), "id").limit(pool).withColumn("y", F.lit(-1.0))
+    known = known.distinct().orderBy(F.xxhash64("id"), "id", "y").limit(labelled)
+    others = docs.select(F.col(key).cast("long").alias("id")).where("id IS NOT NULL").distinct().orderBy(F.xxhash64(F.col("id"), F.lit(1)), "id").limit(pool).withColumn("y", F.lit(-1.0))
     chosen = F.broadcast(known.union(others))  # at most labelled + pool rows of 16 bytes
     rows = docs.join(chosen.withColumnsRenamed({"id": "_id", "y": "_y"}), docs[key].cast("long") == F.col("_id"))
     kept = rows.select(F.col("_id"), F.col("_y"), F.col(text).cast("string"), _number(docs, length), _values(metadata))
@@ -223,7 +223,9 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
             views = _both(*b.columns[2:])
             yield pa.RecordBatch.from_arrays([*b.columns[:2], *(pa.array([x.astype("<f8").tobytes() for x in v], pa.binary()) for v in views)], names=["id", "y", "t", "m"])
 
-    seen = sorted(kept.mapInArrow(see, "id long, y double, t binary, m binary").collect(), key=lambda r: (xxhash.xxh3_64_intdigest(str(r["id"])), r["y"], bytes(r["t"]), bytes(r["m"])))
+    # one row for each sampled key, however many rows of docs have it, so that no more than the sample comes to the driver
+    one = kept.mapInArrow(see, "id long, y double, t binary, m binary").groupBy("id", "y").agg(F.min(F.struct("t", "m")).alias("v")).select("id", "y", "v.t", "v.m")
+    seen = sorted(one.collect(), key=lambda r: (xxhash.xxh3_64_intdigest(str(r["id"])), r["y"]))
     dims = len(text_view("")), len(metadata_view(("",) * len(metadata), None))
     of = lambda rows_, c, d: np.array([np.frombuffer(r[c], dtype="<f8") for r in rows_]).reshape(-1, d)
     with_label = [r for r in seen if r["y"] >= 0]
