@@ -53,6 +53,7 @@ def frame_coords(points: Column, side: Column, aspect: Column | float) -> Column
 
 def label_for_hand(hand: str, mirrored_input: bool) -> str:
     """The detector's label for a physical hand, which is the other one on images that aren't mirrored."""
+    hand = hand.strip().lower()
     if hand not in ("left", "right"):
         raise ValueError(f"no such hand: {hand}")
     return (hand if mirrored_input else {"left": "right", "right": "left"}[hand]).capitalize()

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import masked_argmax
+from ..functions.scalars import masked_argmax, softmax
 from ..schema import BACKGROUND
 from .timeline import segments, with_runs
 
@@ -78,7 +78,10 @@ def stage_report(before: DataFrame, after: DataFrame, stage: str, label: str = "
 
 
 def postprocess(frames: DataFrame, config: Postprocess, fps: float, probability: Column | None = None, label: str = "pred", logits: str = "logits") -> tuple[DataFrame, list[DataFrame]]:
-    """The frames after all stages (classes, confidence, duration), and a report of each stage that ran."""
+    """The frames after all stages (classes, confidence, duration), and a report of each stage that ran.
+
+    probability: that of the predicted class; the softmax of the logits if it isn't given.
+    """
     reports = []
 
     def ran(stage: str, after: DataFrame) -> DataFrame:
@@ -87,8 +90,9 @@ def postprocess(frames: DataFrame, config: Postprocess, fps: float, probability:
 
     if config.allowed:
         frames = ran("classes", with_allowed_classes(frames, config.allowed, logits))
-    if config.min_confidence is not None and probability is not None:
-        frames = ran("confidence", filter_confidence(frames, config.min_confidence, probability, label))
+    if config.min_confidence is not None and config.min_confidence > 0:
+        own = probability if probability is not None else F.get(softmax(F.col(logits)), F.col(label))
+        frames = ran("confidence", filter_confidence(frames, config.min_confidence, own, label))
     if config.min_seconds is not None:
         frames = ran("duration", filter_duration(frames, minimal_frames(config.min_seconds, fps), label))
     return frames, reports

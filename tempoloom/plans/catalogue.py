@@ -480,6 +480,21 @@ def postprocess_stages(spark, sf):
     return reports[0]
 
 
+_CHAIN = f"""WITH {V}, u AS (SELECT video_id, frame, logits, unnest(range(15)) AS i, unnest(logits) AS x FROM v), r AS (SELECT *, row_number() OVER (PARTITION BY video_id, frame ORDER BY x DESC, i) AS k FROM u WHERE i IN (0, 1, 2, 14)),
+p AS (SELECT video_id, frame, CAST(i AS INT) AS pred, exp(x) / list_sum(list_transform(logits, lambda y: exp(y))) AS prob FROM r WHERE k = 1), {runs('p', 'pred', 's')},
+c AS (SELECT s.video_id, seg_start, seg_end, label, avg(prob) AS m FROM s JOIN p ON p.video_id = s.video_id AND p.frame >= seg_start AND p.frame < seg_end GROUP BY ALL),
+b AS (SELECT p.video_id, p.frame, CASE WHEN label <> 14 AND m < 0.07 THEN 14 ELSE label END AS pred FROM p JOIN c ON p.video_id = c.video_id AND p.frame >= seg_start AND p.frame < seg_end), {runs('b', 'pred', 't')},
+d AS (SELECT *, lag(label) OVER w AS bf, lead(label) OVER w AS af FROM t WINDOW w AS (PARTITION BY video_id ORDER BY seg_start))
+SELECT b.video_id, b.frame, CAST(CASE WHEN label <> 14 AND seg_end - seg_start < 2 THEN CASE WHEN bf = af AND bf <> 14 THEN bf ELSE 14 END ELSE label END AS INT) AS pred FROM b JOIN d ON b.video_id = d.video_id AND b.frame >= seg_start AND b.frame < seg_end"""
+
+
+@_query(_CHAIN)
+def postprocess_chain(spark, sf):
+    config = postprocess.Postprocess(allowed=[0, 1, 2, 14], min_confidence=0.07, min_seconds=2 / FPS)
+    raw = vector_frames(spark, sf).withColumn("pred", S.first_argmax(F.col("logits")))
+    return postprocess.postprocess(raw, config, FPS)[0].select("video_id", "frame", "pred")
+
+
 # ---- evaluation --------------------------------------------------------------------
 
 
