@@ -234,7 +234,11 @@ def extended(found: DataFrame, around: DataFrame, words: int = WORDS) -> DataFra
                     yield i, a - left, b + right, n, of
                 break
 
-    return map_rows(rows, each, f"id {kind}, start int, end int, words long, first_id {kind}").distinct()
+    passages = map_rows(rows, each, f"id {kind}, start int, end int, words long, first_id {kind}")
+    # of passages within others only the longest remain
+    one = passages.groupBy("id", "start", "end").agg(F.max("words").alias("words"), F.min("first_id").alias("first_id"))
+    reach = F.max("end").over(Window.partitionBy("id").orderBy("start", F.desc("end")).rowsBetween(Window.unboundedPreceding, -1))
+    return one.withColumn("_reach", reach).where(F.col("_reach").isNull() | (F.col("end") > F.col("_reach"))).drop("_reach")
 
 
 def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
