@@ -127,9 +127,9 @@ def test_one_euro_equals_its_recurrence(spark):
 
 
 def test_a_mirrored_left_hand_is_a_right_one(spark):
-    p = np.random.default_rng(1).random(63)
+    p = np.random.default_rng(1).random(63).tolist()
     left = [1 - x if i % 3 == 0 else x for i, x in enumerate(p)]
-    df = spark.createDataFrame([(p.tolist(), left)], "r array<double>, l array<double>")
+    df = spark.createDataFrame([(p, left)], "r array<double>, l array<double>")
     a, b = df.select(landmarks.frame_coords(F.col("r"), F.lit(1), 1.5), landmarks.frame_coords(F.col("l"), F.lit(-1), 1.5)).first()
     assert a == pytest.approx(b, abs=1e-9) and a[:3] == [0, 0, 0]
 
