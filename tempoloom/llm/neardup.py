@@ -3,14 +3,20 @@
 1. Documents with the same words are one class from the start (digest).
 2. Each distinct text gets a BagMinHash signature of 128 entries in 32 bands of
    4; a pair with a likeness of 0.8 misses all bands with a chance of 5e-8.
-3. In each bucket of equal bands, every text is paired with two leaders, the
-   least id and the least hash of an id, not with every other text. Leaders
-   differ between bands, so a text near a group is tried against several of its
-   members. Both leaders come from aggregates that combine before the shuffle.
+3. In each bucket of equal bands, every text is first paired with two leaders,
+   the least id and the least hash of id and band, so the second differs between
+   bands. Both come from aggregates that combine before the shuffle.
 4. Pairs are verified exactly: sum of minima over sum of maxima of the shingle
    counts is at least the threshold. The texts of a leader's partners are
    spread over groups of bounded size, each with one copy of the leader.
 5. Classes are the connected components of the verified links.
+6. While the texts of a bucket that were no leader yet are of several classes,
+   those outside the bucket's largest class lead in turn, more of them in each
+   round, and are tried against all texts of other classes. So at the end any
+   two texts of a bucket were compared, or are of one class, or differ too
+   much in length. A bucket of texts that are alike costs no more than its
+   leaders; one of n texts that are all just below the threshold has n * n / 2
+   pairs to compare.
 
 Edge cases: a null text is empty; texts without words are one class; a text of
 fewer than five words is one shingle; rows with a null key have no class; rows
@@ -34,6 +40,8 @@ from .graph import components
 SHINGLE, LIKENESS, BANDS, ROWS = 5, 0.8, 32, 4
 #: Texts that are verified against one copy of a leader in one group.
 GROUP = 256
+#: About how many more leaders a bucket gets in its second round; each later round has as many times more.
+MORE = 8
 
 
 def bands_of(signature: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
@@ -60,7 +68,7 @@ def shingles(text: str, size: int = SHINGLE) -> Counter:
 
 
 def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(key, digest of the words, bands); no bands for a text without words."""
+    """(key, digest of the words, shingles, bands); no bands for a text without words."""
 
     def each(rows_):
         hashes = WordHashes()
@@ -68,20 +76,50 @@ def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text", size: i
             words = t.split()
             digest = xxhash.xxh3_128_hexdigest(" ".join(words).encode())
             own, counts = np.unique(shingle_hashes(hashes.of(words), size), return_counts=True)
-            yield k, digest, bands_of(bag_minhash(own, counts, bands * rows), bands, rows).tolist() if len(own) else []
+            yield k, digest, int(counts.sum()), bands_of(bag_minhash(own, counts, bands * rows), bands, rows).tolist() if len(own) else []
 
     df = text_of(docs.where(F.col(key).isNotNull()), key, text=text)
-    return map_rows(df, each, f"{key} {df.schema[key].dataType.simpleString()}, digest string, bands array<long>", 1000)
+    return map_rows(df, each, f"{key} {df.schema[key].dataType.simpleString()}, digest string, n long, bands array<long>", 1000)
 
 
-def candidate_pairs(banded: DataFrame) -> DataFrame:
-    """(id, lead) from (id, bands): each text with the two leaders of each of its buckets."""
-    keys = banded.select("id", F.explode("bands").alias("band"))
-    least = F.struct(F.xxhash64("id").alias("h"), F.col("id").alias("id"))
+def bucket_members(banded: DataFrame) -> DataFrame:
+    """(band, id, n, first, other) from (id, n, bands): the texts of each bucket of several, and its two first leaders."""
+    keys = banded.select("id", "n", F.explode("bands").alias("band"))
+    least = F.struct(F.xxhash64("id", "band").alias("h"), F.col("id").alias("id"))
     # written, so that the join with it is of two plain shuffles, whose large partitions can be split
-    leads = keys.groupBy("band").agg(F.min("id").alias("first"), F.min(least).alias("other"), F.count("*").alias("n")).where("n > 1").select("band", "first", F.col("other.id").alias("other"))
-    both = keys.join(written(leads, "leads").hint("merge"), "band").select("id", F.explode(F.array_distinct(F.array("first", "other"))).alias("lead"))
-    return both.where(F.col("id") != F.col("lead")).distinct()
+    leads = keys.groupBy("band").agg(F.struct(F.min(F.struct("id", "n")).alias("first"), F.min(F.struct(least.alias("by"), "n")).alias("other")).alias("x"), F.count("*").alias("many")).where("many > 1")
+    leads = leads.select("band", "x.first", F.struct(F.col("x.other.by.id").alias("id"), F.col("x.other.n").alias("n")).alias("other"))
+    return keys.join(written(leads, "leads").hint("merge"), "band").select("band", "id", "n", "first", "other")
+
+
+def _long_enough(a: str, b: str, likeness: float):
+    """Whether texts of a and b shingles can be alike: the likeness is at most the lesser over the greater."""
+    return F.least(a, b) / F.greatest(a, b) >= likeness
+
+
+def candidate_pairs(members: DataFrame, likeness: float = LIKENESS) -> DataFrame:
+    """(id, lead) from bucket_members(): each text with the two leaders of each of its buckets."""
+    both = members.select("id", "n", F.explode(F.array("first", "other")).alias("x")).select("id", "n", F.col("x.id").alias("lead"), F.col("x.n").alias("m"))
+    return both.where((F.col("id") != F.col("lead")) & _long_enough("n", "m", likeness)).select("id", "lead").distinct()
+
+
+def open_members(left: DataFrame, classes: DataFrame, leaders: int) -> DataFrame:
+    """(band, id, n, class, leads) of the texts (band, id, n) in buckets that hold several classes; about so many in each lead, none of its largest class, and all where they are no more."""
+    placed = left.hint("merge").join(classes, F.col("id") == F.col("node"), "left").select("band", "id", "n", F.coalesce("component", "id").alias("class"))
+    by_class = placed.groupBy("band", "class").agg(F.count("*").alias("k"))
+    buckets = by_class.groupBy("band").agg(F.max(F.struct("k", "class")).alias("main"), F.sum("k").alias("all"), F.count("*").alias("classes")).where("classes > 1")
+    buckets = written(buckets.select("band", F.col("main.class").alias("main"), (F.col("all") - F.col("main.k")).alias("others")), "buckets")
+    chance = F.pmod(F.xxhash64("id", "band"), F.lit(1 << 30)) * F.col("others") < F.lit(leaders << 30)
+    return placed.hint("merge").join(buckets.hint("merge"), "band").select("band", "id", "n", "class", ((F.col("class") != F.col("main")) & chance).alias("leads"))
+
+
+def further_pairs(members: DataFrame, tried: DataFrame, likeness: float) -> DataFrame:
+    """(id, lead) from open_members(): the texts of a bucket with its leaders of other classes, less the pairs tried before."""
+    leads = members.where("leads").select("band", F.col("id").alias("lead"), F.col("n").alias("m"), F.col("class").alias("its"))
+    both = members.hint("merge").join(leads, "band").where((F.col("class") != F.col("its")) & _long_enough("n", "m", likeness))
+    both = both.groupBy(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).agg(F.min("lead").alias("lead"))
+    before = tried.select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b"))
+    return both.hint("merge").join(before, ["a", "b"], "left_anti").select(F.when(F.col("a") == F.col("lead"), F.col("b")).otherwise(F.col("a")).alias("id"), "lead")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, key: str, text: str, size: int = SHINGLE, likeness: float = LIKENESS) -> DataFrame:
@@ -106,16 +144,34 @@ def verified(pairs: DataFrame, docs: DataFrame, key: str, text: str, size: int =
     return map_rows(rows.repartition(n, "lead", "part").sortWithinPartitions("lead", "part", "role"), each, f"a {kind}, b {kind}", 1000)
 
 
+def linked(banded: DataFrame, shared: DataFrame, docs: DataFrame, key: str, text: str, size: int = SHINGLE, likeness: float = LIKENESS) -> DataFrame:
+    """(node, component): the classes of the texts (id, n, bands) by all links in their buckets and the given ones (a, b)."""
+    members = written(bucket_members(banded), "members")
+    tried = written(candidate_pairs(members, likeness), "pairs")
+    classes = written(components(verified(tried, docs, key, text, size, likeness).union(shared)), "classes")
+    left = members.where((F.col("id") != F.col("first.id")) & (F.col("id") != F.col("other.id"))).select("band", "id", "n")
+    leaders = MORE
+    while True:
+        now = written(open_members(left, classes, leaders), "open")
+        if now.isEmpty():
+            return classes
+        pairs = written(further_pairs(now, tried, likeness), "pairs")
+        links = written(verified(pairs, docs, key, text, size, likeness), "links")
+        if not links.isEmpty():
+            classes = written(components(links.union(classes.select(F.col("node").alias("a"), F.col("component").alias("b")))), "classes")
+        tried, left = tried.union(pairs), now.where(~F.col("leads")).select("band", "id", "n")
+        leaders *= MORE
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, likeness: float = LIKENESS) -> DataFrame:
     """(key, class_id): the class of each document with a key."""
     signed = written(signatures(docs, key, text, size), "signatures").withColumnRenamed(key, "id")
     same = written(signed.groupBy("digest").agg(F.min("id").alias("first")), "same")
-    banded = signed.join(same, "digest").where(F.col("id") == F.col("first")).select("id", "bands")
-    links = verified(written(candidate_pairs(banded), "pairs"), docs, key, text, size, likeness)
+    banded = signed.join(same, "digest").where(F.col("id") == F.col("first")).select("id", "n", "bands")
     # a key that has several texts links their classes
     own = signed.join(same, "digest").select(F.col("id").alias("a"), F.col("first").alias("b"))
     shared = own.groupBy("a").agg(F.min("b").alias("low"), F.max("b").alias("high")).where("low <> high").select(F.col("low").alias("a"), F.col("high").alias("b"))
-    classes = components(links.union(shared))
+    classes = linked(banded, shared, docs, key, text, size, likeness)
     return own.join(classes, F.col("b") == F.col("node"), "left").groupBy(F.col("a").alias(key)).agg(F.min(F.coalesce("component", "b")).alias("class_id"))
 
 

@@ -79,6 +79,23 @@ def test_a_large_group_is_one_class(spark):
     assert got.count() == 900 and got.select("class_id").distinct().count() == 1
 
 
+def test_pairs_within_a_template_group(spark):
+    """Texts of one template that are alike to 0.75, some pairs of them to 0.8 and more, as none of the leaders is."""
+    rng = random.Random(21)
+    template, texts = _words(rng, 300), {}
+    for i in range(0, 240, 2):
+        own = template + [f"own{i}x{j}" for j in range(50)]
+        texts[i] = " ".join(own)
+        texts[i + 1] = " ".join(own[:-37] + [f"other{i}x{j}" for j in range(37)]) if i % 3 == 0 else " ".join(template + [f"own{i + 1}x{j}" for j in range(50)])
+    own = [neardup.shingles(texts[i]) for i in (0, 1, 2, 3)]
+    assert 0.8 <= neardup.overlap(own[0], own[1]) < 0.82 and max(neardup.overlap(own[0], own[2]), neardup.overlap(own[2], own[3])) < 0.77
+    order = list(texts)
+    rng.shuffle(order)
+    texts = dict(zip(order, texts.values(), strict=True))
+    got = {r.doc_id: r.class_id for r in neardup.near_duplicates(_table(spark, texts)).collect()}
+    assert got == _classes(texts) and len(set(got.values())) == 200
+
+
 def test_one_document_of_each_class_stays(spark):
     texts = dict(enumerate(_corpus(2)))
     df = _table(spark, texts)
