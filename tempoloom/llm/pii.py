@@ -9,8 +9,9 @@ across all documents, so links survive while the values do not. Numbers that
 fail their check are left alone.
 
 Edge cases: null texts stay null; an empty text stays empty; a value that
-touches letters or further digits is none; overlapping candidates are taken
-leftmost, then by the order of KINDS; equal rows are replaced alike; texts of
+touches letters or further digits is none; of a run of digit groups the longest
+readings that pass as cards count, and of an IBAN's groups the most that pass;
+overlapping candidates are taken leftmost, then by the order of KINDS; equal rows are replaced alike; texts of
 any length are searched whole; an empty table gives an empty table.
 """
 
@@ -178,13 +179,52 @@ KINDS: tuple[tuple[str, str, Callable[[str, bytes], str | None]], ...] = (
     ("date", r"(?<![\d./-])(?:\d{4}-\d{1,2}-\d{1,2}|\d{4}/\d{1,2}/\d{1,2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}-\d{1,2}-\d{4})(?![\d/-]|\.\d)", _date),
     ("ip", r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d)", _ip),
     ("ssn", r"(?<![\d-])\d{3}([- ])\d{2}\1\d{4}(?![\d-])", _ssn),
-    ("card", r"(?<![\w.])\d(?:[ -]?\d){12,18}(?!\w|[.-]?\d)", _card),
+    ("card", r"(?<![\w.])\d(?:[ -]?\d){12,}(?!\w|[.-]?\d)", _card),
     ("phone", r"(?<![\w+])(?<!\d[ .-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{2,4})[ .-]\d{3,4}[ .-]\d{4}(?![\d-])(?![ .]\d)|(?<![\w+])\+\d{9,15}(?!\d)", _phone),
 )
 _PATTERNS = tuple((name, re.compile(p), fn) for name, p, fn in KINDS)
+_GROUP = re.compile(r"\d+")
 _ANY_DIGIT = re.compile(r"\d")
 
 
+def _cards(text: str, pattern: re.Pattern, of: Callable[[str], str | None]):
+    """(start, end, pseudonym) of the cards in runs of digit groups: the longest readings of whole groups that pass, then the leftmost."""
+    for m in pattern.finditer(text):
+        groups = [(g.start(), g.end()) for g in _GROUP.finditer(text, m.start(), m.end())]
+        readings = []
+        for i, (start, _) in enumerate(groups):
+            digits = 0
+            for a, b in groups[i:]:
+                digits += b - a
+                if digits > 19:
+                    break
+                if digits >= 13:
+                    readings.append((-digits, start, b))
+        taken: list[tuple[int, int]] = []
+        for _, start, end in sorted(readings):
+            if all(end <= a or b <= start for a, b in taken) and (new := of(text[start:end])) is not None:
+                taken.append((start, end))
+                yield start, end, new
+
+
+def _ibans(text: str, pattern: re.Pattern, of: Callable[[str], str | None]):
+    """(start, end, pseudonym) of the IBANs: at each candidate the most groups that pass; if none do, the next candidate may begin within."""
+    at = 0
+    while m := pattern.search(text, at):
+        end = m.end()
+        while end > m.start() and (not pattern.fullmatch(text, m.start(), end) or (new := of(text[m.start() : end])) is None):
+            end = text.rfind(" ", m.start(), end)
+        if end > m.start():
+            yield m.start(), end, new
+            at = end
+        else:
+            at = m.start() + 1
+
+
+#: Kinds whose candidates have several readings.
+_READ = {"card": _cards, "iban": _ibans}
+
+
 class Pseudonyms:
     """Replaces the values of a text by pseudonyms under one key; the latest are kept at hand."""
 
@@ -200,6 +240,9 @@ class Pseudonyms:
         for n, (name, pattern, _) in enumerate(_PATTERNS):
             if not (at if name == "mail" else digits):
                 continue
+            if name in _READ:
+                found += [(start, n, end, new) for start, end, new in _READ[name](text, pattern, lambda value, n=n: self.of(n, value))]
+                continue
             for m in pattern.finditer(text) if name != "mail" else _mails(text, pattern):
                 if (new := self.of(n, m[0])) is not None:
                     found.append((m.start(), n, m.end(), new))

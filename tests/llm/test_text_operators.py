@@ -415,6 +415,16 @@ def test_pseudonyms_keep_the_format_and_links():
     assert p("again 4111 1111 1111 1111!") == f"again {card}!" and p("4111111111111111") == card.replace(" ", "")
 
 
+@pytest.mark.parametrize("value", ["4111 1111 1111 1111", "4111111111111111", "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32"])
+@pytest.mark.parametrize("text", ["{}", "{} 12/27", "{} 123", "{}-7", "{} USA", "{} PAID", "12 {}", "98 76 {} 12/27", "AB12 CD34 {} 1"])
+def test_values_beside_further_groups(value, text):
+    if value[0] != "4" and "-" in text:
+        return
+    text = f"pay {text.format(value)} now"
+    at = text.index(value)
+    assert [(s, e) for s, e, k, _ in pii.Pseudonyms().spans(text) if k in ("card", "iban")] == [(at, at + len(value))]
+
+
 @pytest.mark.parametrize("text", ["", "4111111111111112", "999.1.1.1", "2023-02-30", "000-12-3456", "DE00 3704 0044 0532 0130 00", "a@b", "v1.2.3", "id 12345", "x4111111111111111", "pi 3.14159265358979"])
 def test_values_that_fail_their_check_stay(text):
     assert pii.Pseudonyms()(text) == text
