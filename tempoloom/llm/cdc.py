@@ -9,12 +9,14 @@ digest occurs earlier - in a document with a smaller key, or before in the same
 one - is a repeat of its first occurrence.
 
 Repeated chunks that touch form a region, whose chunks may come from several
-places. For each place that a good part of a region comes from, prefix hashes
-tell whether the whole region, or else that part, stands there word for word.
-As a repeated passage rarely begins or ends at a boundary, both ends are then
-compared with the text around that place and extended to the exact passage.
-Passages of at least ``words`` words are repeats: the first occurrence stays,
-the others go. Short lines from several places that happen to touch are none.
+places. For each place that a part of a region comes from, prefix hashes tell
+whether the whole region stands there word for word. As a repeated passage
+rarely begins or ends at a boundary, both ends are then compared with the text
+around that place and extended to the exact passage. Where the whole region
+does not stand there, both texts are laid over each other at that place, and
+all stretches that are equal are taken. Passages of at least ``words`` words
+are repeats: the first occurrence stays, the others go. Short lines from
+several places that happen to touch are none.
 
 The chunks of all documents are grouped by digest with partial aggregation and
 joined back, which adaptive execution can split when a digest is very common.
@@ -37,7 +39,7 @@ from pyspark.sql import functions as F
 from .common import code_points, map_rows, mix64, seeds, text_of, written
 
 RADIUS, LONGEST = 16, 1024
-#: Words from which a repeated region counts, and code points of chunks that a region needs to be looked at.
+#: Words from which a repeated region counts, and code points that a region needs to be looked at.
 WORDS, LEAST = 50, 64
 #: Code points around an end of a region that are compared: more than a chunk and the reach of its boundaries, so a longer shared stretch has a chunk of its own, but for texts without boundaries.
 AROUND = 192
@@ -123,7 +125,7 @@ def chunks(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
 
 
 def regions(parts: DataFrame) -> DataFrame:
-    """(id, of, shift, start, end, low, high): from start to end, id has chunks that of has first, shift code points before; they are part of a run of repeated chunks from low to high."""
+    """(id, of, shift, low, high): id has chunks that of has first, shift code points before; they are part of a run of repeated chunks from low to high."""
     place = F.struct("id", "start")
     # written, so that the join with it is of two plain shuffles, whose large partitions can be split
     first = written(parts.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first"), "first")
@@ -137,8 +139,7 @@ def regions(parts: DataFrame) -> DataFrame:
     like = (F.lag("digest").over(order) == F.col("digest")) & (F.lag("end").over(order) == F.col("start"))
     own = F.when(like, F.struct(F.col("id").alias("of"), (F.col("start") - F.lag("start").over(order)).alias("shift")))
     run = run.withColumn("sources", F.array_distinct(F.array_compact(F.array(F.struct("of", "shift"), own)))).select("id", "region", "start", "end", "low", "high", F.explode("sources").alias("x")).select("id", "region", "start", "end", "low", "high", "x.of", "x.shift")
-    by_place = run.groupBy("id", "region", "of", "shift").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min("low").alias("low"), F.max("high").alias("high"))
-    return by_place.where(F.col("end") - F.col("start") >= LEAST).drop("region")
+    return run.where(F.col("high") - F.col("low") >= LEAST).select("id", "of", "shift", "low", "high").distinct()
 
 
 def word_starts(text: str, before: str) -> int:
@@ -146,8 +147,8 @@ def word_starts(text: str, before: str) -> int:
     return len(text.split()) - bool(text and before and not before.isspace() and not text[0].isspace())
 
 
-#: The ends that a candidate has in its own text (of the region and of its part), and those at its source.
-_ENDS = ("low", "high", "start", "end")
+#: The ends that a candidate's region has in its own text and at its source.
+_ENDS = ("low", "high")
 
 
 def _at(column: str, source: bool):
@@ -203,39 +204,66 @@ def equal_stretches(own: tuple[int, int], its: tuple[int, int], start: int, shif
 
 
 def extended(found: DataFrame, around: DataFrame, words: int = WORDS) -> DataFrame:
-    """(id, start, end, words, first_id) of the candidates that stand at their source and, extended to the whole passage, have enough words."""
-    # a row for each place of a candidate (those of its part only if it is not the whole region), one join, and back together
-    part = (F.col("start") > F.col("low")) | (F.col("end") < F.col("high"))
-    places = []
-    for c in _ENDS:
-        for source in (False, True):
-            place = F.struct(F.lit(f"{'its' if source else 'own'}_{c}").alias("k"), _at(c, source).alias("p"))
-            places.append(place if c in ("low", "high") else F.when(part, place))
-    key = ("id", "of", "shift", "start")
-    ends = found.select(*key, "end", "low", "high", F.explode(F.array_compact(F.array(*places))).alias("x")).select(*key, "end", "low", "high", F.col("x.k").alias("k"), F.col("x.p.id").alias("p_id"), F.col("x.p.at").alias("p_at"))
+    """(id, start, end, words, first_id, shift) of the candidates whose region stands at their source, extended to the whole passage; words is null where the region does not."""
+    # a row for each place of a candidate, one join, and back together
+    places = [F.struct(F.lit(f"{'its' if source else 'own'}_{c}").alias("k"), _at(c, source).alias("p")) for c in _ENDS for source in (False, True)]
+    key = ("id", "of", "shift", "low", "high")
+    ends = found.select(*key, F.explode(F.array(*places)).alias("x")).select(*key, F.col("x.k").alias("k"), F.col("x.p.id").alias("p_id"), F.col("x.p.at").alias("p_at"))
     near = around.select(F.col("id").alias("p_id"), F.col("at").alias("p_at"), F.col("before"), F.col("after"), F.col("words").alias("n"), "sum")
-    ends = ends.hint("merge").join(near, ["p_id", "p_at"])
-    left = F.col("k").endswith("low") | F.col("k").endswith("start")
-    side = F.struct(F.when(left, F.col("before")).otherwise(F.col("after")).alias("text"), F.right("before", F.lit(1)).alias("last"), "n", "sum")
+    ends = ends.hint("merge").join(near, ["p_id", "p_at"], "left")
+    side = F.struct(F.when(F.col("k").endswith("low"), F.col("before")).otherwise(F.col("after")).alias("text"), F.right("before", F.lit(1)).alias("last"), "n", "sum")
     names = [f"{t}_{c}" for c in _ENDS for t in ("own", "its")]
-    whole = ends.groupBy(*key, "end", "low", "high").agg(*(F.max(F.when(F.col("k") == k, side)).alias(k) for k in names))
-    rows = whole.select("id", "of", "shift", "start", "end", "low", "high", *names)
+    whole = ends.groupBy(*key).agg(*(F.max(F.when((F.col("k") == k) & F.col("n").isNotNull(), side)).alias(k) for k in names))
+    kind = whole.schema["id"].dataType.simpleString()
+
+    def each(rows_):
+        for i, of, shift, low, high, l_own, l_its, r_own, r_its in rows_:
+            if None in (l_own, l_its, r_own, r_its) or not equal_stretches((l_own["sum"], r_own["sum"]), (l_its["sum"], r_its["sum"]), low, shift):
+                yield i, low, high, None, of, shift
+                continue
+            left, right = common_suffix(l_own["text"], l_its["text"]), common_prefix(r_own["text"], r_its["text"])
+            n = r_own["n"] - l_own["n"] + word_starts(l_own["text"][len(l_own["text"]) - left :], l_own["text"][: len(l_own["text"]) - left][-1:]) + word_starts(r_own["text"][:right], r_own["last"])
+            if n >= words:
+                yield i, low - left, high + right, n, of, shift
+
+    return map_rows(whole.select(*key, *names), each, f"id {kind}, start int, end int, words long, first_id {kind}, shift int")
+
+
+def equal_runs(own: np.ndarray, its: np.ndarray, shift: int, least: int) -> list[tuple[int, int]]:
+    """The stretches (start, end) of at least so many code points in own that are equal to those shift before in its."""
+    low, high = max(0, shift), min(len(own), len(its) + shift)
+    if high - low < least:
+        return []
+    same = np.zeros(high - low + 2, dtype=np.int8)
+    same[1:-1] = own[low:high] == its[low - shift : high - shift]
+    edges = np.flatnonzero(np.diff(same)) + low
+    return [(a, b) for a, b in edges.reshape(-1, 2).tolist() if b - a >= least]
+
+
+def laid_over(parts: DataFrame, docs: DataFrame, key: str, text: str, words: int = WORDS) -> DataFrame:
+    """(id, start, end, words, first_id): all passages of enough words that id shares with first_id at one of the shifts that parts (id, first_id, shift) have."""
+    texts = text_of(docs.where(F.col(key).isNotNull()), key, text=text).distinct()
+    pairs = written(parts.groupBy("id", "first_id").agg(F.collect_set("shift").alias("shifts")), "pairs")
+    # texts once for each of their documents, then for each pair
+    own = texts.select(F.col(key).alias("id"), F.col(text).alias("own"))
+    its = texts.select(F.col(key).alias("first_id"), F.col(text).alias("its"))
+    rows = pairs.hint("merge").join(own, "id").hint("merge").join(its, "first_id").select("id", "first_id", "shifts", "own", "its")
     kind = rows.schema["id"].dataType.simpleString()
 
     def each(rows_):
-        for i, of, shift, start, end, low, high, *sides in rows_:
-            own_low, its_low, own_high, its_high, own_start, its_start, own_end, its_end = sides
-            for a, b, l_own, l_its, r_own, r_its in ((low, high, own_low, its_low, own_high, its_high), (start, end, own_start, its_start, own_end, its_end)):
-                if None in (l_own, l_its, r_own, r_its) or not equal_stretches((l_own["sum"], r_own["sum"]), (l_its["sum"], r_its["sum"]), a, shift):
-                    continue
-                left, right = common_suffix(l_own["text"], l_its["text"]), common_prefix(r_own["text"], r_its["text"])
-                n = r_own["n"] - l_own["n"] + word_starts(l_own["text"][len(l_own["text"]) - left :], l_own["text"][: len(l_own["text"]) - left][-1:]) + word_starts(r_own["text"][:right], r_own["last"])
-                if n >= words:
-                    yield i, a - left, b + right, n, of
-                break
-
-    passages = map_rows(rows, each, f"id {kind}, start int, end int, words long, first_id {kind}")
-    # of passages within others only the longest remain
+        for i, of, shifts, body, other in rows_:
+            a, b = code_points(body), code_points(other)
+            for shift in shifts:
+                for start, end in equal_runs(a, b, shift, 2 * words - 1):
+                    n = word_starts(body[start:end], body[start - 1 : start] if start else "")
+                    if n >= words:
+                        yield i, start, end, n, of
+
+    return map_rows(rows, each, f"id {kind}, start int, end int, words long, first_id {kind}", 500)
+
+
+def longest(passages: DataFrame) -> DataFrame:
+    """The passages (id, start, end, words, first_id) that are not within others."""
     one = passages.groupBy("id", "start", "end").agg(F.max("words").alias("words"), F.min("first_id").alias("first_id"))
     reach = F.max("end").over(Window.partitionBy("id").orderBy("start", F.desc("end")).rowsBetween(Window.unboundedPreceding, -1))
     return one.withColumn("_reach", reach).where(F.col("_reach").isNull() | (F.col("end") > F.col("_reach"))).drop("_reach")
@@ -244,7 +272,9 @@ def extended(found: DataFrame, around: DataFrame, words: int = WORDS) -> DataFra
 def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
     """(id, start, end, words, first_id): passages of at least ``words`` words that occur before, in code points of id's text."""
     found = written(regions(chunks(docs, key, text)), "regions")
-    return extended(found, written(surroundings(docs, found, key, text), "around"), words)
+    tried = written(extended(found, written(surroundings(docs, found, key, text), "around"), words), "tried")
+    parts = laid_over(tried.where("words IS NULL").select("id", "first_id", "shift"), docs, key, text, words)
+    return longest(tried.where("words IS NOT NULL").drop("shift").union(parts))
 
 
 def without_spans(docs: DataFrame, spans: DataFrame, key: str = "doc_id", text: str = "text", length: str = "n_chars") -> DataFrame:

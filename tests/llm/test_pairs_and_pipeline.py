@@ -218,6 +218,22 @@ def test_prefix_sums_tell_equal_stretches():
     assert cdc.equal_stretches(*pair(2, 18), 2, shift) and cdc.equal_stretches(*pair(5, 9), 5, shift) and not cdc.equal_stretches(*pair(1, 18), 1, shift)
 
 
+def test_a_passage_with_one_word_changed(spark):
+    """Of three documents, the first has another word in the middle of the passage that the other two share."""
+    rng = random.Random(31)
+    texts, want = {}, {}
+    for i in range(0, 120, 3):
+        before, after = " ".join(_words(rng, 60)), " ".join(_words(rng, 60))
+        for j, year in enumerate(("2023", "2024", "2024")):
+            texts[i + j] = " ".join([*_words(rng, 30), before, year, after, *_words(rng, 30)])
+            want[i + j] = [before, after] if j == 1 else [f"{before} 2024 {after}"] if j == 2 else []
+    found = defaultdict(list)
+    for r in cdc.repeated_spans(_table(spark, texts)).collect():
+        found[r.id].append(texts[r.id][r.start : r.end])
+    for i, passages in want.items():
+        assert bool(found[i]) == bool(passages) and all(any(p in f for f in found[i]) for p in passages), i
+
+
 def test_short_lines_that_touch_are_no_passage(spark):
     rng = random.Random(12)
     lines = [" ".join(_words(rng, 20)) for _ in range(6)]
