@@ -85,21 +85,27 @@ def text_of_fingerprint(f: np.ndarray) -> str:
 def with_followers(docs: DataFrame, key: str, text: str, buckets: int) -> DataFrame:
     """Rows (bucket, late, key, text): each bucket has a range of keys and, late, the first row after it.
 
-    The bounds are approximate quantiles of the key and thus keys themselves,
-    so the rows that follow a range are those with the next bound; the range
-    after the last begins with the least key. Null keys come first.
+    The bounds are the least keys at or above approximate quantiles (doubles,
+    which a key beyond 2**53 may miss), so the rows that follow a range are
+    those with the next bound; the range after the last begins with the least
+    key. Null keys come first.
     """
     rows = text_of(docs, key, text=text).withColumn("at", F.coalesce(F.col(key).cast("long"), F.lit(-(2**63))))
     ids = rows.select("at")
     bounds = ids.approxQuantile("at", [i / buckets for i in range(1, buckets)], 0.1 / buckets) if buckets > 1 else []
     least = ids.agg(F.min("at")).first()[0]
-    cuts = np.unique(np.array([int(x) for x in bounds if int(x) != least], dtype=np.int64))
 
-    @F.pandas_udf("long")
-    def bucket_of(at: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(cuts, at.to_numpy(), side="right"))
+    def bucket_of(cuts: np.ndarray):
+        @F.pandas_udf("long")
+        def number(at: pd.Series) -> pd.Series:
+            return pd.Series(np.searchsorted(cuts, at.to_numpy(), side="right"))
 
-    placed = rows.withColumn("bucket", bucket_of("at"))
+        return number("at")
+
+    near = np.unique(np.array([min(int(x), 2**63 - 1) for x in bounds], dtype=np.int64))
+    keys = [r[0] for r in ids.groupBy(bucket_of(near).alias("bucket")).agg(F.min("at")).select("min(at)").collect()] if len(near) else []
+    cuts = np.unique(np.array([k for k in keys if k != least], dtype=np.int64))
+    placed = rows.withColumn("bucket", bucket_of(cuts))
     row = lambda b, late: F.struct(b.cast("long").alias("bucket"), F.lit(late).alias("late"))
     last = F.lit(len(cuts))
     is_cut = F.col("at").isin([int(c) for c in cuts]) if len(cuts) else F.lit(False)

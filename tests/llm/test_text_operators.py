@@ -122,6 +122,14 @@ def test_order_minhash_equals_its_definition(text):
     assert orderminhash.order_minhash(code_points(text), m=16).tolist() == _plain_order_minhash(text, orderminhash.K, orderminhash.L, 16)
 
 
+def test_followers_of_keys_beyond_doubles(spark):
+    ids = [2**62 + 37 * i + 1 for i in range(80)] + [2**63 - 1]
+    df = spark.createDataFrame([(i, f"text number {i} of several") for i in ids], "doc_id long, text string")
+    got = list(orderminhash.edited_pairs(tuple(r) for r in orderminhash.with_followers(df, "doc_id", "text", 8).collect()))
+    texts = [f"text number {i} of several" for i in ids]
+    assert sorted((k, own, after) for k, own, _, after in got) == list(zip(ids, texts, texts[1:] + texts[:1], strict=True))
+
+
 def test_order_counts():
     rng = random.Random(2)
     words = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(300)]
