@@ -1,11 +1,12 @@
 """Byte-level BPE encoding and decoding with a two-tier lookup.
 
-Tier one: a minimal perfect hash over the vocabulary resolves pre-tokens that
-are tokens themselves, whole batches of them in vectorised steps. The keys are
-the bytes (up to 16, in two words, with the length), compared after the lookup,
-so no pre-token is taken for another. Tier two: other pre-tokens are merged on
-a linked list of byte ranges with a heap of pairs ordered by (rank, position);
-results of short ones are kept in a bounded table of the worker.
+Tier one: a minimal perfect hash over the whole vocabulary resolves pre-tokens
+that are tokens themselves, whole batches of them in vectorised steps. The keys
+are the first 16 bytes in two words with the length, and for a longer one a
+hash of all bytes; they are compared after the lookup, so no pre-token is taken
+for another. Tier two: other pre-tokens are merged on a linked list of byte
+ranges with a heap of pairs ordered by (rank, position); results of short ones
+are kept in a bounded table of the worker.
 
 Edge cases: a null text is empty and has no ids; lone surrogates cannot occur
 in Spark strings; a text of one very long pre-token takes O(n log n); repeated
@@ -24,6 +25,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import regex
+import xxhash
 from pyspark.sql import DataFrame
 
 from .common import U64, code_points, mix64, seeds, text_of
@@ -85,10 +87,16 @@ def _key(first: np.ndarray, second: np.ndarray, lengths: np.ndarray) -> np.ndarr
         return mix64(first ^ mix64(second + lengths.astype(U64) * U64(0x9E3779B97F4A7C15)))
 
 
+def _keys(data: bytes, starts: np.ndarray, first: np.ndarray, second: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The keys of stretches of data: of their two words, and of all bytes of those longer than these."""
+    out = _key(first, second, lengths)
+    for i in np.flatnonzero(lengths > 16).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(data[starts[i] : starts[i] + lengths[i]])
+    return out
+
+
 def merge(piece: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
-    """The ids of a pre-token: of the adjacent pairs, that of the lowest rank is merged first, the leftmost of equal ones."""
-    if (whole := ranks.get(piece)) is not None:
-        return (whole,)
+    """The ids of a pre-token that is no token itself: of the adjacent pairs, that of the lowest rank is merged first, the leftmost of equal ones."""
     n, get = len(piece), ranks.get
     after, before = list(range(1, n + 1)), list(range(-1, n))  # after[i] is 0 once the range at i is merged into another
     heap = [(r, i, i + 2) for i in range(n - 1) if (r := get(piece[i : i + 2])) is not None]
@@ -191,14 +199,15 @@ class Codec:
         self.pattern, self.common = regex.compile(pattern), pattern == COMMON_PATTERN
         self.merged = _Merged(self.ranks)
         self.token = {i: t for t, i in self.ranks.items()}
-        short = [(t, i) for t, i in self.ranks.items() if len(t) <= 16]
-        lengths = np.array([len(t) for t, _ in short])
-        first, second = _words(b"".join(t for t, _ in short), np.cumsum(lengths) - lengths, lengths)
-        keys = _key(first, second, lengths)
+        tokens = list(self.ranks)
+        lengths = np.fromiter(map(len, tokens), dtype=np.int64, count=len(tokens))
+        data, starts = b"".join(tokens), np.cumsum(lengths) - lengths
+        first, second = _words(data, starts, lengths)
+        keys = _keys(data, starts, first, second, lengths)
         self.hash = PerfectHash(keys)
         at = self.hash(keys)
-        self.first, self.second, self.length, self.id = (np.empty(len(short), dtype=d) for d in (U64, U64, np.int64, np.int32))
-        self.first[at], self.second[at], self.length[at], self.id[at] = first, second, lengths, [i for _, i in short]
+        self.first, self.second, self.length, self.id = (np.empty(len(tokens), dtype=d) for d in (U64, U64, np.int64, np.int32))
+        self.first[at], self.second[at], self.length[at], self.id[at] = first, second, lengths, list(self.ranks.values())
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in one array, and where those of each text begin (with the end at last)."""
@@ -219,19 +228,20 @@ class Codec:
             starts = np.where(starts > 0, size[starts - 1], 0)
         lengths = np.diff(starts, append=len(data))
         first, second = _words(data, starts, lengths)
-        key = _key(first, second, lengths)
+        key = _keys(data, starts, first, second, lengths)
         at = self.hash(key)
         hit = (at >= 0) & (self.first[at] == first) & (self.second[at] == second) & (self.length[at] == lengths)
+        for i in np.flatnonzero(hit & (lengths > 16)).tolist():
+            hit[i] = self.token[int(self.id[at[i]])] == data[starts[i] : starts[i] + lengths[i]]
         missed = np.flatnonzero(~hit)
-        # a pre-token of up to 16 bytes is looked up once in a batch, a longer one each time
-        short = lengths[missed] <= 16
-        _, one, which = np.unique(key[missed[short]], return_index=True, return_inverse=True)
-        one = missed[short][one]
-        which = which + int((~short).sum())
-        order = np.empty(len(missed), dtype=np.int64)
-        order[short], order[~short] = which, np.arange(int((~short).sum()))
-        looked = np.concatenate((missed[~short], one))
+        # a pre-token is looked up once in a batch; of 16 bytes or less by its words, else by its key, too
+        _, one, order = np.unique(key[missed], return_index=True, return_inverse=True)
+        looked = missed[one]
         same = (first[missed] == first[looked[order]]) & (second[missed] == second[looked[order]]) & (lengths[missed] == lengths[looked[order]])
+        long = np.flatnonzero(same & (lengths[missed] > 16))
+        for i in long.tolist():
+            m, o, n = missed[i], looked[order[i]], lengths[missed[i]]
+            same[i] = m == o or data[starts[m] : starts[m] + n] == data[starts[o] : starts[o] + n]
         apart = np.flatnonzero(~same)  # as good as never: equal keys of different bytes
         order[apart] = len(looked) + np.arange(len(apart))
         looked = np.concatenate((looked, missed[apart]))

@@ -14,9 +14,11 @@ empty table.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Iterator
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -41,7 +43,22 @@ def safe_parts(text: str, most: int = LONG_CHARS) -> Iterator[str]:
     yield text[at:]
 
 
+def splits_safely(path: str) -> bool:
+    """Whether the vocabulary's own description lets texts be split by safe_parts(): byte-level pre-tokens by the usual
+    pattern, nothing normalised or put before a text, and no added string that holds or swallows white space."""
+    if not path.endswith(".json"):
+        return False
+    with open(path, encoding="utf-8") as f:
+        whole = json.load(f)
+    cut = whole.get("pre_tokenizer") or {}
+    own = cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space", True)
+    added = whole.get("added_tokens") or []
+    return own and not whole.get("normalizer") and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or re.search(r"\s", t["content"]) for t in added)
+
+
+@cache
 def _counter(path: str):
+    """The function that gives the lengths of encoded texts, and whether long texts may be split; one for each worker process."""
     if path.endswith(".model"):
         import sentencepiece
 
@@ -53,21 +70,21 @@ def _counter(path: str):
     model = Tokenizer.from_file(path)
     model.no_truncation()
     model.no_padding()
-    return (lambda texts: [len(x) for x in model.encode_batch_fast(texts, add_special_tokens=False)]), path.endswith(".json") and "byte" in os.path.basename(path)
+    return (lambda texts: [len(x) for x in model.encode_batch_fast(texts, add_special_tokens=False)]), splits_safely(path)
 
 
 def token_counts(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", limit: int = 512, split_long: bool | None = None) -> DataFrame:
     """(key, n_bytes, n_tokens, over_limit) for each row of docs; over_limit where n_tokens > limit.
 
-    split_long: whether the vocabulary allows safe_parts(); by default it is
-    taken to for byte-level .json files only.
+    split_long: whether the vocabulary allows safe_parts(); by default its file
+    tells, as splits_safely() reads it.
     """
 
     def lengths(batches):
         count, splits = _counter(path)
         splits = splits if split_long is None else split_long
         for b in batches:
-            texts = b.column(1).to_pylist()
+            texts, sizes = b.column(1).to_pylist(), b.column(2).to_pylist()
             total, part_of, parts, size = [0] * len(texts), [], [], 0
 
             def flush():
@@ -77,10 +94,11 @@ def token_counts(docs: DataFrame, path: str, key: str = "doc_id", text: str = "t
                 parts.clear()
 
             for i, t in enumerate(texts):
-                for part in safe_parts(t) if splits else (t,):
+                whole = not splits or len(t) <= LONG_CHARS
+                for part in (t,) if whole else safe_parts(t):
                     parts.append(part)
                     part_of.append(i)
-                    size += len(part)
+                    size += sizes[i] if whole else len(part.encode())
                     if size >= BATCH_BYTES:
                         flush()
                         size = 0
