@@ -5,12 +5,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .packing import pack
 
-#: byte_bpe_50k.tiktoken has the ranks of byte_bpe_50k.json, whose one added string is this.
-SPECIAL = {"<|endoftext|>": 50256}
-
 
 def packed(docs: DataFrame) -> DataFrame:
-    return pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, SPECIAL, end_id=0, capacity=1024)
+    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=0, capacity=1024)
 
 
 def op10_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -245,28 +245,76 @@ def test_packing(spark, documents, library):
 
 
 @settings(max_examples=100, deadline=None)
-@given(lengths=st.lists(st.integers(1, 3000), max_size=60))
+@given(lengths=st.lists(st.integers(1, 3000), max_size=60) | st.lists(st.integers(1, 40), max_size=300) | st.lists(st.integers(500, 700), max_size=120))
 def test_bins_hold_every_piece_once(lengths):
     bins, out = packing.Harmonic(5), []
     for i, n in enumerate(lengths):
-        for start, size in packing.pieces(n):
-            out += bins.add(i, start, size)
+        whole = bins.whole(n)
+        out += bins.full((i, 0), whole)
+        if n > whole:
+            out += bins.add((i, whole), n - whole, n > 1024)
     out += bins.rest()
-    have = defaultdict(list)
-    for tag, start, size, sequence, offset in out:
-        have[tag].append((start, size))
-        assert sequence >= 5 and offset + size <= 1024
+    have, by = defaultdict(list), defaultdict(list)
+    for (tag, begin), start, size, sequence, offset in out:
+        have[tag].append((begin + start, size))
+        by[sequence].append((offset, size))
+        assert sequence >= 5
     for i, n in enumerate(lengths):
         at = 0
         for start, size in sorted(have[i]):
             assert start == at
             at += size
         assert at == n
-    fill = Counter()
-    for *_, size, sequence, _ in out:
-        fill[sequence] += size
-    # a bin of short rests of one size lacks less than that size
-    assert all(n & (n - 1) == 0 or n > 1024 - packing.LEAST for n in fill.values())
+    for pieces in by.values():
+        end = 0
+        for offset, size in sorted(pieces):
+            assert offset == end
+            end += size
+        assert end == 1024 or end & (end - 1) == 0 and end < 1024
+
+
+def test_bins_of_a_class_take_its_count():
+    bins, out = packing.Harmonic(0), []
+    for i, n in enumerate([512, 512, 256, 341, 256, 341, 256, 256, 342, 342]):
+        out += bins.add(i, n)
+    by = defaultdict(set)
+    for tag, _, _, sequence, _ in out:
+        by[sequence].add(tag)
+    assert list(by.values()) == [{0, 1}, {2, 4, 6, 7}] and bins.open.keys() == {3} and [len(p) for *_, p in bins.waiting] == [2]
+    out = bins.add(10, 340, True)  # the rest of a long document fills the room that waits
+    assert [(x[0], x[1], x[2]) for x in out] == [(8, 0, 342), (9, 0, 342), (10, 0, 340)]
+
+
+def test_most_documents_stay_whole(spark):
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choices(["alpha", "beta", "gamma", "delta"], k=int(rng.paretovariate(1.1) * 100) % 3000))) for i in range(3000)]
+    out = packed(spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)).collect()
+    pieces = Counter(r.doc_id for r in out)
+    short = {r.doc_id for r in out if r.doc_tokens < 1024}
+    assert sum(pieces[i] == 1 for i in short) > 0.9 * len(short)
+
+
+def test_the_vocabulary_file_gives_the_librarys_ids(library):
+    ranks, added = packing.plain_ranks(public_tokenizers.path("byte_bpe_50k.json"))
+    assert len(ranks) + len(added) == library.get_vocab_size() and packing.plain_ranks(public_tokenizers.path("word_bpe_49k.json")) is None
+    # a token that is a pre-token is the library's encoding of its bytes, too
+    import regex
+
+    for t, i in ranks.items():
+        text = t.decode("utf-8", "replace")
+        if text.encode() == t and regex.fullmatch(bpe.COMMON_PATTERN, text):
+            assert library.encode(text, add_special_tokens=False).ids == [i]
+
+
+@pytest.mark.parametrize("text", [" " * 1_500_000, "a" * 400_000, "x " + "\n" * 300_000 + " y" * 100_000, "東" * 300_000])
+def test_long_texts_without_boundaries(spark, library, text):
+    want = [*library.encode(text, add_special_tokens=False).ids, 0]
+    rows = packed(spark.createDataFrame([(1, text)], "doc_id long, text string")).orderBy("start").collect()
+    at = 0
+    for r in rows:
+        assert r.start == at and r.doc_tokens == len(want) and r.ids_crc32 == zlib.crc32(np.array(want[at : at + r.length], dtype="<u4").tobytes())
+        at += r.length
+    assert at == len(want)
 
 
 # ---- 2 ---------------------------------------------------------------------------
