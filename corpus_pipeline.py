@@ -12,7 +12,7 @@ from tempoloom.llm.cdc import repeated_spans, without_spans
 from tempoloom.llm.common import written
 from tempoloom.llm.cotrain import accepted, fit
 from tempoloom.llm.neardup import without_near_duplicates
-from tempoloom.llm.pii import pseudonymised
+from tempoloom.llm.pii import pseudonymised, session_key
 from tempoloom.llm.q_packing import packed
 
 
@@ -33,7 +33,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal values give way to pseudonyms of the same format."""
-    return pseudonymised(docs)
+    return pseudonymised(docs, session_key(spark))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,6 +8,16 @@ part. A permutation keeps equal values equal, and different ones different,
 across all documents, so links survive while the values do not. Numbers that
 fail their check are left alone.
 
+A value has one pseudonym however it is written: a date in any order of its
+fields, padded or not; a telephone number with or without its country's code.
+So that widths and the reading of a date stay, dates are permuted among those
+whose month and day have as many digits and whose day is 12 or less, or more.
+
+The key is a secret of whoever runs this: session_key() reads it from the
+session's settings. Without one there a random key is made that lasts as long
+as the session, so pseudonyms of different sessions don't link, and nobody can
+invert them.
+
 Edge cases: null texts stay null; an empty text stays empty; a value that
 touches letters or further digits is none; of a run of digit groups the longest
 readings that pass as cards count, and of an IBAN's groups the most that pass;
@@ -19,33 +29,40 @@ from __future__ import annotations
 
 import datetime
 import hmac
+import math
 import re
+import secrets
 from collections.abc import Callable
-from functools import lru_cache
+from functools import cache, lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import LongType, StructField, StructType
 
 from .common import map_rows, text_of
 
-#: The default key is for tests and demonstrations; give your own.
-KEY = b"tempoloom pseudonyms"
+#: The session's setting that holds the key.
+SETTING = "spark.tempoloom.pseudonymKey"
 ROUNDS = 8
+_RANDOM: dict[str, bytes] = {}
+
+
+def session_key(spark: SparkSession) -> bytes:
+    """The key in SETTING, or else a random one, the same throughout the application."""
+    given = spark.conf.get(SETTING, None)
+    return given.encode() if given else _RANDOM.setdefault(spark.sparkContext.applicationId, secrets.token_bytes(32))
 
 
 def permute(value: int, size: int, key: bytes, tweak: bytes) -> int:
     """A keyed permutation of 0..size-1: an unbalanced Feistel network on two digits of radix about sqrt(size), with cycle walking."""
     if size < 2:
         return 0
-    a = max(2, int(size**0.5))
-    while a * a < size:
-        a += 1
+    a = max(2, math.isqrt(size - 1) + 1)
     while True:
         left, right = divmod(value, a)
         for i in range(ROUNDS):
             digest = hmac.digest(key, b"%b|%d|%d|%d" % (tweak, size, i, right), "sha256")
-            left, right = right, (left + int.from_bytes(digest[:16], "big")) % a
+            left, right = right, (left + int.from_bytes(digest, "big")) % a
         value = left * a + right
         if value < size:
             return value
@@ -82,9 +99,7 @@ def _iban(text: str, key: bytes) -> str | None:
     value = lambda x: int("".join(str(int(c, 36)) for c in x))
     if value(s[4:] + s[:4]) % 97 != 1:
         return None
-    body = s[4:]
-    digits = _digits(body)
-    new = _refill(body, f"{permute(int(digits or 0), 10 ** len(digits), key, b'iban' + s[:2].encode()):0{len(digits)}d}" if digits else "")
+    new = _places(s[4:], key, b"iban" + s[:2].encode())
     whole = s[:2] + f"{98 - value(new + s[:2] + '00') % 97:02d}" + new
     it = iter(whole)
     return "".join(c if c == " " else next(it) for c in text)
@@ -101,13 +116,18 @@ def _ssn(text: str, key: bytes) -> str | None:
     return f"{areas[area]:03d}{text[3]}{group + 1:02d}{text[6]}{serial + 1:04d}"
 
 
+_CODE = re.compile(r"\+(\d{1,3})[ .(-]")
+
+
 def _phone(text: str, key: bytes) -> str | None:
     d = _digits(text)
-    keep = len(d) - 10 if text[0] == "+" and len(d) > 10 else 0  # the country's code stays
     if not 9 <= len(d) <= 15 or len(set(d)) == 1:
         return None
+    # the country's code stays, and so does the zero before a national number, so that both ways to write it have one pseudonym
+    code = _CODE.match(text)
+    keep = len(code[1]) if code else len(d) - 10 if text[0] == "+" and len(d) > 10 else 1 if d[0] == "0" else 0
     body = d[keep:]
-    return _refill(text, d[:keep] + f"{permute(int(body), 10 ** len(body), key, b'phone' + d[:keep].encode()):0{len(body)}d}")
+    return _refill(text, d[:keep] + f"{permute(int(body), 10 ** len(body), key, b'phone'):0{len(body)}d}")
 
 
 def _ip(text: str, key: bytes) -> str | None:
@@ -122,6 +142,23 @@ _EPOCH = datetime.date(1900, 1, 1).toordinal()
 _DAYS = datetime.date(2100, 1, 1).toordinal() - _EPOCH
 
 
+def _date_class(d: datetime.date) -> tuple[bool, int]:
+    """Dates of one class have fields of equal widths, and are read alike where a day of more than 12 tells days from months."""
+    return d.month > 9, 0 if d.day < 10 else 1 if d.day < 13 else 2
+
+
+@cache
+def _dates() -> tuple[dict[tuple[bool, int], list[int]], list[int]]:
+    """The days of each class in order, and the number of each day within its class."""
+    classes: dict[tuple[bool, int], list[int]] = {}
+    numbers = []
+    for n in range(_DAYS):
+        own = classes.setdefault(_date_class(datetime.date.fromordinal(_EPOCH + n)), [])
+        numbers.append(len(own))
+        own.append(n)
+    return classes, numbers
+
+
 def _date(text: str, key: bytes) -> str | None:
     parts = re.split(r"[-/.]", text)
     year_first = len(parts[0]) == 4
@@ -130,20 +167,16 @@ def _date(text: str, key: bytes) -> str | None:
     day_first = not year_first and ("." in text or a > 12)
     month, day = (b, a) if day_first else (a, b)
     try:
-        n = datetime.date(year, month, day).toordinal() - _EPOCH
+        own = datetime.date(year, month, day)
     except ValueError:
         return None
-    if not 0 <= n < _DAYS:
+    if not 0 <= (n := own.toordinal() - _EPOCH) < _DAYS:
         return None
-    # what decides the reading stays decidable: a month-first date walks on until its first part is no more than 12, as any is
-    new = n
-    while True:
-        new = permute(new, _DAYS, key, b"date")
-        d = datetime.date.fromordinal(_EPOCH + new)
-        if not day_first or "." in text or d.day > 12:
-            break
-    out = f"{d.year:04d}", f"{(d.day if day_first else d.month):02d}", f"{(d.month if day_first else d.day):02d}"
-    return _refill_date(text, out if year_first else (out[1], out[2], out[0]))
+    classes, numbers = _dates()
+    kind = _date_class(own)
+    d = datetime.date.fromordinal(_EPOCH + classes[kind][permute(numbers[n], len(classes[kind]), key, b"date%d%d" % kind)])
+    fields = (d.year, d.month, d.day) if year_first else (d.day, d.month, d.year) if day_first else (d.month, d.day, d.year)
+    return _refill_date(text, tuple(f"{v:0{len(p)}d}" for v, p in zip(fields, parts, strict=True)))
 
 
 def _refill_date(text: str, parts: tuple[str, ...]) -> str:
@@ -151,25 +184,32 @@ def _refill_date(text: str, parts: tuple[str, ...]) -> str:
     return re.sub(r"\d+", lambda _: next(it), text)
 
 
+#: Characters that the local part of a mail address may have.
+LOCAL = 64
+
+
 def _mail(text: str, key: bytes) -> str | None:
     local, _, domain = text.rpartition("@")
-    runs = re.findall(r"[a-z]+|[A-Z]+|\d+|[^a-zA-Z\d]+", local)
-    if not any(r.isalnum() for r in runs):
+    if len(local) > LOCAL:
         return None
-    # one number over the whole local part, each place in the radix of its class
-    places = [(26, ord("a")) if c.islower() and c.isascii() else (26, ord("A")) if c.isupper() and c.isascii() else (10, ord("0")) if c.isdigit() and c.isascii() else None for c in local]
+    return _places(local, key, b"mail" + domain.lower().encode()) + "@" + domain
+
+
+def _places(text: str, key: bytes, tweak: bytes) -> str:
+    """text with its ASCII letters and digits permuted as one number, each place in the radix of its class; other characters stay."""
+    places = [(26, ord("a")) if "a" <= c <= "z" else (26, ord("A")) if "A" <= c <= "Z" else (10, ord("0")) if "0" <= c <= "9" else None for c in text]
     value, size = 0, 1
-    for c, p in zip(local, places, strict=True):
+    for c, p in zip(text, places, strict=True):
         if p:
             value, size = value * p[0] + ord(c) - p[1], size * p[0]
-    value = permute(value, size, key, b"mail" + "".join("-" if not p else chr(p[1]) for p in places).encode() + domain.lower().encode())
+    value = permute(value, size, key, tweak + b"|" + "".join("-" if not p else chr(p[1]) for p in places).encode())
     out = []
-    for c, p in zip(reversed(local), reversed(places), strict=True):
+    for c, p in zip(reversed(text), reversed(places), strict=True):
         if p:
             value, r = divmod(value, p[0])
             c = chr(p[1] + r)
         out.append(c)
-    return "".join(reversed(out)) + "@" + domain
+    return "".join(reversed(out))
 
 
 #: Kind, what a candidate looks like, and how it is checked and replaced; of candidates at one place the first kind counts.
@@ -228,7 +268,7 @@ _READ = {"card": _cards, "iban": _ibans}
 class Pseudonyms:
     """Replaces the values of a text by pseudonyms under one key; the latest are kept at hand."""
 
-    def __init__(self, key: bytes = KEY):
+    def __init__(self, key: bytes):
         self.of = lru_cache(1 << 16)(lambda n, value: _PATTERNS[n][2](value, key))
 
     def spans(self, text: str) -> list[tuple[int, int, str, str]]:
@@ -283,7 +323,7 @@ def _mails(text: str, pattern: re.Pattern):
         at = text.find("@", max(seen, at + 1))
 
 
-def pii_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", secret: bytes = KEY) -> DataFrame:
+def pii_spans(docs: DataFrame, secret: bytes, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, kind, start, end, value, pseudonym) of each value, in code points."""
     rows = text_of(docs, key, text=text)
 
@@ -296,7 +336,7 @@ def pii_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", secret:
     return map_rows(rows, each, f"{key} {rows.schema[key].dataType.simpleString()}, kind string, start long, end long, value string, pseudonym string")
 
 
-def pseudonymised(docs: DataFrame, text: str = "text", length: str = "n_chars", secret: bytes = KEY, count: str | None = None) -> DataFrame:
+def pseudonymised(docs: DataFrame, secret: bytes, text: str = "text", length: str = "n_chars", count: str | None = None) -> DataFrame:
     """docs with the values in their texts replaced, and length set anew where a text's length changed; count: a further column for the number of values replaced."""
     names, at = docs.columns, docs.columns.index(text)
     n_at = names.index(length) if length in names else None

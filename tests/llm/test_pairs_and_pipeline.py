@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tempoloom.llm import cdc, graph, neardup, topk
 from tempoloom.llm.common import code_points
-from tempoloom.llm.pii import Pseudonyms
+from tempoloom.llm.pii import Pseudonyms, session_key
 from tempoloom.llm.q_cdc import op3_chunk_dedup
 from tempoloom.llm.q_neardup import op2_bag_minhash_dedup
 from tempoloom.llm.q_topk import SQL, op5_exact_top_k
@@ -370,7 +370,7 @@ def test_pipeline(spark, tmp_path):
     assert set(seen[2]) == set(seen[1]) and [i for i in (13, 23, 33) if passage in seen[2][i].text] == [13]
     changed = {i for i in seen[2] if seen[2][i].text != seen[1][i].text}
     assert changed == {23, 33}
-    own = Pseudonyms()
+    own = Pseudonyms(session_key(spark))
     assert {i for i in seen[3] if seen[3][i].text != seen[2][i].text} == {14} and seen[3][14].text == own(seen[2][14].text) and "10.1.2.3" not in seen[3][14].text
     lengths = defaultdict(int)
     for r in seen[4]:

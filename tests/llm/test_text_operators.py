@@ -1,6 +1,8 @@
 """Small tests of the operators on texts, against libraries and brute force."""
 
+import datetime
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -61,7 +63,7 @@ def test_null_keys_and_repeated_rows(spark):
     assert orderminhash.fingerprints(df).select("fingerprint").distinct().count() == 1
     assert orderminhash.edit_sensitivity(df).count() == 3
     assert tokencounts.token_counts(df, public_tokenizers.path("byte_bpe_50k.json")).count() == 3
-    assert secrets.secret_spans(df).count() == 3 and pii.pseudonymised(df).count() == 3
+    assert secrets.secret_spans(df).count() == 3 and pii.pseudonymised(df, b"key").count() == 3
     assert sorted(r.n for r in packed(df).groupBy("doc_id").agg({"length": "sum"}).toDF("doc_id", "n").collect()) == [3, 6]
     model = cotrain.co_train((np.zeros((0, 1)),) * 2, np.zeros(0), (np.zeros((0, 1)),) * 2)
     assert cotrain.scored(df, model).where("keep").count() == 3 and cotrain.accepted(df, model).schema == df.schema
@@ -478,18 +480,137 @@ def test_values_beside_further_groups(value, text):
         return
     text = f"pay {text.format(value)} now"
     at = text.index(value)
-    assert [(s, e) for s, e, k, _ in pii.Pseudonyms().spans(text) if k in ("card", "iban")] == [(at, at + len(value))]
+    assert [(s, e) for s, e, k, _ in pii.Pseudonyms(b"key").spans(text) if k in ("card", "iban")] == [(at, at + len(value))]
 
 
 @pytest.mark.parametrize("text", ["", "4111111111111112", "999.1.1.1", "2023-02-30", "000-12-3456", "DE00 3704 0044 0532 0130 00", "a@b", "v1.2.3", "id 12345", "x4111111111111111", "pi 3.14159265358979"])
 def test_values_that_fail_their_check_stay(text):
-    assert pii.Pseudonyms()(text) == text
+    assert pii.Pseudonyms(b"key")(text) == text
 
 
 def test_only_texts_and_their_lengths_change(spark, documents):
     docs = spark.read.parquet(f"{documents[0]}/documents.parquet")
-    out = pii.pseudonymised(docs)
+    out = pii.pseudonymised(docs, b"key")
     assert out.schema == docs.schema and out.exceptAll(docs).count() == 0
     one = spark.createDataFrame([(1, "x", "from 1.2.3.4 to", 15)], "doc_id long, extra string, text string, n_chars long")
-    r = pii.pseudonymised(one, count="n_values").first()
+    r = pii.pseudonymised(one, b"key", count="n_values").first()
     assert r.n_chars == len(r.text) and r.n_values == 1 and r.text != "from 1.2.3.4 to"
+
+
+@pytest.mark.parametrize(
+    "group",
+    [
+        ["2024-02-13", "2024/02/13", "13/02/2024", "13.02.2024", "02/13/2024", "2/13/2024", "2024-2-13", "13-02-2024"],
+        ["2024-02-09", "2024-2-9", "09.02.2024", "9.2.2024", "02/09/2024"],
+        ["+1 (974) 555-3436", "974-555-3436", "(974) 555-3436", "+19745553436", "974.555.3436"],
+        ["+49 171 123 4567", "0171 123 4567"],
+    ],
+)
+def test_one_value_has_one_pseudonym(group):
+    p = pii.Pseudonyms(b"key")
+    canon = lambda t: [c for n in re.findall(r"\d+", t) for c in n]
+    out = [p(f"x {v} y")[2:-2] for v in group]
+    assert all(len(a) == len(b) and re.sub(r"\d", "0", a) == re.sub(r"\d", "0", b) and a != b for a, b in zip(group, out, strict=True))
+    if "2024" in group[0]:
+        def fields(v, was):
+            a = [int(x) for x in re.split(r"[-/.]", v)]
+            day_first = "." in was or re.match(r"1[3-9][-/]", was)
+            return (a[0], a[1], a[2]) if len(re.split(r"[-/.]", was)[0]) == 4 else (a[2], a[1], a[0]) if day_first else (a[2], a[0], a[1])
+
+        assert len({fields(v, was) for v, was in zip(out, group, strict=True)}) == 1
+    else:
+        assert len({"".join(canon(v))[-9:] for v in out}) == 1
+
+
+def test_letters_of_an_iban_are_replaced_too():
+    out = pii.Pseudonyms(b"key")("GB82 WEST 1234 5698 7654 32")
+    assert re.fullmatch(r"GB\d\d [A-Z]{4} \d{4} \d{4} \d{4} \d\d", out) and "WEST" not in out
+    s = out.replace(" ", "")
+    assert int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1
+
+
+def test_keys_come_from_the_session(spark):
+    spark.conf.unset(pii.SETTING)
+    one = pii.session_key(spark)
+    assert len(one) == 32 and pii.session_key(spark) == one
+    spark.conf.set(pii.SETTING, "own")
+    assert pii.session_key(spark) == b"own"
+    spark.conf.unset(pii.SETTING)
+
+
+def _plain_permute(value, size, key, tweak):
+    """The Feistel network once more, in steps."""
+    import hmac
+
+    a = 2
+    while a * a < size:
+        a += max(1, (math.isqrt(size) - a) // 2)
+    while True:
+        left, right = value // a, value % a
+        for i in range(8):
+            mixed = hmac.new(key, tweak + f"|{size}|{i}|{right}".encode(), "sha256").digest()
+            left, right = right, (left + int.from_bytes(mixed, "big")) % a
+        value = left * a + right
+        if value < size:
+            return value
+
+
+def test_pseudonym_query_equals_a_plain_version(spark, tmp_path):
+    """Whole texts made of known values and filling, one long, against replacements made one at a time."""
+    key, rng = b"own", random.Random(12)
+    card_body = lambda body: next(body + c for c in "0123456789" if pii.luhn(body + c))
+
+    def card():
+        v = card_body("4" + "".join(rng.choices("0123456789", k=14)))
+        return v, card_body(f"{_plain_permute(int(v[:-1]), 10**15, key, b'card'):015d}")
+
+    def ip():
+        v = [rng.randrange(256) for _ in range(4)]
+        n = _plain_permute(int.from_bytes(bytes(v), "big"), 2**32, key, b"ip")
+        return ".".join(map(str, v)), ".".join(map(str, n.to_bytes(4, "big")))
+
+    def phone():
+        v = f"{rng.randrange(10**9, 10**10)}"
+        w = f"{_plain_permute(int(v), 10**10, key, b'phone'):010d}"
+        return f"{v[:3]}-{v[3:6]}-{v[6:]}", f"{w[:3]}-{w[3:6]}-{w[6:]}"
+
+    def mail():
+        v = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6))
+        n = 0
+        for c in v:
+            n = n * 26 + ord(c) - 97
+        n, w = _plain_permute(n, 26**6, key, b"mailexample.org|aaaaaa"), ""
+        for _ in range(6):
+            n, w = n // 26, chr(97 + n % 26) + w
+        return f"{v}@example.org", f"{w}@example.org"
+
+    def day():
+        first = datetime.date(1900, 1, 1)
+        days = [first + datetime.timedelta(n) for n in range((datetime.date(2100, 1, 1) - first).days)]
+        own = days[rng.randrange(len(days))]
+        group = lambda d: (d.month > 9, 0 if d.day < 10 else 1 if d.day < 13 else 2)
+        like = [d for d in days if group(d) == group(own)]
+        new = like[_plain_permute(like.index(own), len(like), key, b"date%d%d" % group(own))]
+        return own.isoformat(), new.isoformat()
+
+    rows, want = [(0, None, 1), (1, "", 0), (2, "no values", 9)], {0: (None, 1, 0), 1: ("", 0, 0), 2: ("no values", 9, 0)}
+    for i in range(3, 60):
+        before, after, n = [], [], rng.randrange(0, 9) if i else 0
+        for _ in range(3000 if i == 30 else n):
+            filling = " " + "".join(rng.choices("ghijkl ", k=rng.randrange(3, 60))) + " "
+            v, w = rng.choice([card, ip, phone, mail, day] if i != 30 else [card, ip, phone, mail])()
+            before += [filling, v]
+            after += [filling, w]
+        a, b = "".join(before), "".join(after)
+        rows.append((i, a, len(a)))
+        want[i] = (b, len(b), len(before) // 2)
+    spark.createDataFrame(rows, "doc_id long, text string, n_chars long").repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.conf.set(pii.SETTING, key.decode())
+    got = {r.doc_id: (r.text, r.n_chars, r.n_values) for r in op9_pii_pseudonyms(spark, str(tmp_path)).collect()}
+    spark.conf.unset(pii.SETTING)
+    assert got == want
+
+
+def test_long_local_parts_are_no_mail():
+    text = "a" * 100_000 + "@example.org"
+    assert pii.Pseudonyms(b"key")(text) == text
