@@ -8,24 +8,38 @@ boundaries from 16 + RADIUS code points after its begin to RADIUS before its end
 digest occurs earlier - in a document with a smaller key, or before in the same
 one - is a repeat of its first occurrence.
 
-Repeated chunks that touch form a region, whose chunks may come from several
-places. For each place that a part of a region comes from, prefix hashes tell
-whether the whole region stands there word for word. As a repeated passage
-rarely begins or ends at a boundary, both ends are then compared with the text
-around that place and extended to the exact passage. Where the whole region
-does not stand there, both texts are laid over each other at that place, and
-all stretches that are equal are taken. Passages of at least ``words`` words
-are repeats: the first occurrence stays, the others go. Short lines from
-several places that happen to touch are none.
-
-The chunks of all documents are grouped by digest with partial aggregation and
-joined back, which adaptive execution can split when a digest is very common.
+1. Chunks are deduplicated by digest: the chunks of all documents are grouped
+   by it with partial aggregation and joined back with the first place of each,
+   which adaptive execution can split when a digest is very common.
+2. Repeated chunks that touch and come from one place, in order, form a stretch
+   of that source. Where the source changes, the longer run may still stand as
+   a whole in a later document: all runs of several chunks across the change,
+   until they have ``words`` words, are deduplicated in the same way by a digest
+   of their digests; beyond EACH chunks, where words are very long, their lengths
+   grow by a quarter. So a passage whose chunks occur first in several documents
+   leads to the first document that holds the run.
+3. Of the stretches and repeated runs of a document those within others go, and
+   those go that can't be part of a long passage: beyond its chunks a passage
+   covers no whole further chunk but those too near its ends to be in step.
+4. The document and each source left are laid over each other there, and the
+   equal text around is taken as far as it goes. Passages of at least ``words``
+   words are repeats: the first occurrence stays, the others go. Short lines from
+   several places that happen to touch are none.
+
+A word begins at a character that isn't white space after one that is, and at
+each character of a script that is written without spaces.
 
 Edge cases: a null text is empty and has no chunks; rows with a null key are
-not compared and stay as they are; rows that share a key and text count once;
-a text that repeats a few code points is cut at ties, one without any is cut
-every 1024 code points; extra columns are ignored or kept; an empty table gives
-an empty table.
+not compared and stay as they are; rows that share a key and text count once,
+rows that share a key only are documents of their own; a text that repeats a
+few code points is cut at ties, one without any is cut every 1024 code points;
+texts are compared whole, one pair at a time, however long they are; extra
+columns are ignored or kept, whatever their names; an empty table gives an
+empty table. A passage of fewer than about 150 code points, which is one of very
+short words, may hold no whole chunk in step, and isn't found then. A passage that begins or ends in
+a text that repeats itself without end may lose a part there, as chunks of such
+a text are in step only from its begin; beside the ends of a passage, text of
+less than a chunk may stay that only a later source shares.
 """
 
 from __future__ import annotations
@@ -36,16 +50,35 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import code_points, map_rows, mix64, seeds, text_of, written
+from .common import U64, code_points, map_rows, mix64, seeds, written
 
 RADIUS, LONGEST = 16, 1024
-#: Words from which a repeated region counts, and code points that a region needs to be looked at.
-WORDS, LEAST = 50, 64
-#: Code points around an end of a region that are compared: more than a chunk and the reach of its boundaries, so a longer shared stretch has a chunk of its own, but for texts without boundaries.
-AROUND = 192
+#: Words from which a repeated passage counts.
+WORDS = 50
+#: Chunks up to which runs of every length are tried; beyond, lengths grow by a quarter.
+EACH = 24
+#: Greatest count of words that a chunk's row holds; that of chunks beyond it only matters as being that great.
+_COUNT = 127
 _GEAR = (seeds(256, 3) >> np.uint64(48)).astype(np.uint16)
 _HIGH = np.uint32(0x9E3779B1)
-_BASE = np.uint64(0x9E3779B97F4A7C15)
+_STEP = U64(0x9E3779B97F4A7C15)
+#: Ranges of code points of scripts written without spaces: Thai and Lao, Burmese, Khmer, kana and Han.
+_UNSPACED = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF))
+_BLANK = np.array([chr(c).isspace() for c in range(0x3002)])
+
+
+def word_begins(points: np.ndarray) -> np.ndarray:
+    """How many words begin before each place of a text, and before its end."""
+    blank = _BLANK[np.minimum(points, 0x3001)]
+    begins = np.ones(len(points), dtype=bool)
+    begins[1:] = blank[:-1]
+    if len(points) and int(points.max()) >= _UNSPACED[0][0]:
+        own = np.zeros(len(points), dtype=bool)
+        for low, high in _UNSPACED:
+            own |= (points >= low) & (points <= high)
+        begins |= own
+        begins[1:] |= own[:-1]
+    return np.concatenate(([0], np.cumsum(begins & ~blank)))
 
 
 def gear_hashes(points: np.ndarray) -> np.ndarray:
@@ -100,191 +133,216 @@ def cut_points(points: np.ndarray, radius: int = RADIUS, longest: int = LONGEST)
     return cuts
 
 
-def chunks(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, start, size, digest) of every chunk, in code points."""
-    rows = text_of(docs.where(F.col(key).isNotNull()), key, text=text)
+def identified(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(u, body): the documents with a key; u is the key or, where rows share a key but not the text, the key with a hash of the text."""
+    rows = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("body"))
+    h = F.xxhash64("body")
+    several = rows.groupBy("id").agg(F.min(h).alias("a"), F.max(h).alias("b")).where("a <> b")
+    return rows.select(F.col("id").alias("u") if several.isEmpty() else F.struct("id", h.alias("h")).alias("u"), "body")
+
+
+def _type(df: DataFrame, column: str) -> str:
+    return df.schema[column].dataType.simpleString()
+
+
+def chunks(texts: DataFrame) -> DataFrame:
+    """(u, start, shape, digest) of every chunk of the texts (u, body), in code points; shape: its size, the words that begin in it, and those that a passage may have before and after it without holding the next chunk in step."""
 
     def cut(batches):
         for whole in batches:
             for begin in range(0, whole.num_rows, 200):
                 b = whole.slice(begin, 200)
-                ids, starts, sizes, digests = [], [], [], []
+                ids, starts, shapes, digests = [], [], [], []
                 for number, t in enumerate(b.column(1).to_pylist()):
                     points = code_points(t)
-                    ends = cut_points(points)
-                    raw, at = memoryview(points).cast("B"), 0
-                    ids += [number] * len(ends)
-                    for e in ends:
-                        starts.append(at)
-                        sizes.append(e - at)
-                        digests.append(xxhash.xxh3_64_intdigest(raw[4 * at : 4 * e]))
-                        at = e
-                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(ids, pa.int32())), pa.array(starts, pa.int32()), pa.array(sizes, pa.int32()), pa.array(np.array(digests, dtype=np.uint64).view(np.int64))], names=["id", "start", "size", "digest"])
-
-    return rows.mapInArrow(cut, f"id {rows.schema[key].dataType.simpleString()}, start int, size int, digest long")
-
-
-def regions(parts: DataFrame) -> DataFrame:
-    """(id, of, shift, low, high): id has chunks that of has first, shift code points before; they are part of a run of repeated chunks from low to high."""
-    place = F.struct("id", "start")
+                    ends = np.array(cut_points(points), dtype=np.int64)
+                    if not len(ends):
+                        continue
+                    at = np.concatenate(([0], ends))
+                    words = word_begins(points)
+                    own = words[at]
+                    before, after = np.zeros(len(ends), dtype=np.int64), np.zeros(len(ends), dtype=np.int64)
+                    before[1:] = own[1:-1] - words[np.maximum(at[:-2] - 16 - RADIUS, 0)]
+                    after[:-1] = words[np.minimum(at[2:] + RADIUS, len(points))] - own[1:-1]
+                    shape = np.diff(at)
+                    for place, n in ((11, np.diff(own)), (18, before), (25, after)):
+                        shape |= np.minimum(n, _COUNT) << place
+                    raw = memoryview(points).cast("B")
+                    ids.append(np.full(len(ends), number, dtype=np.int32))
+                    starts.append(at[:-1])
+                    shapes.append(shape)
+                    bounds = (4 * at).tolist()
+                    digests += [xxhash.xxh3_64_intdigest(raw[x:y]) for x, y in zip(bounds[:-1], bounds[1:], strict=True)]
+                if ids:
+                    yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(np.concatenate(ids))), pa.array(np.concatenate(starts).astype(np.int32)), pa.array(np.concatenate(shapes).astype(np.uint32).view(np.int32)), pa.array(np.array(digests, dtype=np.uint64).view(np.int64))], names=["u", "start", "shape", "digest"])
+
+    return texts.mapInArrow(cut, f"u {_type(texts, 'u')}, start int, shape int, digest long")
+
+
+def first_places(rows: DataFrame, digest: str, name: str) -> DataFrame:
+    """(digest, first) of the digests that several rows (u, start, digest) have: the first place."""
     # written, so that the join with it is of two plain shuffles, whose large partitions can be split
-    first = written(parts.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first"), "first")
-    again = parts.hint("merge").join(first, "digest").where(place != F.col("first")).select("id", "start", (F.col("start") + F.col("size")).alias("end"), "digest", F.col("first.id").alias("of"), (F.col("start") - F.col("first.start")).alias("shift"))
-    order = Window.partitionBy("id").orderBy("start")
-    run = again.withColumn("begins", F.coalesce(F.lag("end").over(order) < F.col("start"), F.lit(True)))
-    run = run.withColumn("region", F.sum(F.col("begins").cast("int")).over(order))
-    region = Window.partitionBy("id", "region")
-    run = run.withColumn("low", F.min("start").over(region)).withColumn("high", F.max("end").over(region))
-    # a chunk like the one right before it is a repeat of that, too: a word without end has the same source in all its chunks
-    like = (F.lag("digest").over(order) == F.col("digest")) & (F.lag("end").over(order) == F.col("start"))
-    own = F.when(like, F.struct(F.col("id").alias("of"), (F.col("start") - F.lag("start").over(order)).alias("shift")))
-    run = run.withColumn("sources", F.array_distinct(F.array_compact(F.array(F.struct("of", "shift"), own)))).select("id", "region", "start", "end", "low", "high", F.explode("sources").alias("x")).select("id", "region", "start", "end", "low", "high", "x.of", "x.shift")
-    return run.where(F.col("high") - F.col("low") >= LEAST).select("id", "of", "shift", "low", "high").distinct()
-
-
-def word_starts(text: str, before: str) -> int:
-    """The words that begin in text, which follows the character before."""
-    return len(text.split()) - bool(text and before and not before.isspace() and not text[0].isspace())
-
-
-#: The ends that a candidate's region has in its own text and at its source.
-_ENDS = ("low", "high")
-
-
-def _at(column: str, source: bool):
-    return F.struct(F.col("of").alias("id"), (F.col(column) - F.col("shift")).alias("at")) if source else F.struct("id", F.col(column).alias("at"))
-
-
-def prefix_sums(points: np.ndarray) -> np.ndarray:
-    """Sums modulo 2**64 over the code points before each place, each times a power of _BASE: differences tell whether two stretches are equal."""
+    return written(rows.groupBy(digest).agg(F.min(F.struct("u", "start")).alias("first"), F.count("*").alias("n")).where("n > 1").select(digest, "first"), name)
+
+
+def runs_of(starts: np.ndarray, shapes: np.ndarray, digests: np.ndarray, sources: list[tuple], own, words: int):
+    """What a document's chunks that several places have lead to, in order: rows (start, end, bound, run, source).
+
+    Stretches of one source other than the document's own place have the
+    source and no run; runs across changes of source have the run's digest and
+    no source. bound: the words that a passage around may have at most.
+    """
+    shape = shapes.view(np.uint32).astype(np.int64)
+    size, n, before, after = shape & 2047, shape >> 11 & 127, shape >> 18 & 127, shape >> 25 & 127
+    ends = starts + size
+    begun = np.concatenate(([0], np.cumsum(n)))
+    touch = np.zeros(len(starts), dtype=bool)
+    touch[1:] = starts[1:] == ends[:-1]
+    change = np.array([False, *(a != b for a, b in zip(sources[1:], sources[:-1], strict=True))])
+    heads = np.flatnonzero(~touch | change)
+    lasts = np.append(heads[1:], len(starts)) - 1
+    bounds = before[heads] + begun[lasts + 1] - begun[heads] + after[lasts]
+    for i, j, bound in zip(heads.tolist(), lasts.tolist(), bounds.tolist(), strict=True):
+        if sources[i] != own:
+            yield int(starts[i]), int(ends[j]), bound, None, sources[i]
+    if not (touch & change).any():
+        return
+    changes, gaps = np.cumsum(change), np.cumsum(~touch)
     with np.errstate(over="ignore"):
-        power = np.cumprod(np.concatenate(([np.uint64(1)], np.full(len(points), _BASE, dtype=np.uint64))))
-        return np.concatenate(([np.uint64(0)], np.cumsum(mix64(points.astype(np.uint64) + np.uint64(1)) * power[:-1])))
-
-
-def surroundings(docs: DataFrame, found: DataFrame, key: str, text: str) -> DataFrame:
-    """(id, at, before, after, words, sum) of each place that a candidate has: the text around it, and the words and the prefix sum before it."""
-    ends = F.explode(F.array(*(_at(c, source) for c in _ENDS for source in (False, True)))).alias("p")
-    places = found.select(ends).select("p.id", "p.at").where("at >= 0").distinct().groupBy("id").agg(F.sort_array(F.collect_list("at")).alias("places"))
-    texts = text_of(docs, key, text=text).withColumnsRenamed({key: "id", text: "body"})
-    rows = texts.join(places, "id").select("id", "body", "places")
-    kind = rows.schema["id"].dataType.simpleString()
-
-    def around(rows_):
-        for i, body, at in rows_:
-            sums = prefix_sums(code_points(body)).view(np.int64)
-            seen = words = 0
-            for p in at:
-                words += word_starts(body[seen:p], body[seen - 1 : seen])
-                seen = p
-                yield i, p, body[max(0, p - AROUND) : p], body[p : p + AROUND], words, int(sums[min(p, len(body))])
-
-    return map_rows(rows, around, f"id {kind}, at int, before string, after string, words long, sum long", 500).dropDuplicates(["id", "at"])
-
-
-def common_prefix(a: str, b: str) -> int:
-    n = min(len(a), len(b))
-    if a[:n] == b[:n]:
-        return n
-    low, high = 0, n
-    while high - low > 1:
-        middle = (low + high) // 2
-        low, high = (middle, high) if a[:middle] == b[:middle] else (low, middle)
-    return low
-
-
-def common_suffix(a: str, b: str) -> int:
-    return common_prefix(a[::-1], b[::-1])
-
-
-def equal_stretches(own: tuple[int, int], its: tuple[int, int], start: int, shift: int) -> bool:
-    """Whether the stretch from start with the prefix sums own at its ends equals the one shift before with those of its text."""
-    mask = 2**64 - 1
-    return ((own[1] - own[0]) * pow(int(_BASE), start - shift, 2**64) - (its[1] - its[0]) * pow(int(_BASE), start, 2**64)) & mask == 0
-
-
-def extended(found: DataFrame, around: DataFrame, words: int = WORDS) -> DataFrame:
-    """(id, start, end, words, first_id, shift) of the candidates whose region stands at their source, extended to the whole passage; words is null where the region does not."""
-    # a row for each place of a candidate, one join, and back together
-    places = [F.struct(F.lit(f"{'its' if source else 'own'}_{c}").alias("k"), _at(c, source).alias("p")) for c in _ENDS for source in (False, True)]
-    key = ("id", "of", "shift", "low", "high")
-    ends = found.select(*key, F.explode(F.array(*places)).alias("x")).select(*key, F.col("x.k").alias("k"), F.col("x.p.id").alias("p_id"), F.col("x.p.at").alias("p_at"))
-    near = around.select(F.col("id").alias("p_id"), F.col("at").alias("p_at"), F.col("before"), F.col("after"), F.col("words").alias("n"), "sum")
-    ends = ends.hint("merge").join(near, ["p_id", "p_at"], "left")
-    side = F.struct(F.when(F.col("k").endswith("low"), F.col("before")).otherwise(F.col("after")).alias("text"), F.right("before", F.lit(1)).alias("last"), "n", "sum")
-    names = [f"{t}_{c}" for c in _ENDS for t in ("own", "its")]
-    whole = ends.groupBy(*key).agg(*(F.max(F.when((F.col("k") == k) & F.col("n").isNotNull(), side)).alias(k) for k in names))
-    kind = whole.schema["id"].dataType.simpleString()
-
-    def each(rows_):
-        for i, of, shift, low, high, l_own, l_its, r_own, r_its in rows_:
-            if None in (l_own, l_its, r_own, r_its) or not equal_stretches((l_own["sum"], r_own["sum"]), (l_its["sum"], r_its["sum"]), low, shift):
-                yield i, low, high, None, of, shift
-                continue
-            left, right = common_suffix(l_own["text"], l_its["text"]), common_prefix(r_own["text"], r_its["text"])
-            n = r_own["n"] - l_own["n"] + word_starts(l_own["text"][len(l_own["text"]) - left :], l_own["text"][: len(l_own["text"]) - left][-1:]) + word_starts(r_own["text"][:right], r_own["last"])
-            if n >= words:
-                yield i, low - left, high + right, n, of, shift
-
-    return map_rows(whole.select(*key, *names), each, f"id {kind}, start int, end int, words long, first_id {kind}, shift int")
-
-
-def equal_runs(own: np.ndarray, its: np.ndarray, shift: int, least: int) -> list[tuple[int, int]]:
-    """The stretches (start, end) of at least so many code points in own that are equal to those shift before in its."""
-    low, high = max(0, shift), min(len(own), len(its) + shift)
-    if high - low < least:
-        return []
-    same = np.zeros(high - low + 2, dtype=np.int8)
-    same[1:-1] = own[low:high] == its[low - shift : high - shift]
-    edges = np.flatnonzero(np.diff(same)) + low
-    return [(a, b) for a, b in edges.reshape(-1, 2).tolist() if b - a >= least]
-
-
-def laid_over(parts: DataFrame, docs: DataFrame, key: str, text: str, words: int = WORDS) -> DataFrame:
-    """(id, start, end, words, first_id): all passages of enough words that id shares with first_id at one of the shifts that parts (id, first_id, shift) have."""
-    texts = text_of(docs.where(F.col(key).isNotNull()), key, text=text).distinct()
-    pairs = written(parts.groupBy("id", "first_id").agg(F.collect_set("shift").alias("shifts")), "pairs")
+        # sums over the digests before each place, each times a power: differences tell runs apart wherever they stand
+        power = np.cumprod(np.concatenate(([U64(1)], np.full(len(starts), _STEP))))
+        back = np.cumprod(np.concatenate(([U64(1)], np.full(len(starts), U64(pow(int(_STEP), -1, 2**64))))))
+        sums = np.concatenate(([U64(0)], np.cumsum(digests.view(U64) * power[:-1])))
+    at, length = np.arange(len(starts)), 1
+    while True:
+        # longer runs of those that have too few words yet, within chunks that touch; chunks of long words by larger steps
+        at = at[begun[at + length] - begun[at] < words]
+        length = length + 1 if length < EACH else length * 5 // 4
+        at = at[at + length <= len(starts)]
+        at = at[gaps[at + length - 1] == gaps[at]]
+        if not len(at):
+            return
+        last = at + length - 1
+        mixed = changes[last] > changes[at]
+        from_, to = at[mixed], last[mixed]
+        with np.errstate(over="ignore"):
+            h = mix64((sums[to + 1] - sums[from_]) * back[from_] + U64(length)).view(np.int64)
+        bounds = before[from_] + begun[to + 1] - begun[from_] + after[to]
+        for row in zip(starts[from_].tolist(), ends[to].tolist(), bounds.tolist(), h.tolist(), strict=True):
+            yield *row, None
+
+
+def stretches(parts: DataFrame, words: int) -> DataFrame:
+    """(u, start, end, bound, run, of, shift): the rows of runs_of() for all documents with the chunks parts."""
+    first = first_places(parts, "digest", "first")
+    places = parts.hint("merge").join(first, "digest").select("u", F.struct("start", "shape", "digest", F.col("first.u").alias("of"), (F.col("start") - F.col("first.start")).alias("shift")).alias("x"))
+    rows = places.groupBy("u").agg(F.sort_array(F.collect_list("x")).alias("x")).select("u", "x.start", "x.shape", "x.digest", "x.of", "x.shift")
+    kind = _type(parts, "u")
+
+    def each(batches):
+        for whole in batches:
+            for begin in range(0, whole.num_rows, 500):
+                b = whole.slice(begin, 500)
+                us, out = b.column(0).to_pylist(), []
+                for number, u in enumerate(us):
+                    starts, shapes, digests = (b.column(c)[number].values.to_numpy() for c in (1, 2, 3))
+                    of, shift = b.column(4)[number].values.to_pylist(), b.column(5)[number].values.to_pylist()
+                    if len(starts) > 1 and (again := np.flatnonzero(np.diff(starts) == 0)).size:  # rows that are the same
+                        one = np.delete(np.arange(len(starts)), again + 1)
+                        starts, shapes, digests, of, shift = starts[one], shapes[one], digests[one], [of[i] for i in one], [shift[i] for i in one]
+                    for start, end, bound, run, source in runs_of(starts.astype(np.int64), shapes, digests, list(zip(of, shift, strict=True)), (u, 0), words):
+                        out.append((number, start, end, bound, run, *(source or (None, None))))
+                if out:
+                    number, start, end, bound, run, of, shift = zip(*out, strict=True)
+                    yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(number, pa.int32())), *(pa.array(x, pa.int32()) for x in (start, end, bound)), pa.array(run, pa.int64()), pa.array(of, b.column(0).type), pa.array(shift, pa.int32())], names=["u", "start", "end", "bound", "run", "of", "shift"])
+
+    return rows.mapInArrow(each, f"u {kind}, start int, end int, bound int, run long, of {kind}, shift int")
+
+
+def sources(parts: DataFrame, words: int = WORDS) -> DataFrame:
+    """(u, of, places): where the text of u may stand in an earlier place of `of`: (start, end, shift), of code points."""
+    rows = written(stretches(parts, words), "stretches")
+    runs = rows.where("run IS NOT NULL").drop("of", "shift")
+    found = runs.hint("merge").join(first_places(runs, "run", "runs"), "run").where(F.struct("u", "start") != F.col("first"))
+    found = found.select("u", "start", "end", "bound", F.col("first.u").alias("of"), (F.col("start") - F.col("first.start")).alias("shift"))
+    both = rows.where("run IS NULL").drop("run").unionByName(found)
+    # those within others go; of equal ones the first source stays
+    reach = F.max("end").over(Window.partitionBy("u").orderBy("start", F.desc("end"), "of", "shift").rowsBetween(Window.unboundedPreceding, -1))
+    outer = both.withColumn("reach", reach).where((F.col("reach").isNull() | (F.col("end") > F.col("reach"))) & (F.col("bound") >= words))
+    return outer.groupBy("u", "of").agg(F.sort_array(F.collect_list(F.struct("start", "end", "shift"))).alias("places"))
+
+
+def _equal(a: np.ndarray, b: np.ndarray) -> int:
+    """How many code points a and b have in common at their begin."""
+    n, at, step = min(len(a), len(b)), 0, 64
+    while at < n:
+        other = np.flatnonzero(a[at : min(n, at + step)] != b[at : min(n, at + step)])
+        if len(other):
+            return at + int(other[0])
+        at, step = at + step, step * 4
+    return n
+
+
+def passages(own: np.ndarray, its: np.ndarray, places: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """The stretches of own around the places (start, end, shift) that are equal to its text, shift code points before, as far as they go. A place that lies in a stretch found before is skipped."""
+    out: list[tuple[int, int]] = []
+    for start, end, shift in places:
+        if out and end <= out[-1][1]:
+            continue
+        if start < shift or not np.array_equal(own[start:end], its[start - shift : end - shift]):
+            continue
+        left = _equal(own[:start][::-1], its[: start - shift][::-1])
+        out.append((start - left, end + _equal(own[end:], its[end - shift :])))
+    return out
+
+
+def laid_over(pairs: DataFrame, texts: DataFrame, words: int = WORDS) -> DataFrame:
+    """(u, start, end, words, of): the passages of enough words that u shares with `of` around the places of pairs."""
+    texts = texts.distinct()
+    pairs = written(pairs, "pairs")
     # texts once for each of their documents, then for each pair
-    own = texts.select(F.col(key).alias("id"), F.col(text).alias("own"))
-    its = texts.select(F.col(key).alias("first_id"), F.col(text).alias("its"))
-    rows = pairs.hint("merge").join(own, "id").hint("merge").join(its, "first_id").select("id", "first_id", "shifts", "own", "its")
-    kind = rows.schema["id"].dataType.simpleString()
+    rows = pairs.hint("merge").join(texts.withColumnRenamed("body", "own"), "u").hint("merge").join(texts.withColumnsRenamed({"u": "of", "body": "its"}), "of").select("u", "of", "places", "own", "its")
 
     def each(rows_):
-        for i, of, shifts, body, other in rows_:
-            a, b = code_points(body), code_points(other)
-            for shift in shifts:
-                for start, end in equal_runs(a, b, shift, 2 * words - 1):
-                    n = word_starts(body[start:end], body[start - 1 : start] if start else "")
-                    if n >= words:
-                        yield i, start, end, n, of
+        for u, of, places, own, its in rows_:
+            a = code_points(own)
+            count = None
+            for start, end in passages(a, a if u == of else code_points(its), [(p["start"], p["end"], p["shift"]) for p in places]):
+                count = word_begins(a) if count is None else count
+                if (n := int(count[end] - count[start])) >= words:
+                    yield u, start, end, n, of
 
-    return map_rows(rows, each, f"id {kind}, start int, end int, words long, first_id {kind}", 500)
+    kind = _type(pairs, "u")
+    return map_rows(rows, each, f"u {kind}, start int, end int, words long, of {kind}", 500)
 
 
-def longest(passages: DataFrame) -> DataFrame:
-    """The passages (id, start, end, words, first_id) that are not within others."""
-    one = passages.groupBy("id", "start", "end").agg(F.max("words").alias("words"), F.min("first_id").alias("first_id"))
-    reach = F.max("end").over(Window.partitionBy("id").orderBy("start", F.desc("end")).rowsBetween(Window.unboundedPreceding, -1))
-    return one.withColumn("_reach", reach).where(F.col("_reach").isNull() | (F.col("end") > F.col("_reach"))).drop("_reach")
+def longest(found: DataFrame) -> DataFrame:
+    """The passages (u, start, end, words, of) that are not within others."""
+    one = found.groupBy("u", "start", "end").agg(F.max("words").alias("words"), F.min("of").alias("of"))
+    reach = F.max("end").over(Window.partitionBy("u").orderBy("start", F.desc("end")).rowsBetween(Window.unboundedPreceding, -1))
+    return one.withColumn("reach", reach).where(F.col("reach").isNull() | (F.col("end") > F.col("reach"))).drop("reach")
 
 
 def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
-    """(id, start, end, words, first_id): passages of at least ``words`` words that occur before, in code points of id's text."""
-    found = written(regions(chunks(docs, key, text)), "regions")
-    tried = written(extended(found, written(surroundings(docs, found, key, text), "around"), words), "tried")
-    parts = laid_over(tried.where("words IS NULL").select("id", "first_id", "shift"), docs, key, text, words)
-    return longest(tried.where("words IS NOT NULL").drop("shift").union(parts))
+    """(id, start, end, words, first_id, text_hash): passages of at least ``words`` words, 127 at most, that occur before, in code points of id's text; text_hash tells which text of id it is where there are several, and is null otherwise."""
+    if not 1 <= words <= _COUNT:
+        raise ValueError(f"words has to be between 1 and {_COUNT}")
+    texts = identified(docs, key, text)
+    found = longest(laid_over(sources(chunks(texts), words), texts, words))
+    several = not isinstance(docs.schema[key].dataType, type(found.schema["u"].dataType))
+    own, of, h = ("u.id", "of.id", F.col("u.h")) if several else ("u", "of", F.lit(None).cast("long"))
+    return found.select(F.col(own).alias("id"), "start", "end", "words", F.col(of).alias("first_id"), h.alias("text_hash"))
 
 
 def without_spans(docs: DataFrame, spans: DataFrame, key: str = "doc_id", text: str = "text", length: str = "n_chars") -> DataFrame:
     """docs with the spans cut out of their texts and length set anew where something was cut."""
-    per = spans.groupBy(F.col("id").alias("_cut_id")).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_cut"))
-    rows = docs.join(per, docs[key] == F.col("_cut_id"), "left").drop("_cut_id")
-    at, cut = docs.columns.index(text), len(docs.columns)
-    n_at = docs.columns.index(length) if length in docs.columns else None
-    names = docs.columns
-    schema = docs.schema
+    names, schema = docs.columns, docs.schema
+    at = names.index(text)
+    n_at = names.index(length) if length in names else None
+    per = spans.groupBy("id", "text_hash").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("cut"))
+    own = docs.toDF(*(f"c{i}" for i in range(len(names))))  # the columns of docs may have any name
+    same = (F.col(f"c{names.index(key)}") == F.col("id")) & (F.col("text_hash").isNull() | (F.col("text_hash") == F.xxhash64(F.coalesce(F.col(f"c{at}").cast("string"), F.lit("")))))
+    rows = own.join(per, same, "left").select(*own.columns, "cut")
 
     def apply(batches):
         for whole in batches:
@@ -292,7 +350,7 @@ def without_spans(docs: DataFrame, spans: DataFrame, key: str = "doc_id", text:
                 b = whole.slice(begin, 500)
                 texts, counts = [], []
                 old = b.column(n_at).to_pylist() if n_at is not None else [None] * b.num_rows
-                for t, spans_, n in zip(b.column(at).to_pylist(), b.column(cut).to_pylist(), old, strict=True):
+                for t, spans_, n in zip(b.column(at).to_pylist(), b.column(len(names)).to_pylist(), old, strict=True):
                     if t is not None and spans_:
                         kept, seen = [], 0
                         for s in spans_:
