@@ -3,25 +3,29 @@
 1. Documents with the same words are one class from the start (digest).
 2. Each distinct text gets a BagMinHash signature of 128 entries in 32 bands of
    4; a pair with a likeness of 0.8 misses all bands with a chance of 5e-8.
-3. In each bucket of equal bands, every text is first paired with two leaders,
-   the least id and the least hash of id and band, so the second differs between
-   bands. Both come from aggregates that combine before the shuffle.
+3. In each bucket of equal bands, every text is first paired with two leaders:
+   the one that shares most buckets with others, which of edited copies is their
+   origin or near it, and the one of the least hash of id and band, so it differs
+   between bands. Both come from aggregates that combine before the shuffle.
 4. Pairs are verified exactly: sum of minima over sum of maxima of the shingle
    counts is at least the threshold. The texts of a leader's partners are
    spread over groups of bounded size, each with one copy of the leader.
 5. Classes are the connected components of the verified links.
-6. While the texts of a bucket that were no leader yet are of several classes,
-   those outside the bucket's largest class lead in turn, more of them in each
-   round, and are tried against all texts of other classes. So at the end any
-   two texts of a bucket were compared, or are of one class, or differ too
-   much in length. A bucket of texts that are alike costs no more than its
-   leaders; one of n texts that are all just below the threshold has n * n / 2
-   pairs to compare.
+6. Texts that share a bucket with a class of LARGE or more texts, but belong to a
+   smaller one, are compared with that whole class: its shingles are indexed in
+   blocks of bounded size, and each text meets each block once, not each member.
+7. Where the other texts of a bucket are of several classes, those outside the
+   bucket's largest class lead in turn, more of them in each round, and are tried
+   against all texts of other classes. So at the end any two texts of a bucket
+   were compared, or are of one class, or differ too much in length. A bucket of
+   texts that are alike costs no more than its leaders; one of n texts that are
+   all just below the threshold has n * n / 2 pairs to compare.
 
 Edge cases: a null text is empty; texts without words are one class; a text of
 fewer than five words is one shingle; rows with a null key have no class; rows
 that share a key are one document; extra columns are ignored; an empty table
-gives an empty table. The class id is the least key of the class.
+gives an empty table; texts are compared whole, however long. The class id is
+the least key of the class.
 """
 
 from __future__ import annotations
@@ -40,6 +44,8 @@ from .graph import components
 SHINGLE, LIKENESS, BANDS, ROWS = 5, 0.8, 32, 4
 #: Texts that are verified against one copy of a leader in one group.
 GROUP = 256
+#: Texts from which a class is compared by blocks of its shingles, the shingles of a block, and the texts that meet one copy of it.
+LARGE, BLOCK, GUESTS = 32, 1 << 20, 1024
 #: About how many more leaders a bucket gets in its second round; each later round has as many times more.
 MORE = 8
 
@@ -85,11 +91,14 @@ def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text", size: i
 def bucket_members(banded: DataFrame) -> DataFrame:
     """(band, id, n, first, other) from (id, n, bands): the texts of each bucket of several, and its two first leaders."""
     keys = banded.select("id", "n", F.explode("bands").alias("band"))
-    least = F.struct(F.xxhash64("id", "band").alias("h"), F.col("id").alias("id"))
-    # written, so that the join with it is of two plain shuffles, whose large partitions can be split
-    leads = keys.groupBy("band").agg(F.struct(F.min(F.struct("id", "n")).alias("first"), F.min(F.struct(least.alias("by"), "n")).alias("other")).alias("x"), F.count("*").alias("many")).where("many > 1")
-    leads = leads.select("band", "x.first", F.struct(F.col("x.other.by.id").alias("id"), F.col("x.other.n").alias("n")).alias("other"))
-    return keys.join(written(leads, "leads").hint("merge"), "band").select("band", "id", "n", "first", "other")
+    # written, so that the joins with them are of two plain shuffles, whose large partitions can be split
+    many = written(keys.groupBy("band").agg(F.count("*").alias("many")).where("many > 1"), "many")
+    members = written(keys.hint("merge").join(many.hint("merge"), "band"), "shared")
+    central = members.groupBy("id").agg(F.sum("many").alias("central"))
+    leader = F.struct("id", "n")
+    leads = members.hint("merge").join(central.hint("merge"), "id").groupBy("band").agg(F.max(F.struct("central", F.xxhash64("id").alias("h"), leader.alias("x"))).alias("first"), F.min(F.struct(F.xxhash64("id", "band").alias("h"), leader.alias("x"))).alias("other"))
+    leads = leads.select("band", F.col("first.x").alias("first"), F.col("other.x").alias("other"))
+    return members.hint("merge").join(written(leads, "leads").hint("merge"), "band").select("band", "id", "n", "first", "other")
 
 
 def _long_enough(a: str, b: str, likeness: float):
@@ -103,9 +112,14 @@ def candidate_pairs(members: DataFrame, likeness: float = LIKENESS) -> DataFrame
     return both.where((F.col("id") != F.col("lead")) & _long_enough("n", "m", likeness)).select("id", "lead").distinct()
 
 
+def with_classes(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """The texts (band, id, n) with their class."""
+    return members.hint("merge").join(classes, F.col("id") == F.col("node"), "left").select("band", "id", "n", F.coalesce("component", "id").alias("class"))
+
+
 def open_members(left: DataFrame, classes: DataFrame, leaders: int) -> DataFrame:
     """(band, id, n, class, leads) of the texts (band, id, n) in buckets that hold several classes; about so many in each lead, none of its largest class, and all where they are no more."""
-    placed = left.hint("merge").join(classes, F.col("id") == F.col("node"), "left").select("band", "id", "n", F.coalesce("component", "id").alias("class"))
+    placed = with_classes(left, classes)
     by_class = placed.groupBy("band", "class").agg(F.count("*").alias("k"))
     buckets = by_class.groupBy("band").agg(F.max(F.struct("k", "class")).alias("main"), F.sum("k").alias("all"), F.count("*").alias("classes")).where("classes > 1")
     buckets = written(buckets.select("band", F.col("main.class").alias("main"), (F.col("all") - F.col("main.k")).alias("others")), "buckets")
@@ -113,6 +127,75 @@ def open_members(left: DataFrame, classes: DataFrame, leaders: int) -> DataFrame
     return placed.hint("merge").join(buckets.hint("merge"), "band").select("band", "id", "n", "class", ((F.col("class") != F.col("main")) & chance).alias("leads"))
 
 
+def guests(placed: DataFrame, large: DataFrame, likeness: float) -> DataFrame:
+    """(id, class): texts of placed (band, id, n, class) that share a bucket with a larger class of large (class, size) and might be alike to one of its texts there."""
+    sized = placed.hint("merge").join(large.hint("merge"), "class", "left")
+    hosts = sized.where("size IS NOT NULL").groupBy("band", F.col("class").alias("host")).agg(F.max("size").alias("its"), F.min("n").alias("low"), F.max("n").alias("high"))
+    both = sized.hint("merge").join(written(hosts, "hosts").hint("merge"), "band")
+    smaller = F.struct(F.coalesce("size", F.lit(1)).cast("long"), F.col("class")) < F.struct(F.col("its").cast("long"), F.col("host"))
+    return both.where(smaller & (F.col("n") >= F.col("low") * likeness) & (F.col("n") * likeness <= F.col("high"))).select("id", F.col("host").alias("class")).distinct()
+
+
+def hosted(guests_: DataFrame, classes: DataFrame, sizes: DataFrame, docs: DataFrame, key: str, text: str, size: int = SHINGLE, likeness: float = LIKENESS) -> DataFrame:
+    """Links (a, b) of the guests (id, class) with texts of their class, one for each block of it that has one alike. sizes: (id, n)."""
+    few = guests_.groupBy("class").agg(F.ceil(F.count("*") / GUESTS).alias("turns"))
+    own = classes.withColumnRenamed("component", "class").join(few.hint("merge"), "class").join(sizes.hint("merge"), F.col("node") == F.col("id")).select("id", "n", "class", "turns")
+    parts = written(own.groupBy("class").agg(F.ceil(F.sum("n") / BLOCK).alias("parts"), F.max("turns").alias("turns")), "parts")
+    all_ = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+    members = own.drop("turns").hint("merge").join(parts.hint("merge"), "class").select("id", "class", F.pmod(F.xxhash64("id"), "parts").alias("part"), all_("turns").alias("turn"), F.lit(0).alias("role"))
+    others = guests_.hint("merge").join(parts.hint("merge"), "class").select("id", "class", all_("parts").alias("part"), F.pmod(F.xxhash64("id"), "turns").alias("turn"), F.lit(1).alias("role"))
+    texts = text_of(docs, key, text=text).where(F.col(key).isNotNull()).withColumnsRenamed({key: "id", text: "body"})
+    rows = members.unionByName(others).hint("merge").join(texts, "id").select("class", "part", "turn", "role", "id", "body")
+    kind = rows.schema["id"].dataType.simpleString()
+
+    def each(rows_):
+        hashes, at = WordHashes(), None
+        block = Block()
+        for lead, part, turn, role, i, body in rows_:
+            if at != (lead, part, turn):
+                at, block = (lead, part, turn), Block()
+            own, counts = np.unique(shingle_hashes(hashes.of(body.split()), size), return_counts=True)
+            if role == 0:
+                block.add(i, own, counts)
+            elif (other := block.alike(own, counts, likeness)) is not None:
+                yield i, other
+
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return map_rows(rows.repartition(n, "class", "part", "turn").sortWithinPartitions("class", "part", "turn", "role"), each, f"a {kind}, b {kind}", 1000)
+
+
+class Block:
+    """The shingles of some texts, by 64-bit hashes, so that one text is compared with all of them at once."""
+
+    def __init__(self):
+        self.ids: list = []
+        self.open: list[tuple[np.ndarray, np.ndarray]] = []
+        self.hash: np.ndarray | None = None
+
+    def add(self, i, hashes: np.ndarray, counts: np.ndarray) -> None:
+        self.ids.append(i)
+        self.open.append((hashes, counts))
+
+    def alike(self, hashes: np.ndarray, counts: np.ndarray, likeness: float):
+        """The text that is most alike to the one with these shingles, None if none is alike enough."""
+        if not self.ids:
+            return None
+        if self.hash is None:
+            whole = np.concatenate([h for h, _ in self.open])
+            order = np.argsort(whole, kind="stable")
+            self.hash, self.count = whole[order], np.concatenate([c for _, c in self.open])[order]
+            self.of = np.repeat(np.arange(len(self.ids)), [len(h) for h, _ in self.open])[order]
+            self.total = np.array([int(c.sum()) for _, c in self.open])
+            self.open = []
+        low, high = np.searchsorted(self.hash, hashes, "left"), np.searchsorted(self.hash, hashes, "right")
+        n = high - low
+        at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
+        both = np.bincount(self.of[at], weights=np.minimum(self.count[at], np.repeat(counts, n)), minlength=len(self.ids))
+        like = both / np.maximum(self.total + counts.sum() - both, 1)
+        best = int(like.argmax())
+        return self.ids[best] if like[best] >= likeness else None
+
+
 def further_pairs(members: DataFrame, tried: DataFrame, likeness: float) -> DataFrame:
     """(id, lead) from open_members(): the texts of a bucket with its leaders of other classes, less the pairs tried before."""
     leads = members.where("leads").select("band", F.col("id").alias("lead"), F.col("n").alias("m"), F.col("class").alias("its"))
@@ -149,7 +232,15 @@ def linked(banded: DataFrame, shared: DataFrame, docs: DataFrame, key: str, text
     members = written(bucket_members(banded), "members")
     tried = written(candidate_pairs(members, likeness), "pairs")
     classes = written(components(verified(tried, docs, key, text, size, likeness).union(shared)), "classes")
+    more = lambda links: written(components(links.union(classes.select(F.col("node").alias("a"), F.col("component").alias("b")))), "classes")
     left = members.where((F.col("id") != F.col("first.id")) & (F.col("id") != F.col("other.id"))).select("band", "id", "n")
+    large = written(classes.groupBy(F.col("component").alias("class")).agg(F.count("*").alias("size")).where(F.col("size") >= LARGE), "large")
+    if not large.isEmpty():
+        placed = written(with_classes(left, classes), "placed")
+        left = placed.hint("merge").join(large, "class", "left_anti").select("band", "id", "n")
+        links = written(hosted(written(guests(placed, large, likeness), "guests"), classes, banded.select("id", "n"), docs, key, text, size, likeness), "links")
+        if not links.isEmpty():
+            classes = more(links)
     leaders = MORE
     while True:
         now = written(open_members(left, classes, leaders), "open")
@@ -158,7 +249,7 @@ def linked(banded: DataFrame, shared: DataFrame, docs: DataFrame, key: str, text
         pairs = written(further_pairs(now, tried, likeness), "pairs")
         links = written(verified(pairs, docs, key, text, size, likeness), "links")
         if not links.isEmpty():
-            classes = written(components(links.union(classes.select(F.col("node").alias("a"), F.col("component").alias("b")))), "classes")
+            classes = more(links)
         tried, left = tried.union(pairs), now.where(~F.col("leads")).select("band", "id", "n")
         leaders *= MORE
 
@@ -176,8 +267,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
 
 
 def without_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs less all but one document of each class; rows with a null key stay."""
-    classes = near_duplicates(docs, key, text)
-    kept = classes.where(F.col(key) == F.col("class_id")).select(F.col(key).alias("_kept"))
-    one = docs.join(kept, docs[key] == F.col("_kept"), "left_semi").dropDuplicates([key])
-    return one.unionByName(docs.where(F.col(key).isNull()))
+    """The rows of docs less all but one document of each class; rows with a null key stay. Of rows that share the key of a class the one with the least hash of all its columns stays."""
+    names = docs.columns
+    rows = docs.toDF(*(f"c{i}" for i in range(len(names))))  # the columns of docs may have any name
+    own = f"c{names.index(key)}"
+    every = F.xxhash64(*rows.columns)
+    kept = near_duplicates(docs, key, text).where(F.col(key) == F.col("class_id")).select(F.col(key).alias("k"))
+    least = rows.groupBy(F.col(own).alias("k")).agg(F.min(every).alias("h"))
+    kept = kept.join(least, "k")
+    one = rows.join(kept, (F.col(own) == F.col("k")) & (every == F.col("h")), "left_semi").dropDuplicates([own])
+    return one.unionByName(rows.where(F.col(own).isNull())).toDF(*names)

@@ -97,6 +97,52 @@ def test_pairs_within_a_template_group(spark):
     assert got == _classes(texts) and len(set(got.values())) == 200
 
 
+def test_texts_alike_to_one_member_of_a_large_class(spark):
+    """Copies of one text with edits, and for some of them a text that is alike to that copy only."""
+    rng = random.Random(22)
+    base, texts, strangers = _words(rng, 300), {0: None}, set()
+    texts[0] = " ".join(base)
+    for i in range(1, 120):
+        copy = base[:8] + [f"own{i}x{j}" for j in range(30)] + base[38:]
+        texts[2 * i] = " ".join(copy)
+        if i % 4 == 0:
+            texts[2 * i + 1] = " ".join(copy[:200] + [f"other{i}x{j}" for j in range(30)] + copy[230:])
+            strangers.add(2 * i + 1)
+    own = [neardup.shingles(texts[i]) for i in (0, 8, 9)]
+    assert min(neardup.overlap(own[0], own[1]), neardup.overlap(own[1], own[2])) >= 0.79 and neardup.overlap(own[0], own[2]) < 0.7
+    order = rng.sample(range(1000), len(texts))
+    texts = dict(zip(order, texts.values(), strict=True))
+    want = _classes(texts)
+    got = {r.doc_id: r.class_id for r in neardup.near_duplicates(_table(spark, texts)).collect()}
+    assert got == want and max(list(want.values()).count(c) for c in set(want.values())) > neardup.LARGE
+
+
+def test_blocks_compare_as_pairs_do():
+    rng = random.Random(23)
+    texts = [" ".join(rng.choices("abcde", k=rng.randrange(1, 40))) for _ in range(60)]
+    from tempoloom.llm.common import WordHashes, shingle_hashes
+
+    hashes = WordHashes()
+    own = [np.unique(shingle_hashes(hashes.of(t.split()), 2), return_counts=True) for t in texts]
+    block = neardup.Block()
+    for i in range(30):
+        block.add(i, *own[i])
+    for j in range(30, 60):
+        like = [neardup.overlap(neardup.shingles(texts[i], 2), neardup.shingles(texts[j], 2)) for i in range(30)]
+        got = block.alike(*own[j], 0.3)
+        assert (got is None) == (max(like) < 0.3) and (got is None or like[got] == max(like))
+    assert neardup.Block().alike(*own[0], 0.3) is None
+
+
+def test_columns_of_any_name(spark):
+    df = spark.createDataFrame([(i, f"words that number {i // 2} has of its own", i, i, i, i, i) for i in range(8)], "doc_id long, text string, _kept long, k long, h long, c0 long, id long")
+    out = neardup.without_near_duplicates(df)
+    assert out.schema == df.schema and sorted(r.doc_id for r in out.collect()) == [0, 2, 4, 6]
+    # of rows with one key and several texts the same one stays, however the rows lie
+    df = spark.createDataFrame([(1, "one text of these"), (1, "another text of those"), (2, "a third")], "doc_id long, text string")
+    assert len({tuple(sorted(map(tuple, neardup.without_near_duplicates(d).collect()))) for d in (df, df.repartition(3), df.orderBy("text"))}) == 1
+
+
 def test_one_document_of_each_class_stays(spark):
     texts = dict(enumerate(_corpus(2)))
     df = _table(spark, texts)
