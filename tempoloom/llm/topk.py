@@ -8,14 +8,18 @@ statistics (each scaled by sqrt(L)), and finer segments give tighter bounds.
 Bounds go from coarse to fine; pairs that can't reach a query's k-th best exact
 score so far are dropped, and the survivors get exact scores.
 
-Queries and candidates are packed into blocks of bounded size and meet on a
-grid of cells (rows of query blocks by columns of candidate blocks), so the
-work of comparing every candidate is spread evenly without a cross join, and
-each pair of blocks passes on no more than k rows for each query.
+Vectors are packed into blocks of bounded size that carry their statistics. A
+few blocks of candidates, their number fixed, give each query a first k-th best
+score. Then groups of query blocks and groups of candidate blocks meet in cells,
+as many as keep all cores busy: a cell holds its queries, takes one block of
+candidates after the other, raises the queries' k-th best scores as it goes, and
+passes on k rows for each query. So memory doesn't depend on the size of either
+table, and candidates are sent once for each group of queries.
 
 Edge cases: vectors that are null or hold null or non-finite components take no
 part; vectors of different lengths are not compared; a query's own rows are
-those with its id; repeated query ids count once; ties go to the smaller id;
+those with its id; of queries that share an id the one with the least vector
+counts, candidates that share an id count one by one; ties go to the smaller id;
 fewer than k candidates give fewer rows; other columns are ignored; an empty
 table gives an empty table. Scores must fit 64 bits; those beyond 2**53 are
 computed with Python's integers.
@@ -24,41 +28,64 @@ computed with Python's integers.
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import written
+
 SEGMENTS = (1, 4, 16)
-QUERY_BLOCK, CANDIDATE_BLOCK = 512, 2048
-_BLOCK = "dim int, n int, ids binary, data binary"
+#: Vectors and numbers of a block at most.
+BLOCK, BLOCK_NUMBERS = 2048, 1 << 18
+#: Blocks of candidates that give the first thresholds, and blocks of queries that a cell holds at most.
+SAMPLE, HELD = 4, 64
+#: Queries that are compared at once.
+AT_ONCE = 512
+#: Share of pairs beyond which exact scores are computed for whole columns.
+DENSE = 0.05
+_BLOCK = "dim int, number int, kind string, ids binary, data binary, stats binary"
+
 
+def valid(vector) -> F.Column:
+    """Whether a vector takes part."""
+    x = F.col(vector).cast("array<double>")
+    return x.isNotNull() & (F.size(x) > 0) & F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
 
-def blocks(df: DataFrame, key: str, vector: str, scale: float, size: int) -> DataFrame:
-    """df's vectors as rows of at most ``size`` vectors: each component floor(scale * x), as doubles."""
+
+def blocks(df: DataFrame, key: str, vector: str, scale: float) -> DataFrame:
+    """df's vectors as rows of several vectors: each component floor(scale * x), in the smallest kind of number that holds all of a block."""
 
     def pack(batches):
         open_: dict[int, list] = {}
+        number = TaskContext.get().partitionId() if TaskContext.get() else 0
 
         def row(dim: int):
+            nonlocal number
             ids, data = zip(*open_.pop(dim), strict=True)
-            return pa.RecordBatch.from_pydict({"dim": pa.array([dim], pa.int32()), "n": pa.array([len(ids)], pa.int32()), "ids": pa.array([np.array(ids, dtype="<i8").tobytes()], pa.binary()), "data": pa.array([np.array(data, dtype="<f8").tobytes()], pa.binary())})
+            x = np.array(data)
+            most = float(np.abs(x).max())
+            kind = "<i2" if most < 2**15 else "<i4" if most < 2**31 else "<f8"
+            stats = np.hstack([statistics(x, s) for s in SEGMENTS]).astype("<f4")
+            number += 1
+            return pa.RecordBatch.from_pydict({"dim": pa.array([dim], pa.int32()), "number": pa.array([number], pa.int32()), "kind": pa.array([kind]), "ids": pa.array([np.array(ids, dtype="<i8").tobytes()], pa.binary()), "data": pa.array([x.astype(kind).tobytes()], pa.binary()), "stats": pa.array([stats.tobytes()], pa.binary())})
 
         for b in batches:
             for i, v in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                if i is None or not v.is_valid or v.values.null_count:
-                    continue
-                x = np.floor(scale * v.values.to_numpy(zero_copy_only=False).astype(np.float64))
-                if not len(x) or not np.isfinite(x).all():
+                x = np.floor(scale * v.values.to_numpy())
+                if not np.isfinite(x).all():
                     continue
                 open_.setdefault(len(x), []).append((i, x))
-                if len(open_[len(x)]) == size:
+                if len(open_[len(x)]) >= min(BLOCK, max(1, BLOCK_NUMBERS // len(x))):
                     yield row(len(x))
         for dim in list(open_):
             yield row(dim)
 
-    return df.select(F.col(key).cast("long").alias(key), F.col(vector).cast("array<double>").alias(vector)).mapInArrow(pack, _BLOCK)
+    rows = df.where(valid(vector) & F.col(key).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
+    return rows.mapInArrow(pack, _BLOCK)
 
 
 def statistics(x: np.ndarray, segments: int) -> np.ndarray:
@@ -68,9 +95,36 @@ def statistics(x: np.ndarray, segments: int) -> np.ndarray:
     return np.hstack([np.column_stack([math.sqrt(p.shape[1]) * p.mean(axis=1), math.sqrt(p.shape[1]) * p.std(axis=1)]) for p in parts])
 
 
-def _exact(q: np.ndarray, x: np.ndarray, qi: np.ndarray, xi: np.ndarray) -> np.ndarray:
+@dataclass
+class Block:
+    """Vectors with their ids, statistics by resolution, and lengths."""
+
+    ids: np.ndarray
+    data: np.ndarray
+    stats: list[np.ndarray]
+    norms: np.ndarray
+
+    @staticmethod
+    def read(dim: int, kind: str, ids: bytes, data: bytes, stats: bytes) -> Block:
+        x = np.frombuffer(data, dtype=kind).reshape(-1, dim).astype(np.float64)
+        widths = [2 * min(s, dim) for s in SEGMENTS]
+        whole = np.frombuffer(stats, dtype="<f4").reshape(-1, sum(widths)).astype(np.float64)
+        return Block(np.frombuffer(ids, dtype="<i8"), x, np.split(whole, np.cumsum(widths)[:-1], axis=1), np.linalg.norm(x, axis=1))
+
+    def of(self, at) -> Block:
+        return Block(self.ids[at], self.data[at], [s[at] for s in self.stats], self.norms[at])
+
+    @staticmethod
+    def joined(parts: list[Block]) -> Block:
+        return Block(np.concatenate([p.ids for p in parts]), np.vstack([p.data for p in parts]), [np.vstack(s) for s in zip(*(p.stats for p in parts), strict=True)], np.concatenate([p.norms for p in parts]))
+
+
+def _pairs(q: np.ndarray, x: np.ndarray, qi: np.ndarray, xi: np.ndarray) -> np.ndarray:
+    """Exact scores of pairs of rows."""
     if float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0)) * q.shape[1] >= 2**53:
         return np.array([sum(int(a) * int(b) for a, b in zip(q[i], x[j], strict=True)) for i, j in zip(qi, xi, strict=True)], dtype=np.int64)
+    if len(qi) > DENSE * len(q) * len(x):
+        return (q @ x.T)[qi, xi].astype(np.int64)
     out = np.empty(len(qi), dtype=np.int64)
     for at in range(0, len(qi), 1 << 16):
         s = slice(at, at + (1 << 16))
@@ -78,60 +132,91 @@ def _exact(q: np.ndarray, x: np.ndarray, qi: np.ndarray, xi: np.ndarray) -> np.n
     return out
 
 
-def _kth(scores: np.ndarray, at: np.ndarray, n: int, k: int) -> np.ndarray:
-    """The k-th highest score of each query, -inf where it has fewer; at: the query of each score."""
-    order = np.lexsort((-scores, at))
-    first = np.searchsorted(at[order], np.arange(n))
-    count = np.bincount(at, minlength=n)
-    out = np.full(n, -np.inf)
-    full = count >= k
-    out[full] = scores[order][first[full] + k - 1]
-    return out
-
-
-def best_of_pair(qid: np.ndarray, q: np.ndarray, xid: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query number, candidate number, score) of the k best candidates of each query, and of no fewer than those tied with the k-th."""
-    other = qid[:, None] != xid[None, :]
-    # a first threshold: exact scores of the candidates with the highest coarse bounds
-    bound = statistics(q, SEGMENTS[0]) @ statistics(x, SEGMENTS[0]).T
-    tried = min(4 * k, len(xid))
-    likely = np.argpartition(-np.where(other, bound, -np.inf), tried - 1, axis=1)[:, :tried]
-    qi, xi = np.repeat(np.arange(len(qid)), tried), likely.ravel()
-    own = other[qi, xi]
-    qi, xi = qi[own], xi[own]
-    least = _kth(_exact(q, x, qi, xi), qi, len(qid), k)
-    slack = 1e-9 * (np.linalg.norm(q, axis=1)[:, None] * np.linalg.norm(x, axis=1)[None, :]) + 1e-6
-    alive = other & (bound + slack >= least[:, None])
-    for s in SEGMENTS[1:]:
-        columns = np.flatnonzero(alive.any(axis=0))
-        finer = statistics(q, s) @ statistics(x[columns], s).T
-        alive[:, columns] &= finer + slack[:, columns] >= least[:, None]
-    qi, xi = np.nonzero(alive)
-    scores = _exact(q, x, qi, xi)
-    keep = scores >= _kth(scores, qi, len(qid), k)[qi]
-    qi, xi, scores = qi[keep], xi[keep], scores[keep]
-    order = np.lexsort((xid[xi], -scores, qi))
-    qi, xi, scores = qi[order], xi[order], scores[order]
-    rank = np.arange(len(qi)) - np.searchsorted(qi, qi)
-    return qi[rank < k], xi[rank < k], scores[rank < k]
+class Best:
+    """The k best candidates so far of each of some queries, and the score below which none can be among them."""
+
+    def __init__(self, queries: Block, k: int, least: np.ndarray | None = None):
+        self.q, self.k = queries, k
+        n = len(queries.ids)
+        self.least = np.full(n, -np.inf) if least is None else least
+        self.at, self.ids, self.scores = (np.empty(0, dtype=np.int64) for _ in range(3))
+        self.pairs = self.exact = 0
+
+    def meet(self, x: Block) -> None:
+        """Takes in a block of candidates."""
+        q = self.q
+        alive = q.ids[:, None] != x.ids[None, :]
+        columns = np.arange(len(x.ids))
+        self.pairs += alive.size
+        for own, its in zip(q.stats, x.stats, strict=True):
+            # statistics are rounded to 24 bits
+            reach = self.least[:, None] - 1e-5 * (q.norms[:, None] * x.norms[columns][None, :]) - 1e-3
+            alive &= own @ its[columns].T >= reach
+            some = alive.any(axis=0)
+            alive, columns = alive[:, some], columns[some]
+            if not len(columns):
+                return
+        qi, xi = np.nonzero(alive)
+        self.exact += len(qi)
+        scores = _pairs(q.data, x.data[columns], qi, xi)
+        keep = scores >= self.least[qi]
+        at = np.concatenate((self.at, qi[keep]))
+        ids, scores = np.concatenate((self.ids, x.ids[columns[xi[keep]]])), np.concatenate((self.scores, scores[keep]))
+        order = np.lexsort((ids, -scores, at))
+        at, ids, scores = at[order], ids[order], scores[order]
+        rank = np.arange(len(at)) - np.searchsorted(at, at)
+        top = rank < self.k
+        self.at, self.ids, self.scores = at[top], ids[top], scores[top]
+        last = rank == self.k - 1
+        self.least[at[last]] = np.maximum(self.least[at[last]], scores[last])
 
 
 def top_k(queries: DataFrame, candidates: DataFrame, k: int = 5, key: str = "vec_id", vector: str = "embedding", scale: float = 256.0) -> DataFrame:
     """(query_id, rank, key, score): the k rows of candidates with the highest inner products for each query."""
-    side = max(2, round(math.sqrt(int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions")))))
-    spread = lambda df, own, other: df.withColumn(own, F.pmod(F.xxhash64("ids"), F.lit(side)).cast("int")).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(side - 1))))
-    q = spread(blocks(queries.dropDuplicates([key]), key, vector, scale, QUERY_BLOCK), "r", "c").withColumnsRenamed({"ids": "q_ids", "data": "q_data"})
-    x = spread(blocks(candidates, key, vector, scale, CANDIDATE_BLOCK), "c", "r").withColumnsRenamed({"ids": "x_ids", "data": "x_data"})
-    pairs = q.join(x.hint("shuffle_hash"), ["dim", "r", "c"]).select("dim", "q_ids", "q_data", "x_ids", "x_data")
+    spark = queries.sparkSession
+    one = queries.where(valid(vector) & F.col(key).isNotNull()).groupBy(key).agg(F.min(F.col(vector).cast("array<double>")).alias(vector))
+    q = written(blocks(one, key, vector, scale), "queries")
+    x = written(blocks(candidates, key, vector, scale), "candidates")
+    # SAMPLE blocks of bounded size
+    sample = [Block.read(r["dim"], r["kind"], r["ids"], r["data"], r["stats"]) for r in x.orderBy(F.xxhash64("ids"), "ids").limit(SAMPLE).collect()]
+    n_q, n_x = q.count(), x.count()
+    rows = max(1, math.ceil(n_q / HELD))
+    slots = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    columns = max(1, min(n_x, math.ceil(4 * slots / rows)))
+    spread = lambda df, own, n, other, m, role: df.select("*", F.pmod(F.xxhash64("number", "ids") if n > 4 * slots else F.col("number"), F.lit(n)).cast("int").alias(own), F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias(other), F.lit(role).alias("role"))
+    both = spread(q, "r", rows, "c", columns, 0).unionByName(spread(x, "c", columns, "r", rows, 1))
+    both = both.select((F.col("r") * columns + F.col("c")).alias("cell"), "role", *(c.split()[0] for c in _BLOCK.split(", ")))
+    placed = both.repartitionById(rows * columns, "cell").sortWithinPartitions("cell", "dim", "role", "number")
 
     def compare(batches):
-        for b in batches:
-            for dim, *raw in zip(*(b.column(i) for i in range(5)), strict=True):
-                ids = [np.frombuffer(raw[i].as_py(), dtype="<i8") for i in (0, 2)]
-                data = [np.frombuffer(raw[i].as_py(), dtype="<f8").reshape(-1, dim.as_py()) for i in (1, 3)]
-                qi, xi, scores = best_of_pair(ids[0], data[0], ids[1], data[1], k)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[0][qi]), pa.array(ids[1][xi]), pa.array(scores)], names=["query_id", key, "score"])
-
-    found = pairs.mapInArrow(compare, f"query_id long, {key} long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), key)
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", key, "score")
+        cell, held, best = None, [], []
+
+        def found():
+            for b in best:
+                yield pa.RecordBatch.from_arrays([pa.array(b.q.ids[b.at]), pa.array(b.ids), pa.array(b.scores)], names=["query_id", key, "score"])
+
+        for batch in batches:
+            for at, role, dim, _, kind, *raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if cell != (at, dim):
+                    yield from found()
+                    cell, held, best = (at, dim), [], []
+                block = Block.read(dim, kind, *raw)
+                if role == 0:
+                    held.append(block)
+                    continue
+                if held:
+                    whole, held = Block.joined(held), []
+                    for begin in range(0, len(whole.ids), AT_ONCE):
+                        part = whole.of(slice(begin, begin + AT_ONCE))
+                        first = Best(part, k)
+                        for s in sample:
+                            if s.data.shape[1] == dim:
+                                first.meet(s)
+                        best.append(Best(part, k, first.least))
+                for b in best:
+                    b.meet(block)
+        yield from found()
+
+    scores = placed.mapInArrow(compare, f"query_id long, {key} long, score long")
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), key)
+    return scores.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", key, "score")

@@ -1,5 +1,6 @@
 """Near duplicates, repeated passages, top-k search and the pipeline against brute force."""
 
+import math
 import os
 import random
 import re
@@ -440,6 +441,37 @@ def test_bounds_are_bounds():
     assert last.mean() < (topk.statistics(q, 1) @ topk.statistics(x, 1).T).mean()
 
 
+@pytest.mark.parametrize("scale", [1.0, 2.0**20, 2.0**27])
+def test_cells_hold_many_blocks(spark, monkeypatch, scale):
+    """Small blocks and cells, ids that several rows share, and scores beyond doubles."""
+    monkeypatch.setattr(topk, "BLOCK", 7)
+    monkeypatch.setattr(topk, "HELD", 2)
+    rng = np.random.default_rng(5)
+    rows = [(i % 180, (rng.integers(-5, 6, size=4 + i % 3) * 0.5).tolist()) for i in range(200)]
+    df = spark.createDataFrame([*rows, (0, None), (10, [None] * 4), (50, []), (None, [1.0] * 4)], "vec_id long, embedding array<double>").repartition(5)
+    got = defaultdict(list)
+    for r in topk.top_k(df.where("vec_id % 10 = 0"), df, 3, scale=scale).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((-r.score, r.vec_id))
+    whole = [(i, [math.floor(scale * a) for a in v]) for i, v in rows]
+    for q in range(0, 180, 10):
+        own = min((v for i, v in rows if i == q))
+        own = [math.floor(scale * a) for a in own]
+        assert got[q] == sorted((-sum(a * b for a, b in zip(own, v, strict=True)), i) for i, v in whole if i != q and len(v) == len(own))[:3]
+
+
+def test_thresholds_drop_pairs():
+    """Vectors in clusters, whose segments differ: most pairs need no exact score."""
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(20, 32)).repeat(2, axis=1)
+    x = np.floor(256 * np.repeat(centres, 50, axis=0) + 8 * rng.normal(size=(1000, 64)))
+    block = topk.Block(np.arange(1000), x, [topk.statistics(x, s) for s in topk.SEGMENTS], np.linalg.norm(x, axis=1))
+    best = topk.Best(block.of(slice(0, 1000, 50)), 5)
+    best.meet(block)
+    first, before = best.exact, best.pairs
+    best.meet(block)
+    assert first == 20 * 999 and best.exact - first < 0.2 * (best.pairs - before)
+
+
 # ---- queries on the test tables, and the pipeline -----------------------------------------
 
 DATA = "/root/testdata/sf0.001"
