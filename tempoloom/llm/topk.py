@@ -119,17 +119,23 @@ class Block:
         return Block(np.concatenate([p.ids for p in parts]), np.vstack([p.data for p in parts]), [np.vstack(s) for s in zip(*(p.stats for p in parts), strict=True)], np.concatenate([p.norms for p in parts]))
 
 
-def _pairs(q: np.ndarray, x: np.ndarray, qi: np.ndarray, xi: np.ndarray) -> np.ndarray:
-    """Exact scores of pairs of rows."""
+def _survivors(q: np.ndarray, x: np.ndarray, alive: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of q, row of x, exact score) of the pairs that are alive and whose score is no less than the query's least."""
     if float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0)) * q.shape[1] >= 2**53:
-        return np.array([sum(int(a) * int(b) for a, b in zip(q[i], x[j], strict=True)) for i, j in zip(qi, xi, strict=True)], dtype=np.int64)
-    if len(qi) > DENSE * len(q) * len(x):
-        return (q @ x.T)[qi, xi].astype(np.int64)
-    out = np.empty(len(qi), dtype=np.int64)
-    for at in range(0, len(qi), 1 << 16):
-        s = slice(at, at + (1 << 16))
-        out[s] = np.einsum("ij,ij->i", q[qi[s]], x[xi[s]])
-    return out
+        qi, xi = np.nonzero(alive)
+        scores = np.array([sum(int(a) * int(b) for a, b in zip(q[i], x[j], strict=True)) for i, j in zip(qi, xi, strict=True)], dtype=np.int64)
+    elif alive.mean() > DENSE:  # a product of whole numbers below 2**53 is exact
+        whole = q @ x.T
+        qi, xi = np.nonzero(alive & (whole >= least[:, None]))
+        return qi, xi, whole[qi, xi].astype(np.int64)
+    else:
+        qi, xi = np.nonzero(alive)
+        scores = np.empty(len(qi), dtype=np.int64)
+        for at in range(0, len(qi), 1 << 16):
+            s = slice(at, at + (1 << 16))
+            scores[s] = np.einsum("ij,ij->i", q[qi[s]], x[xi[s]])
+    keep = scores >= least[qi]
+    return qi[keep], xi[keep], scores[keep]
 
 
 class Best:
@@ -156,12 +162,10 @@ class Best:
             alive, columns = alive[:, some], columns[some]
             if not len(columns):
                 return
-        qi, xi = np.nonzero(alive)
-        self.exact += len(qi)
-        scores = _pairs(q.data, x.data[columns], qi, xi)
-        keep = scores >= self.least[qi]
-        at = np.concatenate((self.at, qi[keep]))
-        ids, scores = np.concatenate((self.ids, x.ids[columns[xi[keep]]])), np.concatenate((self.scores, scores[keep]))
+        self.exact += int(alive.sum())
+        qi, xi, scores = _survivors(q.data, x.data[columns], alive, self.least)
+        at = np.concatenate((self.at, qi))
+        ids, scores = np.concatenate((self.ids, x.ids[columns[xi]])), np.concatenate((self.scores, scores))
         order = np.lexsort((ids, -scores, at))
         at, ids, scores = at[order], ids[order], scores[order]
         rank = np.arange(len(at)) - np.searchsorted(at, at)
