@@ -1,21 +1,25 @@
 """Quality classifier by co-training on two views, text content and page metadata.
 
-Each view has a logistic classifier fitted to labelled documents. Over some
-rounds, each view labels documents of an unlabelled pool about which it is
-confident by its calibrated probability, and hands them to the other view,
-which is then fitted anew. At last both views are calibrated on labelled
-documents they were not fitted to (Platt scaling), and their log odds are added,
-less the prior that both hold, to score every document.
-
-The fit uses at most ``LABELLED`` labelled and ``POOL`` other documents, those
-with the least hashes of their keys, so its cost is bounded; the scores cover
-all documents. The weights, a few hundred numbers, travel with the tasks.
-
-Edge cases: a null text is empty, null metadata is a value of its own; labels
-that are null or have a null or unknown key are not used; different labels of one
-document all count, rows of docs that share a key count once in the fit; without labels of both classes every document gets the
+The text view sees words and pairs of words by hash, and the shape of the text;
+the metadata view the values of some columns and the stated length. Each has a
+logistic classifier fitted to labelled documents. In each of some rounds, each
+view labels all documents without a label about which it is confident by its
+calibrated probability, for the other view, which is then fitted anew to
+both. At last both views are calibrated on labelled documents they were not
+fitted to (Platt scaling), and their log odds are added, less the prior that
+both hold, to score every document.
+
+The views of all documents are written once to the shared folder. The fit goes
+over them a few times, each time adding up counts, loss, slope and curvature of
+the pseudo-labels, a matrix of a fixed size from each task. At most ``LABELLED``
+labelled documents are fitted to, those with the least hashes of their keys;
+the pseudo-labels of a class weigh half as much as its labels together.
+
+Edge cases: a null text is empty, null metadata is a value of its own; texts are
+seen whole; labels that are null or have a null or unknown key are not used; different labels of one
+document all count, rows of docs that share a labelled key count once as labelled; without labels of both classes every document gets the
 share of good labels, or 1 without any; rows are scored one by one, so repeated
-rows get equal scores; extra columns are ignored or kept; an empty table gives
+rows get equal scores; extra columns are ignored or kept, whatever their names; an empty table gives
 an empty table.
 """
 
@@ -23,24 +27,33 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, replace
 from operator import eq
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import code_points
+from .common import U64, WordHashes, code_points, mix64, written
 
-#: Documents that a fit may use, labelled and unlabelled.
-LABELLED, POOL = 8000, 4000
-#: Rounds, documents that a view may hand over in one, the probability from which it is confident, and the share of labelled documents held out to calibrate.
-ROUNDS, HANDED, CONFIDENT, HELD = 3, 1000, 0.98, 0.25
+#: Labelled documents that a fit may use.
+LABELLED = 8000
+#: Rounds, steps of the fit in each, the probability from which a view is confident, and the share of labelled documents held out to calibrate.
+ROUNDS, STEPS, CONFIDENT, HELD = 3, 2, 0.98, 0.25
+#: The weight of a class's pseudo-labels together, in that of its labels; none weighs more than so many labels.
+PSEUDO = 0.5
+#: Rows of sums that reach the driver.
+SUMS = 8
 #: Below this probability of good quality a document is rejected.
 REJECT = 0.5
 _BUCKETS = 32
+#: Hash buckets of words and of pairs of words, and the numbers before and after them in the text view.
+_WORDS, _SHAPE = 64, 76
+_HASHES = WordHashes()
 
 _SPACE, _BREAK, _LOWER, _UPPER, _DIGIT, _STOP, _SYMBOL, _OTHER = range(8)
 _CLASS = np.full(257, _SYMBOL, dtype=np.int64)
@@ -51,12 +64,12 @@ _CLASS[256] = _OTHER
 
 
 def text_view(text: str) -> np.ndarray:
-    """What the text view sees: shares of pairs of character classes, repetition, and the shape of words and lines."""
+    """What the text view sees: shares of pairs of character classes, repetition, the shape of words and lines, and shares of hashed words and pairs of words."""
     points = code_points(text)
     n = len(points)
-    out = np.zeros(64 + 12)
+    out = np.zeros(_SHAPE + 2 * _WORDS)
     if not n:
-        out[-1] = 1
+        out[_SHAPE - 1] = 1
         return out
     kinds = _CLASS[np.minimum(points, 256)]
     if n > 1:
@@ -67,6 +80,12 @@ def text_view(text: str) -> np.ndarray:
         counts = Counter(words)
         lines = text.split("\n")
         top = max(counts.values()) / w
+        hashes = _HASHES.of(words)
+        out[_SHAPE : _SHAPE + _WORDS] = np.sqrt(np.bincount((mix64(hashes) % U64(_WORDS)).astype(np.int64), minlength=_WORDS) / w)
+        if w > 1:
+            with np.errstate(over="ignore"):
+                pairs = mix64(hashes[:-1] * U64(0x9E3779B97F4A7C15) + hashes[1:])
+            out[_SHAPE + _WORDS :] = np.sqrt(np.bincount((pairs % U64(_WORDS)).astype(np.int64), minlength=_WORDS) / (w - 1))
         out[64:75] = (
             len(counts) / w, top, top > 0.3, sum(map(eq, words, words[1:])) / w, (n - w) / w / 10, len(set(lines)) / len(lines), math.log1p(w) / 10,
             len(counts) / math.sqrt(w) / 10, sum(map(eq, words, words[2:])) / w, math.log1p(n / len(lines)) / 10, (w < 5) * 1.0,
@@ -114,19 +133,24 @@ class Logistic:
     shift: float = 0.0
 
     @staticmethod
-    def fitted(x: np.ndarray, y: np.ndarray, importance: np.ndarray, penalty: float = 1.0) -> Logistic:
+    def fitted(x: np.ndarray, y: np.ndarray) -> Logistic:
         mean, scale = x.mean(axis=0), x.std(axis=0)
         scale[scale < 1e-9] = 1
-        z = np.column_stack([np.clip((x - mean) / scale, -8, 8), np.ones(len(x))])
-        ridge = np.full(z.shape[1], penalty)
-        ridge[-1] = 1e-6
-        w = _newton(z, y, importance, ridge, np.zeros(z.shape[1]))
-        return Logistic(mean, scale, w)
+        out = Logistic(mean, scale, np.zeros(x.shape[1] + 1))
+        return replace(out, weights=_newton(out.standard(x), y, np.ones(len(y)), out.ridge(), out.weights))
+
+    def standard(self, x: np.ndarray) -> np.ndarray:
+        """x in units of the deviations of what was first fitted to, and a constant."""
+        return np.column_stack([np.clip((x - self.mean) / self.scale, -8, 8), np.ones(len(x))])
+
+    def ridge(self, penalty: float = 1.0) -> np.ndarray:
+        out = np.full(len(self.weights), penalty)
+        out[-1] = 1e-6
+        return out
 
     def odds(self, x: np.ndarray) -> np.ndarray:
         """Calibrated log odds."""
-        z = np.clip((x - self.mean) / self.scale, -8, 8) @ self.weights[:-1] + self.weights[-1]
-        return self.slope * z + self.shift
+        return self.slope * (self.standard(x) @ self.weights) + self.shift
 
     def calibrate(self, x: np.ndarray, y: np.ndarray) -> None:
         self.slope, self.shift = 1.0, 0.0
@@ -158,32 +182,87 @@ def _logit(p: float) -> float:
     return math.log(p / (1 - p))
 
 
-def co_train(views: tuple[np.ndarray, np.ndarray], y: np.ndarray, pool: tuple[np.ndarray, np.ndarray], rounds: int = ROUNDS, handed: int = HANDED, confident: float = CONFIDENT, held: float = HELD) -> Model:
-    """The views' classifiers after rounds of exchange. Labels that pseudo-labels stand beside count in full, pseudo-labels by half."""
+@dataclass
+class Sums:
+    """Of some rows: their weight, and the loss, its slope and its curvature at some weights of a classifier."""
+
+    weight: float
+    loss: float
+    slope: np.ndarray
+    curve: np.ndarray
+
+    @staticmethod
+    def of(z: np.ndarray, target: np.ndarray, weights: np.ndarray) -> Sums:
+        odds = z @ weights
+        p = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
+        return Sums(float(len(z)), float((np.logaddexp(0, odds) - target * odds).sum()), z.T @ (target - p), (z * np.maximum(p * (1 - p), 1e-9)[:, None]).T @ z)
+
+    @staticmethod
+    def none(n: int) -> Sums:
+        return Sums(0.0, 0.0, np.zeros(n), np.zeros((n, n)))
+
+    def plus(self, other: Sums, times: float = 1.0) -> Sums:
+        return Sums(self.weight + times * other.weight, self.loss + times * other.loss, self.slope + times * other.slope, self.curve + times * other.curve)
+
+    def packed(self) -> np.ndarray:
+        return np.concatenate(([self.weight, self.loss], self.slope, self.curve[np.triu_indices(len(self.slope))]))
+
+    @staticmethod
+    def unpacked(x: np.ndarray, n: int) -> Sums:
+        curve = np.zeros((n, n))
+        curve[np.triu_indices(n)] = x[2 + n :]
+        return Sums(float(x[0]), float(x[1]), x[2 : 2 + n], curve + np.triu(curve, 1).T)
+
+
+#: What the pseudo-labels of a round add up to, for each view and class: of the classifiers that label, and of the weights of those that are fitted.
+Passes = Callable[[tuple[Logistic, Logistic], tuple[np.ndarray, np.ndarray], float], list[list[Sums]]]
+
+
+def pseudo_sums(views: tuple[np.ndarray, np.ndarray], models: tuple[Logistic, Logistic], weights: tuple[np.ndarray, np.ndarray], confident: float) -> list[list[Sums]]:
+    """For each view the sums over the rows that the other view is sure of, by the class it gives them."""
+    out = []
+    for v in (0, 1):
+        odds = models[1 - v].odds(views[1 - v])
+        out.append([Sums.of(models[v].standard(views[v][own]), np.full(int(own.sum()), float(c)), weights[v]) for c in (0, 1) for own in [(odds if c else -odds) >= _logit(confident)]])
+    return out
+
+
+def _learn(model: Logistic, labelled: tuple[np.ndarray, np.ndarray], weights: list[np.ndarray], best: list, sums: list[Sums]) -> None:
+    """One step of a view's fit to its labels and pseudo-labels: weights[-1] gives way to better ones; best: loss and weights so far."""
+    z, y = labelled
+    whole = Sums.of(z, y, weights[-1])
+    for c in (0, 1):
+        if sums[c].weight:
+            whole = whole.plus(sums[c], min(PSEUDO, PSEUDO * float((y == c).sum()) / sums[c].weight))
+    ridge = model.ridge()
+    loss = whole.loss + 0.5 * float((ridge * weights[-1] ** 2).sum())
+    if best and loss > best[0]:
+        weights.append((weights[-1] + best[1]) / 2)
+        return
+    best[:] = [loss, weights[-1]]
+    weights.append(weights[-1] + np.linalg.solve(whole.curve + np.diag(ridge), whole.slope - ridge * weights[-1]))
+
+
+def co_train(views: tuple[np.ndarray, np.ndarray], y: np.ndarray, passes: Passes, rounds: int = ROUNDS, confident: float = CONFIDENT, held: float = HELD) -> Model:
+    """The views' classifiers after rounds of exchange; passes goes over the documents without a label."""
     share = float(y.mean()) if len(y) else 1.0
     cut = max(1, int(len(y) * held))
     if len(y) < 8 or min(y[cut:].sum(), (1 - y[cut:]).sum(), y[:cut].sum(), (1 - y[:cut]).sum()) < 1:
         return Model(None, None, _logit(share))
     fit, check = slice(cut, None), slice(0, cut)
-    given = [np.full(len(pool[0]), -1.0), np.full(len(pool[0]), -1.0)]  # what each view was told of the pool
-    models: list[Logistic] = []
+    models = [Logistic.fitted(view[fit], y[fit]) for view in views]
+    labelled = [(m.standard(view[fit]), y[fit]) for m, view in zip(models, views, strict=True)]
     for turn in range(rounds + 1):
-        models = []
-        for v in (0, 1):
-            told = given[v] >= 0
-            x = np.vstack([views[v][fit], pool[v][told]])
-            target = np.concatenate([y[fit], given[v][told]])
-            importance = np.concatenate([np.ones(len(y) - cut), np.full(int(told.sum()), 0.5)])
-            m = Logistic.fitted(x, target, importance)
-            m.calibrate(views[v][check], y[check])
-            models.append(m)
-        if turn == rounds or not len(pool[0]):
+        for m, view in zip(models, views, strict=True):
+            m.calibrate(view[check], y[check])
+        if turn == rounds:
             break
-        for v in (0, 1):
-            odds = models[v].odds(pool[v])
-            sure = np.flatnonzero((np.abs(odds) >= _logit(confident)) & (given[1 - v] < 0))
-            best = sure[np.argsort(-np.abs(odds[sure]), kind="stable")][:handed]
-            given[1 - v][best] = odds[best] > 0
+        weights, best = [[m.weights] for m in models], [[], []]
+        for step in range(STEPS + 1):
+            sums = passes((models[0], models[1]), (weights[0][-1], weights[1][-1]), confident)
+            for v in (0, 1):
+                _learn(models[v], labelled[v], weights[v], best[v], sums[v])
+        models = [replace(m, weights=b[1], slope=1.0, shift=0.0) for m, b in zip(models, best, strict=True)]
     # the prior of the documents that both views were calibrated on
     return Model(models[0], models[1], _logit((y[check].sum() + 1) / (cut + 2)))
 
@@ -209,30 +288,68 @@ def _slices(batches, rows: int = 500):
             yield whole.slice(begin, rows)
 
 
-def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", metadata: tuple[str, ...] = ("source", "lang"), length: str = "n_chars", labelled: int = LABELLED, pool: int = POOL) -> Model:
-    """A model fitted to bounded samples of the labelled and of all documents."""
-    known = labels.select(F.col(key).cast("long").alias("id"), F.col(label).cast("double").alias("y")).where("id IS NOT NULL AND y IN (0.0, 1.0)")
-    known = known.distinct().orderBy(F.xxhash64("id"), "id", "y").limit(labelled)
-    others = docs.select(F.col(key).cast("long").alias("id")).where("id IS NOT NULL").distinct().orderBy(F.xxhash64(F.col("id"), F.lit(1)), "id").limit(pool).withColumn("y", F.lit(-1.0))
-    chosen = F.broadcast(known.union(others))  # at most labelled + pool rows of 16 bytes
-    rows = docs.join(chosen.withColumnsRenamed({"id": "_id", "y": "_y"}), docs[key].cast("long") == F.col("_id"))
-    kept = rows.select(F.col("_id"), F.col("_y"), F.col(text).cast("string"), _number(docs, length), _values(metadata))
+def seen(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", metadata: tuple[str, ...] = ("source", "lang"), length: str = "n_chars", labelled: int = LABELLED) -> DataFrame:
+    """(id, y, t, m) in the shared folder: the views of every row of docs, and its label if it is of the sample; y is null otherwise."""
+    known = labels.select(F.col(key).cast("string").alias("id"), F.col(label).cast("double").alias("y")).where("id IS NOT NULL AND y IN (0.0, 1.0)")
+    known = F.broadcast(known.distinct().orderBy(F.xxhash64("id"), "id", "y").limit(labelled))  # at most so many rows
+    rows = docs.select(F.col(key).cast("string").alias("id"), F.col(text).cast("string").alias("body"), _number(docs, length), _values(metadata))
 
     def see(batches):
         for b in _slices(batches):
             views = _both(*b.columns[2:])
-            yield pa.RecordBatch.from_arrays([*b.columns[:2], *(pa.array([x.astype("<f8").tobytes() for x in v], pa.binary()) for v in views)], names=["id", "y", "t", "m"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:2], *(pa.array([x.astype("<f4").tobytes() for x in v], pa.binary()) for v in views)], names=["id", "y", "t", "m"])
+
+    return written(rows.join(known, "id", "left").select("id", "y", "body", "__n", "__m").mapInArrow(see, "id string, y double, t binary, m binary"), "views")
+
+
+def _views(t: pa.Array, m: pa.Array, dims: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    return tuple(np.frombuffer(b"".join(x.to_pylist()), dtype="<f4").reshape(-1, d).astype(np.float64) for x, d in ((t, dims[0]), (m, dims[1])))
+
+
+def over_all(views: DataFrame, dims: tuple[int, int]) -> Passes:
+    """passes for co_train() over a table of views."""
+    rows = views.where("y IS NULL").select("t", "m")
+
+    def passes(models, weights, confident):
+        def add(batches):
+            whole = None
+            for b in _slices(batches, 4000):
+                own = [s for view in pseudo_sums(_views(*b.columns, dims), models, weights, confident) for s in view]
+                whole = own if whole is None else [a.plus(s) for a, s in zip(whole, own, strict=True)]
+            if whole:
+                task = TaskContext.get().partitionId() if TaskContext.get() else 0
+                yield pa.RecordBatch.from_arrays([pa.array([task % SUMS], pa.int32()), pa.array([np.concatenate([s.packed() for s in whole]).tobytes()], pa.binary())], names=["to", "sums"])
+
+        def add_up(batches):
+            whole = None
+            for b in batches:
+                for raw in b.column(1):
+                    one = np.frombuffer(raw.as_py(), dtype=np.float64)
+                    whole = one.copy() if whole is None else whole + one
+            if whole is not None:
+                yield pa.RecordBatch.from_arrays([pa.array([whole.tobytes()], pa.binary())], names=["sums"])
+
+        found = [np.frombuffer(r["sums"], dtype=np.float64) for r in rows.mapInArrow(add, "to int, sums binary").repartitionById(SUMS, "to").mapInArrow(add_up, "sums binary").collect()]
+        n = [d + 1 for d in dims]
+        if not found:
+            return [[Sums.none(k)] * 2 for k in n]
+        sizes = [2 + k + k * (k + 1) // 2 for k in n for _ in (0, 1)]
+        parts = np.split(np.sum(found, axis=0), np.cumsum(sizes)[:-1])
+        return [[Sums.unpacked(parts[2 * v + c], n[v]) for c in (0, 1)] for v in (0, 1)]
+
+    return passes
+
 
-    # one row for each sampled key, however many rows of docs have it, so that no more than the sample comes to the driver
-    one = kept.mapInArrow(see, "id long, y double, t binary, m binary").groupBy("id", "y").agg(F.min(F.struct("t", "m")).alias("v")).select("id", "y", "v.t", "v.m")
-    seen = sorted(one.collect(), key=lambda r: (xxhash.xxh3_64_intdigest(str(r["id"])), r["y"]))
+def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", metadata: tuple[str, ...] = ("source", "lang"), length: str = "n_chars", labelled: int = LABELLED, rounds: int = ROUNDS) -> Model:
+    """A model fitted to a bounded sample of the labelled documents and to all others."""
+    views = seen(docs, labels, key, text, label, metadata, length, labelled)
     dims = len(text_view("")), len(metadata_view(("",) * len(metadata), None))
-    of = lambda rows_, c, d: np.array([np.frombuffer(r[c], dtype="<f8") for r in rows_]).reshape(-1, d)
-    with_label = [r for r in seen if r["y"] >= 0]
-    have = {r["id"] for r in with_label}
-    without = [r for r in seen if r["y"] < 0 and r["id"] not in have]
-    y = np.array([r["y"] for r in with_label])
-    return co_train((of(with_label, "t", dims[0]), of(with_label, "m", dims[1])), y, (of(without, "t", dims[0]), of(without, "m", dims[1])))
+    # one row for each label of the sample, however many rows of docs have its key
+    one = views.where("y IS NOT NULL").groupBy("id", "y").agg(F.min(F.struct("t", "m")).alias("v")).select("id", "y", "v.t", "v.m")
+    sample = sorted(one.collect(), key=lambda r: (xxhash.xxh3_64_intdigest(r["id"]), r["y"]))
+    y = np.array([r["y"] for r in sample])
+    own = _views(pa.array([r["t"] for r in sample], pa.binary()), pa.array([r["m"] for r in sample], pa.binary()), dims)
+    return co_train(own, y, over_all(views, dims), rounds)
 
 
 def scored(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", metadata: tuple[str, ...] = ("source", "lang"), length: str = "n_chars", reject: float = REJECT) -> DataFrame:
@@ -251,13 +368,15 @@ def scored(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text
 def accepted(docs: DataFrame, model: Model, text: str = "text", metadata: tuple[str, ...] = ("source", "lang"), length: str = "n_chars", reject: float = REJECT) -> DataFrame:
     """The rows of docs that the model doesn't reject, with the columns of docs."""
     names, at = docs.columns, docs.columns.index(text)
+    rows = docs.toDF(*(f"c{i}" for i in range(len(names))))  # the columns of docs may have any name
+    own = {name: f"c{i}" for i, name in enumerate(names)}
 
     def choose(batches):
         for b in _slices(batches):
             keep = _good(model, b.column(at).cast(pa.string()), *b.columns[len(names) :])[2] >= reject
             yield pa.RecordBatch.from_arrays(b.columns[: len(names)], names=names).filter(pa.array(keep))
 
-    return docs.select("*", _number(docs, length), _values(metadata)).mapInArrow(choose, docs.schema)
+    return rows.select("*", _number(rows, own.get(length, length)), _values(tuple(own[c] for c in metadata))).mapInArrow(choose, docs.schema)
 
 
 def _good(model: Model, texts: pa.Array, lengths: pa.Array, values: pa.Array) -> list[np.ndarray]:
