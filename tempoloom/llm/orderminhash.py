@@ -6,7 +6,11 @@ are taken, put back into text order, and hashed as a tuple. Two texts agree in
 an entry when they share the least k-mers and their order, so moving or
 repeating passages lowers the likeness, which a set of k-mers would not show.
 
-Edge cases: a null text is empty; a text shorter than k is one k-mer, an empty
+For each text's successor, rows are dealt out by ranges of (key, hash of the
+text) of about equal bytes, whose bounds are rows; so the rows of one key may
+lie in several ranges. Each range also gets the first row after it.
+
+Edge cases: a null text is empty; a text of any length is fingerprinted whole; a text shorter than k is one k-mer, an empty
 one has the fingerprint of no k-mer; with fewer than l k-mers all are taken;
 ties between hash values go to the earlier k-mer; repeated rows have equal
 fingerprints; other columns are ignored; an empty table gives an empty table.
@@ -82,36 +86,70 @@ def text_of_fingerprint(f: np.ndarray) -> str:
     return f.astype(">u2").tobytes().hex()
 
 
-def with_followers(docs: DataFrame, key: str, text: str, buckets: int) -> DataFrame:
-    """Rows (bucket, late, key, text): each bucket has a range of keys and, late, the first row after it.
+#: Ranges that are weighed for each one that is made.
+FINE = 16
+
+
+def range_bounds(rows: DataFrame, ranges: int) -> tuple[tuple[int, int] | None, list[tuple[int, int]]]:
+    """The least (at, h) of rows (at, h, body), and of each further one of about so many ranges of equal bytes.
 
-    The bounds are the least keys at or above approximate quantiles (doubles,
-    which a key beyond 2**53 may miss), so the rows that follow a range are
-    those with the next bound; the range after the last begins with the least
-    key. Null keys come first.
+    Approximate quantiles (doubles, which a key beyond 2**53 may miss) part the
+    rows into fine ranges, whose least rows and bytes are exact. A key that
+    alone is more than a range is split by hash.
     """
-    rows = text_of(docs, key, text=text).withColumn("at", F.coalesce(F.col(key).cast("long"), F.lit(-(2**63))))
-    ids = rows.select("at")
-    bounds = ids.approxQuantile("at", [i / buckets for i in range(1, buckets)], 0.1 / buckets) if buckets > 1 else []
-    least = ids.agg(F.min("at")).first()[0]
-
-    def bucket_of(cuts: np.ndarray):
-        @F.pandas_udf("long")
-        def number(at: pd.Series) -> pd.Series:
-            return pd.Series(np.searchsorted(cuts, at.to_numpy(), side="right"))
-
-        return number("at")
-
-    near = np.unique(np.array([min(int(x), 2**63 - 1) for x in bounds], dtype=np.int64))
-    keys = [r[0] for r in ids.groupBy(bucket_of(near).alias("bucket")).agg(F.min("at")).select("min(at)").collect()] if len(near) else []
-    cuts = np.unique(np.array([k for k in keys if k != least], dtype=np.int64))
-    placed = rows.withColumn("bucket", bucket_of(cuts))
-    row = lambda b, late: F.struct(b.cast("long").alias("bucket"), F.lit(late).alias("late"))
-    last = F.lit(len(cuts))
-    is_cut = F.col("at").isin([int(c) for c in cuts]) if len(cuts) else F.lit(False)
-    to = F.array_compact(F.array(row(F.col("bucket"), 0), F.when(is_cut, row(F.col("bucket") - 1, 1)), F.when(F.col("at") == F.lit(least), row(last, 1))))
-    spread = placed.select(F.explode(to).alias("to"), "at", key, text).select("to.bucket", "to.late", "at", key, text)
-    return spread.repartition(buckets, "bucket").sortWithinPartitions("bucket", "late", "at", text).drop("at")
+    near = np.array(sorted({max(-(2**63), min(int(x), 2**63 - 1)) for x in rows.select("at").approxQuantile("at", [i / (FINE * ranges) for i in range(1, FINE * ranges)], 0.1 / (FINE * ranges))}), dtype=np.int64) if ranges > 1 else np.empty(0, dtype=np.int64)
+
+    @F.pandas_udf("long")
+    def fine(at: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(near, at.to_numpy(), side="right"))
+
+    found = sorted((tuple(r["least"]), r["bytes"]) for r in rows.groupBy(fine("at").alias("fine")).agg(F.min(F.struct("at", "h")).alias("least"), F.sum(F.octet_length("body") + 64).alias("bytes")).collect())
+    if not found:
+        return None, []
+    most = sum(b for _, b in found) / ranges
+    bounds, hot, held = set(), {}, 0
+    for least, size in found:
+        if held and held + size > most:
+            bounds.add(least)
+            held = 0
+        held += size
+        if size > 2 * most:
+            hot[least[0]] = int(size / most)
+    if hot:
+        parts = F.coalesce(*(F.when(F.col("at") == k, F.lit(n)) for k, n in hot.items()))
+        part = F.floor((F.shiftright("h", 32) + (1 << 31)) * parts / (1 << 32))
+        bounds |= {tuple(r["least"]) for r in rows.where(F.col("at").isin(list(hot))).groupBy("at", part.alias("part")).agg(F.min(F.struct("at", "h")).alias("least")).collect()}
+    return found[0][0], sorted(bounds - {found[0][0]})
+
+
+def with_followers(docs: DataFrame, key: str, text: str, ranges: int) -> DataFrame:
+    """Rows (bucket, late, key, text): each bucket has a range of rows in order of their keys and, late, the first row after it; after the last range comes the first row of all. Null keys come first."""
+    rows = docs.select(F.col(key).alias("k"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("body"))
+    rows = rows.select("k", "body", F.coalesce(F.col("k").cast("long"), F.lit(-(2**63))).alias("at"), F.xxhash64("body").alias("h"))
+    least, bounds = range_bounds(rows, ranges)
+    ats, hs = (np.array([b[i] for b in bounds], dtype=np.int64) for i in (0, 1))
+    several = {k for k, n in zip(*np.unique(ats, return_counts=True), strict=True)}
+
+    @F.pandas_udf("long")
+    def place(at: pd.Series, h: pd.Series) -> pd.Series:
+        """Twice the number of the row's range, and one more if its bound is such a row."""
+        a, b = at.to_numpy(), h.to_numpy()
+        out = np.searchsorted(ats, a, side="left")
+        for k in several & set(np.unique(a).tolist()):
+            own = a == k
+            out[own] += np.searchsorted(hs[ats == k], b[own], side="right")
+        first = np.zeros(len(a), dtype=bool)
+        if len(ats):
+            before = np.maximum(out - 1, 0)
+            first = (out > 0) & (ats[before] == a) & (hs[before] == b)
+        return pd.Series(2 * out + first)
+
+    row = lambda b, late: F.struct(b.cast("int").alias("bucket"), F.lit(late).alias("late"))
+    bucket = F.floor(F.col("place") / 2)
+    is_least = (F.col("at") == F.lit(least[0])) & (F.col("h") == F.lit(least[1])) if least else F.lit(False)
+    to = F.array_compact(F.array(row(bucket, 0), F.when(F.col("place") % 2 == 1, row(bucket - 1, 1)), F.when(is_least, row(F.lit(len(bounds)), 1))))
+    spread = rows.withColumn("place", place("at", "h")).select(F.explode(to).alias("to"), "at", "h", "k", "body").select("to.bucket", "to.late", "at", "h", "k", "body")
+    return spread.repartitionById(len(bounds) + 1, "bucket").sortWithinPartitions("late", "at", "h", "body").select("bucket", "late", F.col("k").alias(key), F.col("body").alias(text))
 
 
 def edited_pairs(rows: Iterator[tuple]) -> Iterator[tuple]:

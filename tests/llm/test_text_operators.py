@@ -132,6 +132,32 @@ def test_followers_of_keys_beyond_doubles(spark):
     assert sorted((k, own, after) for k, own, _, after in got) == list(zip(ids, texts, texts[1:] + texts[:1], strict=True))
 
 
+@pytest.mark.parametrize("ranges", [1, 3, 16])
+def test_every_row_has_its_follower(spark, ranges):
+    """Negative, null, repeated and very large keys; a key with a third of all rows; rows that are the same; a very long text."""
+    rng = random.Random(7)
+    keys = [None] * 4 + [-(2**63) + 5, -7, 0, 0, 0, 2**60, 2**60 + 1, 2**63 - 1] + [99] * 150 + [rng.randrange(-(2**62), 2**62) for _ in range(200)] + [2**60 + i for i in range(300)]
+    rows = [(k, " ".join(rng.choices("abcdef", k=rng.randrange(0, 9)))) for k in keys] + [(99, "same")] * 40 + [(5, "long " * 60_000)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "at long, h string").repartition(5)
+    got = list(orderminhash.edited_pairs(tuple(r) for r in orderminhash.with_followers(df, "at", "h", ranges).collect()))
+    from pyspark.sql import functions as F
+
+    hashes = {r.h: r.x for r in df.select("h", F.xxhash64("h").alias("x")).collect()}
+    order = sorted(rows, key=lambda r: (-(2**63) if r[0] is None else r[0], hashes[r[1]], r[1]))
+    plain = [(a[0], a[1], b[1]) for a, b in zip(order, order[1:] + order[:1], strict=True)]
+    by = lambda x: (x[0] is not None, x[0] or 0, x[1:])
+    assert sorted(((k, own, after) for k, own, _, after in got), key=by) == sorted(plain, key=by)
+
+
+def test_ranges_are_even(spark):
+    df = spark.createDataFrame([(99 if i % 3 == 0 else 2**60 + i, f"text {i} " * (1 + i % 50)) for i in range(6000)], "doc_id long, text string").repartition(4)
+    sizes = Counter()
+    for r in orderminhash.with_followers(df, "doc_id", "text", 12).collect():
+        sizes[r.bucket] += len(r.text)
+    assert len(sizes) >= 11 and max(sizes.values()) <= 2 * np.median(list(sizes.values()))
+
+
 def test_order_counts():
     rng = random.Random(2)
     words = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(300)]
