@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import hashlib
 import json
-import random
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import hash_unit
 from ..schema import BACKGROUND, NUM_CLASSES
+from .ranks import ranked
 
 ANNOTATION_FOLDER, ANNOTATION_FILE = "NOVA project", "gestures.annotation~"
 OWN_SUFFIX = "_pred.mp4"
@@ -188,8 +188,9 @@ def fingerprint(config: dict, without: tuple[str, ...] = ()) -> str:
 
 
 def row_fingerprint(*parts: Column) -> Column:
-    """The same over the parts of a row, put one after the other."""
-    return F.substring(F.sha2(F.concat(*(F.coalesce(p.cast("string"), F.lit("")) for p in parts)), 256), 1, 16)
+    """The same over the parts of a row, each with its length before it, so that no two rows are put together alike."""
+    text = F.concat(*(F.coalesce(F.concat(F.length(p.cast("string")), F.lit(":"), p.cast("string")), F.lit("-")) for p in parts))
+    return F.substring(F.sha2(text, 256), 1, 16)
 
 
 def without_dirty(rows: DataFrame, dirty: DataFrame) -> DataFrame:
@@ -200,85 +201,61 @@ def excluded(rows: DataFrame, dirty: DataFrame) -> DataFrame:
     return rows.join(dirty.select("video_id").distinct(), "video_id", "left_semi")
 
 
-def _counts(n: int, ratios: tuple[float, float, float]) -> tuple[int, int]:
-    train, val = max(1, round(n * ratios[0])), max(1, round(n * ratios[1]))
-    return (n - 2, 1) if train + val >= n else (train, val)
+Ratios = tuple[float, float, float]
 
 
-def subject_splits(subjects: list[str], ratios: tuple[float, float, float], seed: int, registry: dict[str, str] | None = None) -> dict[str, str]:
-    """The split of each subject: that of the registry, else by a seeded shuffle of the sorted subjects."""
-    if any(r <= 0 for r in ratios) or abs(sum(ratios) - 1) > 1e-9:
-        raise ValueError("the ratios must be positive and add up to 1")
-    if registry is not None:
-        if missing := sorted(set(subjects) - set(registry)):
-            raise ValueError(f"the registry lacks {len(missing)} subjects")
-        return registry
-    own = sorted(set(subjects))
-    if len(own) < 3:
-        raise ValueError("three subjects are needed at least")
-    random.Random(seed).shuffle(own)
-    train, val = _counts(len(own), ratios)
-    return {s: "train" if i < train else "validation" if i < train + val else "test" for i, s in enumerate(own)}
+def _checked(ratios: Ratios) -> Ratios:
+    if any(not 0 < r < 1 for r in ratios) or abs(sum(ratios) - 1) > 1e-9:
+        raise ValueError("the ratios must be between 0 and 1 and add up to 1")
+    return ratios
 
 
-def hashed_splits(rows: DataFrame, key: str, ratios: tuple[float, float, float], seed: int = 0) -> DataFrame:
-    """(key, split) for any number of keys: their share of the ranks in hash order, so each split has its exact count.
+def _named(train: Column, validation: Column, what: str) -> Column:
+    """The split's name where the conditions say so; an error for fewer than three rows, as each split needs one."""
+    few = F.raise_error(F.lit(f"three {what} are needed at least")).cast("string")
+    return F.when(F.col("_all") < 3, few).when(train, "train").when(validation, "validation").otherwise("test")
 
-    Ranks come from counts of 4096 hash ranges, so no task sees all keys.
-    """
-    keys = rows.select(key).where(F.col(key).isNotNull()).distinct().withColumn("_h", hash_unit(F.lit(seed), key)).withColumn("_b", F.floor(F.col("_h") * 4096))
-    sizes = keys.groupBy("_b").agg(F.count("*").alias("_n"))
-    # 4096 rows at most
-    before = sizes.withColumn("_before", F.sum("_n").over(Window.partitionBy(F.lit(1)).orderBy("_b")) - F.col("_n")).withColumn("_all", F.sum("_n").over(Window.partitionBy(F.lit(1))))
-    rank = F.row_number().over(Window.partitionBy("_b").orderBy("_h", key)) + F.col("_before")
-    ranked = keys.join(F.broadcast(before), "_b").withColumn("_rank", rank)
-    train = F.greatest(F.lit(1), F.bround(F.col("_all") * ratios[0]))
-    val = F.greatest(F.lit(1), F.bround(F.col("_all") * ratios[1]))
-    full = train + val >= F.col("_all")
-    train, val = F.when(full, F.col("_all") - 2).otherwise(train), F.when(full, 1).otherwise(val)
-    return ranked.select(key, F.when(F.col("_rank") <= train, "train").when(F.col("_rank") <= train + val, "validation").otherwise("test").alias("split"))
-
-
-def grouped_splits(sizes: dict[str, int], ratios: tuple[float, float, float], seed: int) -> dict[str, str]:
-    """Whole groups, largest first after a seeded shuffle: one to each split, then each to the split that is least full."""
-    if len(sizes) < 3:
-        raise ValueError("three groups are needed at least")
-    groups = list(sizes.items())
-    random.Random(seed).shuffle(groups)
-    groups.sort(key=lambda g: -g[1])
-    names = ("train", "validation", "test")
-    target = {n: max(sum(sizes.values()) * r, 1e-9) for n, r in zip(names, ratios, strict=True)}
-    have, out = dict.fromkeys(names, 0), {}
-    for i, (g, n) in enumerate(groups):
-        to = names[i] if i < 3 else min(names, key=lambda s: have[s] / target[s])
-        out[g] = to
-        have[to] += n
-    return out
+
+def hashed_splits(rows: DataFrame, key: str, ratios: Ratios, seed: int = 0) -> DataFrame:
+    """(key, split) of subjects or videos: the first ranks in hash order train, the next validate, so each split has its exact count, one at least."""
+    _checked(ratios)
+    keys = rows.select(key).where(F.col(key).isNotNull()).distinct()
+    n = F.col("_all")
+    train, val = (F.greatest(F.lit(1), F.bround(n * r)) for r in ratios[:2])
+    full = train + val >= n
+    train, val = F.when(full, n - 2).otherwise(train), F.when(full, 1).otherwise(val)
+    rank = F.col("_rank")
+    return ranked(keys, hash_unit(F.lit(seed), key), key).select(key, _named(rank <= train, rank <= train + val, f"values of {key}").alias("split"))
+
+
+def registered_splits(rows: DataFrame, key: str, registry: DataFrame) -> DataFrame:
+    """(key, split) by a registry (key, split), so that experiments stay comparable; a key that it lacks is an error."""
+    both = rows.select(key).where(F.col(key).isNotNull()).distinct().join(registry.select(key, "split"), key, "left")
+    missing = F.raise_error(F.concat(F.lit(f"the registry lacks {key} "), F.col(key).cast("string"))).cast("string")
+    return both.select(key, F.when(F.col("split").isNull(), missing).otherwise(F.col("split")).alias("split"))
 
 
-def video_splits(videos: list[str], ratios: tuple[float, float, float], seed: int) -> dict[str, str]:
-    """The split of each video by a seeded shuffle; each split gets one at least."""
-    if len(videos) < 3:
-        raise ValueError("three videos are needed at least")
-    own = list(videos)
-    random.Random(seed).shuffle(own)
-    n = [max(1, round(len(own) * r)) for r in ratios]
-    while sum(n) > len(own) and max(n) > 1:
-        n[n.index(max(n))] -= 1
-    n[0] += max(0, len(own) - sum(n))
-    return {v: "train" if i < n[0] else "validation" if i < n[0] + n[1] else "test" for i, v in enumerate(own)}
+def grouped_splits(rows: DataFrame, group: str, ratios: Ratios, seed: int = 0) -> DataFrame:
+    """(group, split): whole groups of rows. Groups lie side by side in hash order, each as long as it has rows, and the split is the one in whose share of that line a group's middle lies; the first trains, the last two validate and test in any case."""
+    _checked(ratios)
+    sizes = rows.where(F.col(group).isNotNull()).groupBy(group).agg(F.count("*").alias("_rows"))
+    middle = (F.col("_sum") - F.col("_rows") / 2) / F.col("_total")
+    first, left = F.col("_rank") == 1, F.col("_all") - F.col("_rank")
+    train = first | ((left > 1) & (middle < ratios[0]))
+    return ranked(sizes, hash_unit(F.lit(seed), group), group, weight="_rows").select(group, _named(train, (left == 1) | ((left > 1) & (middle < ratios[0] + ratios[1])), f"values of {group}").alias("split"))
 
 
 def manifest_records(rows: DataFrame, splits: DataFrame, dirty: DataFrame, sources: list[str] = (), scenes: list[str] = (), polarities: list[str] = (), train_sources: list[str] = (), test_sources: list[str] = ()) -> DataFrame:
     """The records of an experiment: passed, of known subject, not dirty, of the wanted kinds, with their subject's split.
 
-    splits: (subject_id, split), one row for each subject.
+    splits: (subject_id, split), one row for each subject; a subject without one is an error.
     """
     good = rows.where(F.col("quality_passed") & F.coalesce(F.col("subject_id") != "", F.lit(False)))
     for column, wanted in (("source", sources), ("scene", scenes), ("polarity", polarities)):
         if wanted:
             good = good.where(F.col(column).isin(list(wanted)))
-    out = without_dirty(good, dirty).join(splits, "subject_id")
+    missing = F.raise_error(F.concat(F.lit("no split for subject "), F.col("subject_id"))).cast("string")
+    out = without_dirty(good, dirty).join(splits, "subject_id", "left").withColumn("split", F.when(F.col("split").isNull(), missing).otherwise(F.col("split")))
     if train_sources:
         out = out.where((F.col("split") == "test") | F.col("source").isin(list(train_sources)))
     if test_sources:

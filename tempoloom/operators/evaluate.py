@@ -176,11 +176,12 @@ def group_key(value: Column) -> Column:
 
 def grouped_metrics(per_video: DataFrame, fields: list[str], metrics: list[str]) -> DataFrame:
     """(field, value, video_count, *metrics): means over the videos of each value of each field, of those that have the metric. One pass over grouping sets."""
+    per_video = per_video.withColumns({f: group_key(F.col(f)) for f in fields})
     grouped = per_video.groupingSets([[F.col(f)] for f in fields], *(F.col(f) for f in fields)).agg(F.count("*").alias("video_count"), *(F.avg(m).alias(m) for m in metrics), F.grouping_id().alias("_g"))
     n = len(fields)
     bit = lambda i: F.shiftright(F.col("_g"), n - 1 - i).bitwiseAND(1) == 0
     field = F.coalesce(*(F.when(bit(i), F.lit(f)) for i, f in enumerate(fields)))
-    value = F.coalesce(*(F.when(bit(i), F.col(f).cast("string")) for i, f in enumerate(fields)))
+    value = F.coalesce(*(F.when(bit(i), F.col(f)) for i, f in enumerate(fields)))
     return grouped.select(field.alias("field"), value.alias("value"), "video_count", *metrics)
 
 

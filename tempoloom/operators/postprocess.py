@@ -69,12 +69,12 @@ class Postprocess:
     min_seconds: float | None = None
 
 
-def stage_report(before: DataFrame, after: DataFrame, stage: str, label: str = "pred") -> DataFrame:
-    """(video_id, stage, changed_frames, actions_before, actions_after)."""
-    old = before.select("video_id", "frame", F.col(label).alias("_old"))
-    changed = after.join(old, ["video_id", "frame"]).groupBy("video_id").agg(F.count_if(~F.col(label).eqNullSafe(F.col("_old"))).alias("changed_frames"))
-    count = lambda df, name: segments(df, label).groupBy("video_id").agg(F.count_if(F.col("label") != BACKGROUND).alias(name))
-    return changed.join(count(before, "actions_before"), "video_id").join(count(after, "actions_after"), "video_id").select("video_id", F.lit(stage).alias("stage"), "changed_frames", "actions_before", "actions_after")
+def stage_report(both: DataFrame, stage: str, label: str = "pred", old: str = "_old") -> DataFrame:
+    """(video_id, stage, changed_frames, actions_before, actions_after) of frames that have the labels before and after a stage, in one pass."""
+    order = Window.partitionBy("video_id").orderBy("frame")
+    begins = lambda c: (F.col(c) != BACKGROUND) & ~F.coalesce(F.lag(c).over(order) == F.col(c), F.lit(False))
+    rows = both.select("video_id", (~F.col(label).eqNullSafe(F.col(old))).alias("_changed"), begins(old).alias("_before"), begins(label).alias("_after"))
+    return rows.groupBy("video_id").agg(F.count_if("_changed").alias("changed_frames"), F.count_if("_before").alias("actions_before"), F.count_if("_after").alias("actions_after")).select("video_id", F.lit(stage).alias("stage"), "changed_frames", "actions_before", "actions_after")
 
 
 def postprocess(frames: DataFrame, config: Postprocess, fps: float, probability: Column | None = None, label: str = "pred", logits: str = "logits") -> tuple[DataFrame, list[DataFrame]]:
@@ -85,14 +85,16 @@ def postprocess(frames: DataFrame, config: Postprocess, fps: float, probability:
     reports = []
 
     def ran(stage: str, after: DataFrame) -> DataFrame:
-        reports.append(stage_report(frames, after, stage, label))
-        return after
+        # the stages keep other columns, so a frame brings its label from before along
+        reports.append(stage_report(after, stage, label))
+        return after.drop("_old")
 
+    was = lambda: frames.withColumn("_old", F.col(label) if label in frames.columns else F.lit(None).cast("int"))
     if config.allowed:
-        frames = ran("classes", with_allowed_classes(frames, config.allowed, logits))
+        frames = ran("classes", with_allowed_classes(was(), config.allowed, logits))
     if config.min_confidence is not None and config.min_confidence > 0:
         own = probability if probability is not None else F.get(softmax(F.col(logits)), F.col(label))
-        frames = ran("confidence", filter_confidence(frames, config.min_confidence, own, label))
+        frames = ran("confidence", filter_confidence(was(), config.min_confidence, own, label))
     if config.min_seconds is not None:
-        frames = ran("duration", filter_duration(frames, minimal_frames(config.min_seconds, fps), label))
+        frames = ran("duration", filter_duration(was(), minimal_frames(config.min_seconds, fps), label))
     return frames, reports

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import hamming, hash_unit
 from ..schema import BACKGROUND, IGNORE
+from .ranks import ranked
 from .timeline import action_spans, segments
 
 
@@ -63,14 +64,14 @@ def hard_negatives(candidates: DataFrame, action_windows: int | DataFrame, ratio
 
     action_windows: their number, or a DataFrame of one row with it in column n.
     """
-    rank = hash_unit(F.lit(seed), "video_id", "win_start")
-    of_video = Window.partitionBy("video_id").orderBy("_h", "win_start")
-    capped = candidates.withColumn("_h", rank).withColumn("_r", F.row_number().over(of_video)).where(F.col("_r") <= per_video).drop("_r")
+    number = hash_unit(F.lit(seed), "video_id", "win_start")
+    of_video = Window.partitionBy("video_id").orderBy("_u", "win_start")
+    capped = candidates.withColumn("_u", number).withColumn("_r", F.row_number().over(of_video)).where(F.col("_r") <= per_video).drop("_r")
     n = capped.sparkSession.range(1).select(F.lit(action_windows).cast("long").alias("n")) if isinstance(action_windows, int) else action_windows
-    number = n.select(F.col("n").cast("long")).first()[0]
-    target = max(1, -(-int(round(number * ratio * 10**9)) // 10**9)) if number > 0 else 1
-    # the least hashes of all, by a distributed top-k
-    return capped.orderBy("_h", "video_id", "win_start").limit(target if ratio > 0 else 0).drop("_h")
+    # rounded first, so that a product a little above a whole number doesn't count as more
+    target = n.select(F.greatest(F.ceil(F.round(F.col("n") * F.lit(float(ratio)), 9)), F.lit(1)).alias("_target"))
+    drawn = ranked(capped, F.col("_u"), "video_id", "win_start").join(F.broadcast(target))  # one row
+    return drawn.where((F.col("_rank") <= F.col("_target")) & F.lit(ratio > 0)).select(*candidates.columns)
 
 
 def padded(windows: DataFrame, frames: DataFrame, size: int, values: list[str], label: str = "label", valid: str = "valid") -> DataFrame:
@@ -102,8 +103,9 @@ def fused_labels(scores: DataFrame) -> DataFrame:
 def window_scores(windows: DataFrame, frames: DataFrame, logits: str = "logits") -> DataFrame:
     """Window scores of a scorer that gives each frame's own logits: the input of fused() when scores are at hand by frame."""
     pos = windows.select("video_id", "win_start", "win_end", F.explode(F.sequence(F.lit(0), F.col("win_end") - F.col("win_start") - 1)).alias("pos")).withColumn("frame", F.col("win_start") + F.col("pos"))
-    return pos.join(frames.select("video_id", "frame", F.posexplode(logits).alias("class_id", "logit")), ["video_id", "frame"])
-
+    # the arrays meet their windows whole, so the exchange carries a row for each frame, not for each class
+    both = pos.join(frames.select("video_id", "frame", logits), ["video_id", "frame"])
+    return both.select("video_id", "frame", "win_start", "win_end", "pos", F.posexplode(logits).alias("class_id", "logit"))
 
 
 def window_accuracy(rows: DataFrame) -> DataFrame:

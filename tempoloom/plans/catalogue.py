@@ -138,9 +138,10 @@ def _intervals(spark, sf):
     return timeline.frames_to_intervals(event_frames(spark, sf), FPS, "label")
 
 
-@_query(f"WITH {E}, {runs('e', 'pred', 's')} SELECT video_id, round(seg_start / 15.0::DOUBLE, 6) AS start_sec, round(seg_end / 15.0::DOUBLE, 6) AS end_sec, label, 1.0::DOUBLE AS confidence FROM s WHERE label <> 14")
+@_query(f"WITH {E}, {runs('e', 'pred', 's')}, c AS (SELECT s.video_id, s.seg_id, avg(1 / (1 + exp(-value / 100))) AS c FROM s JOIN e ON e.video_id = s.video_id AND e.frame >= seg_start AND e.frame < seg_end GROUP BY 1, 2) SELECT video_id, round(seg_start / 15.0::DOUBLE, 6) AS start_sec, round(seg_end / 15.0::DOUBLE, 6) AS end_sec, label, round(c, 6) AS confidence FROM s JOIN c USING (video_id, seg_id) WHERE label <> 14")
 def frames_to_intervals(spark, sf):
-    return _rounded(timeline.frames_to_intervals(event_frames(spark, sf), FPS), "start_sec", "end_sec", "confidence")
+    probability = 1 / (1 + F.exp(-F.col("value") / 100))
+    return _rounded(timeline.frames_to_intervals(event_frames(spark, sf), FPS, probability=probability), "start_sec", "end_sec", "confidence")
 
 
 @_query(f"{_NOVA} SELECT video_id, label, round(start_sec, 6) AS start_sec, round(end_sec, 6) AS end_sec FROM i")
@@ -279,7 +280,11 @@ def strict_hand(spark, sf):
     return _rounded(landmarks.strict_hand(_hands(spark, sf), 1, 0.0), "score")
 
 
-@_query()
+@_query(f"""{_HANDS}, r AS (SELECT *, row_number() OVER (PARTITION BY video_id, frame, side ORDER BY score DESC, hand_no) AS k FROM g), b AS (SELECT * FROM r WHERE k = 1),
+o AS (SELECT *, count(*) OVER (PARTITION BY video_id, frame) AS sides, row_number() OVER (PARTITION BY video_id, frame ORDER BY score DESC, hand_no) AS z FROM b),
+n AS (SELECT video_id, frame, max(sides) AS sides, max(side) FILTER (z = 1) AS top, row_number() OVER (PARTITION BY video_id ORDER BY frame) AS i FROM o GROUP BY 1, 2),
+q AS (SELECT video_id, i, frame, top AS side FROM n WHERE i = 1 UNION ALL SELECT n.video_id, n.i, n.frame, CASE WHEN n.sides = 1 THEN n.top ELSE q.side END FROM q JOIN n ON n.video_id = q.video_id AND n.i = q.i + 1)
+SELECT o.video_id, o.frame, o.hand_no, o.side, round(o.score, 6) AS score FROM o JOIN q ON q.video_id = o.video_id AND q.frame = o.frame AND q.side = o.side""".replace("WITH", "WITH RECURSIVE", 1))
 def auto_hand(spark, sf):
     return _rounded(landmarks.auto_hand(_hands(spark, sf), 0.0), "score")
 
@@ -290,7 +295,14 @@ def hand_sides(spark, sf):
     return _rounded(landmarks.hand_sides(f), "left_hand_ratio")
 
 
-@_query()
+def _gain_sql(cutoff: str) -> str:
+    return f"(2 * pi() / 15 * ({cutoff})) / (2 * pi() / 15 * ({cutoff}) + 1)"
+
+
+@_query(f"""WITH RECURSIVE {E}, r AS (SELECT video_id, frame, CASE WHEN valid = 1 THEN CAST(value AS DOUBLE) END AS v, 0.0::DOUBLE AS d FROM e WHERE frame = 0 UNION ALL
+SELECT video_id, frame, CASE WHEN valid = 0 THEN v WHEN v IS NULL THEN x ELSE v + {_gain_sql('1.0 + 0.007 * abs(m)')} * (x - v) END, CASE WHEN valid = 0 OR v IS NULL THEN d ELSE m END
+FROM (SELECT e.video_id, e.frame, e.valid, CAST(e.value AS DOUBLE) AS x, v, d, d + {_gain_sql('1.0')} * ((e.value - v) * 15 - d) AS m FROM r JOIN e ON e.video_id = r.video_id AND e.frame = r.frame + 1))
+SELECT video_id, frame, round(CAST(CAST(coalesce(v, 0) AS FLOAT) AS DOUBLE), 6) AS value FROM r""")
 def one_euro(spark, sf):
     return _rounded(smoothing.one_euro(event_frames(spark, sf), FPS, value="value"), "value")
 
@@ -331,10 +343,18 @@ def jump_rate(spark, sf):
     return _rounded(audit.jump_rate(vector_frames(spark, sf)), "trajectory_jump_rate")
 
 
-@_query(f"WITH {D} SELECT video_id, polarity IS DISTINCT FROM 'unknown' AS scene_valid, detection_rate >= 0.5 AND polarity IS DISTINCT FROM 'unknown' AS quality_passed, CASE WHEN detection_rate >= 0.5 AND polarity IS DISTINCT FROM 'unknown' THEN 'passed' ELSE 'rejected' END AS status FROM d")
+_GATE = {"detection_rate": "CASE WHEN n % 7 <> 0 THEN detection_rate END", "min_class_detection_rate": "CASE WHEN n % 3 <> 0 THEN (n % 53) / 53.0::DOUBLE END", "core_detection_rate": "CASE WHEN n % 5 <> 0 THEN (n % 47) / 47.0::DOUBLE END", "min_class_core_detection_rate": "CASE WHEN n % 4 <> 0 THEN (n % 59) / 59.0::DOUBLE END"}
+
+
+@_query(f"""WITH {D}, n AS (SELECT *, CAST(string_split(video_id, '__')[2] AS BIGINT) AS n FROM d), g AS (SELECT video_id, CASE WHEN n % 11 = 0 THEN 'unknown' ELSE polarity END AS polarity, {', '.join(f'{sql} AS r_{c}' for c, sql in _GATE.items())} FROM n),
+f AS (SELECT *, coalesce(r_core_detection_rate, r_detection_rate, 0) AS a, coalesce(r_min_class_core_detection_rate, r_min_class_detection_rate, r_detection_rate, 0) AS b, polarity IS DISTINCT FROM 'unknown' AS scene_valid FROM g)
+SELECT video_id, scene_valid, scene_valid AND a >= 0.5 AND b >= 0.4 AS quality_passed, CASE WHEN scene_valid AND a >= 0.5 AND b >= 0.4 THEN 'passed' ELSE 'rejected' END AS status FROM f""")
 def quality_gate(spark, sf):
-    d = document_catalog(spark, sf).withColumns({c: F.lit(None).cast("double") for c in ("min_class_detection_rate", "core_detection_rate", "min_class_core_detection_rate")})
-    return audit.quality_gate(d, 0.5, 0.5).select("video_id", "scene_valid", "quality_passed", "status")
+    d = document_catalog(spark, sf).withColumn("n", F.split("video_id", "__")[1].cast("long"))
+    n = F.col("n")
+    rates = {"detection_rate": F.when(n % 7 != 0, F.col("detection_rate")), "min_class_detection_rate": F.when(n % 3 != 0, (n % 53) / 53.0), "core_detection_rate": F.when(n % 5 != 0, (n % 47) / 47.0), "min_class_core_detection_rate": F.when(n % 4 != 0, (n % 59) / 59.0)}
+    d = d.withColumns(rates).withColumn("polarity", F.when(n % 11 == 0, "unknown").otherwise(F.col("polarity")))
+    return audit.quality_gate(d, 0.5, 0.4).select("video_id", "scene_valid", "quality_passed", "status")
 
 
 @_query(f"WITH {E}, m AS (SELECT video_id, avg(valid) AS r FROM e GROUP BY 1) SELECT video_id, round(CASE WHEN video_id % 4 = 0 THEN 0.25 ELSE r END, 6) AS detection_rate, CASE WHEN video_id % 4 = 0 THEN 0.25 ELSE r END < 0.9 AS low_quality FROM m")
@@ -344,14 +364,30 @@ def quality_verdict(spark, sf):
     return _rounded(audit.quality_verdict(rows, f, 0.9), "detection_rate")
 
 
-@_query(f"WITH {E} SELECT video_id, count(*) AS num_frames, round(avg(valid), 6) AS valid_ratio FROM e GROUP BY 1")
+@_query(f"WITH {E}, n AS (SELECT video_id, label, count(*) AS n, sum(valid) AS ok FROM e GROUP BY 1, 2) SELECT video_id, CAST(sum(n) AS BIGINT) AS num_frames, round(sum(ok) / sum(n), 6) AS valid_ratio, string_agg(concat(label, ':', n), ',' ORDER BY label) AS labels FROM n GROUP BY 1")
 def sequence_summary(spark, sf):
-    return _rounded(audit.sequence_summary(event_frames(spark, sf)).select("video_id", "num_frames", "valid_ratio"), "valid_ratio")
+    out = audit.sequence_summary(event_frames(spark, sf))
+    pairs = F.array_sort(F.map_entries("label_counts"))
+    labels = F.array_join(F.transform(pairs, lambda x: F.concat_ws(":", x["key"], x["value"])), ",")
+    return _rounded(out.select("video_id", "num_frames", "valid_ratio", labels.alias("labels")), "valid_ratio")
 
 
-@_query()
+_V_CLASS = _CLASS_RATES.replace(E, V).replace("FROM e ", "FROM v ").replace("FROM e)", "FROM v)").replace("e.", "v.").replace("(SELECT v.video_id, v.frame", "(SELECT v.video_id, v.frame")
+
+
+@_query(f"""{_V_CLASS}, a AS (SELECT video_id, coalesce(avg(valid) FILTER (label <> 14), avg(valid)) AS dr, coalesce(avg(valid) FILTER (core), avg(valid)) AS cr FROM z GROUP BY 1),
+wd AS (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY detection_rate, class_id) AS k FROM q), wc AS (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY core_detection_rate, class_id) AS k FROM q WHERE core_detection_rate IS NOT NULL),
+{runs('v', 'valid', 'mr')}, lm AS (SELECT video_id, CAST(max(CASE WHEN label = 0 THEN seg_end - seg_start ELSE 0 END) AS INT) AS longest_missing_frames FROM mr GROUP BY 1),
+pm AS (SELECT video_id, median(CASE WHEN palm > 1e-3 THEN palm END) AS m FROM v GROUP BY 1), po AS (SELECT video_id, CASE WHEN max(m) IS NULL THEN 1.0 ELSE avg(CAST(abs(palm - m) > greatest(3 * m, 1e-3) AS INT)) END AS po FROM v JOIN pm USING (video_id) GROUP BY 1),
+jl AS (SELECT *, lag(coords) OVER w AS p, lag(valid) OVER w AS pv FROM v WINDOW w AS (PARTITION BY video_id ORDER BY frame)), js AS (SELECT video_id, palm, CASE WHEN valid = 1 AND pv = 1 THEN list_distance(coords, p) END AS d FROM jl),
+jm AS (SELECT video_id, greatest(coalesce(median(CASE WHEN palm > 1e-3 THEN palm END), 1.0), 1e-3) AS s, median(d) AS m, count(d) AS n FROM js GROUP BY 1), jt AS (SELECT js.video_id, js.d / jm.s AS d, jm.m / jm.s AS m, n FROM js JOIN jm USING (video_id)), jk AS (SELECT video_id, median(abs(d - m)) AS mad FROM jt GROUP BY 1),
+jr AS (SELECT jt.video_id, CASE WHEN max(n) >= 10 THEN avg(CAST(d > m + 6 * greatest(mad, 0.1 * m, 1e-6) AS INT)) ELSE 0.0 END AS jr, max(n) >= 10 AS ok FROM jt JOIN jk USING (video_id) GROUP BY 1)
+SELECT a.video_id, round(dr, 6) AS detection_rate, round(cr, 6) AS core_detection_rate, wd.class_id AS min_class_id, round(coalesce(wd.detection_rate, dr), 6) AS min_class_detection_rate, wc.class_id AS min_class_core_id, round(coalesce(wc.core_detection_rate, cr), 6) AS min_class_core_detection_rate,
+longest_missing_frames, round(longest_missing_frames / 15.0, 6) AS longest_missing_seconds, round(po, 6) AS palm_outlier_rate, round(jr, 6) AS trajectory_jump_rate, ok AS trajectory_jump_reliable
+FROM a LEFT JOIN wd ON wd.video_id = a.video_id AND wd.k = 1 LEFT JOIN wc ON wc.video_id = a.video_id AND wc.k = 1 JOIN lm ON lm.video_id = a.video_id JOIN po ON po.video_id = a.video_id JOIN jr ON jr.video_id = a.video_id""")
 def sequence_audit(spark, sf):
-    return audit.sequence_audit(vector_frames(spark, sf), FPS)
+    out = audit.sequence_audit(vector_frames(spark, sf), FPS)
+    return _rounded(out, *(c for c, t in out.dtypes if t == "double"))
 
 
 # ---- windows and fusion ----------------------------------------------------------
@@ -533,7 +569,22 @@ def segment_matches_greedy(spark, sf):
     return evaluate.match_counts(event_frames(spark, sf), [0.5]).drop("threshold")
 
 
-@_query()
+_GREEDY = f"""{_PT}, pl AS (SELECT video_id, label AS class_id, list([seg_start, seg_end] ORDER BY seg_start) AS p FROM p WHERE label <> 14 GROUP BY 1, 2), tl AS (SELECT video_id, label AS class_id, list([seg_start, seg_end] ORDER BY seg_start) AS t FROM t WHERE label <> 14 GROUP BY 1, 2),
+gk AS (SELECT video_id, class_id, threshold, coalesce(p, []) AS p, coalesce(t, []) AS t FROM pl FULL JOIN tl USING (video_id, class_id) CROSS JOIN (VALUES (0.1::DOUBLE), (0.25::DOUBLE), (0.5::DOUBLE)) x(threshold)),
+g AS (SELECT video_id, class_id, threshold, 0 AS i, CAST([] AS BIGINT[]) AS used FROM gk UNION ALL
+SELECT video_id, class_id, threshold, i + 1, CASE WHEN best > 0 AND best >= threshold THEN list_append(used, CAST(list_position(ious, best) AS BIGINT)) ELSE used END FROM (SELECT *, list_max(ious) AS best FROM (SELECT g.video_id, g.class_id, g.threshold, i, used,
+list_transform(t, lambda s, j: CASE WHEN list_contains(used, CAST(j AS BIGINT)) THEN -1.0::DOUBLE ELSE CAST(greatest(0, least(p[i + 1][2], s[2]) - greatest(p[i + 1][1], s[1])) / ((p[i + 1][2] - p[i + 1][1]) + (s[2] - s[1]) - greatest(0, least(p[i + 1][2], s[2]) - greatest(p[i + 1][1], s[1]))) AS DOUBLE) END) AS ious
+FROM g JOIN gk ON gk.video_id = g.video_id AND gk.class_id = g.class_id AND gk.threshold = g.threshold WHERE i < len(p)))),
+gc AS (SELECT video_id, class_id, threshold, max(len(used)) AS tp, max(len(p)) - max(len(used)) AS fp, max(len(t)) - max(len(used)) AS fn FROM g JOIN gk USING (video_id, class_id, threshold) GROUP BY 1, 2, 3)""".replace("WITH", "WITH RECURSIVE", 1)
+_VIDEO_F1 = f"vf AS (SELECT video_id, threshold, {_F1} AS f1 FROM (SELECT video_id, threshold, CAST(sum(tp) AS BIGINT) AS tp, CAST(sum(fp) AS BIGINT) AS fp, CAST(sum(fn) AS BIGINT) AS fn FROM gc GROUP BY 1, 2))"
+
+
+@_query(f"{_GREEDY} SELECT video_id, threshold, class_id, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, CAST(fn AS BIGINT) AS fn FROM gc")
+def segment_matches_all(spark, sf):
+    return evaluate.match_counts(event_frames(spark, sf), [0.1, 0.25, 0.5])
+
+
+@_query(f"{_GREEDY}, {_VIDEO_F1} SELECT video_id, threshold, round(f1, 6) AS f1 FROM vf WHERE threshold < 0.5")
 def segment_f1_10_25(spark, sf):
     return _rounded(evaluate.f1_by_video(evaluate.match_counts(event_frames(spark, sf), [0.1, 0.25])), "f1")
 
@@ -549,9 +600,21 @@ def segment_report(spark, sf):
     return _rounded(evaluate.segment_report(evaluate.match_counts_unique(event_frames(spark, sf), 0.5)), "segment_precision", "segment_recall", "segment_f1")
 
 
-@_query()
+_VIDEO = f"""{_GREEDY}, {_VIDEO_F1}, ra AS (SELECT video_id, string_agg(chr(97 + label), '' ORDER BY seg_start) AS x FROM p GROUP BY 1), rb AS (SELECT video_id, string_agg(chr(97 + label), '' ORDER BY seg_start) AS y FROM t GROUP BY 1),
+vm AS (SELECT fa.video_id, frame_accuracy, edit, coalesce(f1_10, 1) AS f1_10, coalesce(f1_25, 1) AS f1_25, coalesce(f1_50, 1) AS f1_50 FROM (SELECT video_id, avg(CAST(pred = label AS INT)) AS frame_accuracy FROM e GROUP BY 1) fa
+JOIN (SELECT video_id, (1 - levenshtein(x, y) / greatest(length(x), length(y))) * 100 AS edit FROM ra JOIN rb USING (video_id)) ed USING (video_id)
+LEFT JOIN (SELECT video_id, max(f1) FILTER (threshold = 0.1) AS f1_10, max(f1) FILTER (threshold = 0.25) AS f1_25, max(f1) FILTER (threshold = 0.5) AS f1_50 FROM vf GROUP BY 1) sf USING (video_id))"""
+_METRICS = ("frame_accuracy", "edit", "f1_10", "f1_25", "f1_50")
+
+
+@_query(f"{_VIDEO} SELECT video_id, {', '.join(f'round({m}, 6) AS {m}' for m in _METRICS)} FROM vm")
 def video_metrics(spark, sf):
-    return evaluate.video_metrics(event_frames(spark, sf))
+    return _rounded(evaluate.video_metrics(event_frames(spark, sf)), *_METRICS)
+
+
+@_query(f"{_VIDEO} SELECT {', '.join(f'round(avg({m}), 6) AS {m}' for m in _METRICS)} FROM vm")
+def mean_metrics(spark, sf):
+    return _rounded(evaluate.mean_metrics(evaluate.video_metrics(event_frames(spark, sf))), *_METRICS)
 
 
 _CONFUSION = f"WITH {E}, m AS (SELECT CAST(a AS INT) AS true_id, CAST(b AS INT) AS pred_id, count(e.frame) AS n FROM range(15) x(a) CROSS JOIN range(15) y(b) LEFT JOIN e ON e.label = a AND e.pred = b GROUP BY 1, 2)"
@@ -585,24 +648,31 @@ def class_coverage(spark, sf):
     return evaluate.coverage(event_frames(spark, sf))
 
 
-@_query()
+_REPORT = f"""{_GREEDY}, {_FRAME_REPORT.replace(f'WITH {E}, ', '', 1)}, cs AS (SELECT class_id, threshold, CAST(sum(tp) AS BIGINT) AS tp, CAST(sum(fp) AS BIGINT) AS fp, CAST(sum(fn) AS BIGINT) AS fn FROM gc GROUP BY 1, 2),
+cr AS (SELECT class_id, threshold, {_F1} AS f1, CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp / (tp + fp) END AS precision, CASE WHEN tp + fn = 0 THEN 0.0 ELSE tp / (tp + fn) END AS recall, tp + fp AS predicted FROM cs),
+cw AS (SELECT class_id, {', '.join(f"max({m if m == 'predicted' else f'round({m}, 6)'}) FILTER (threshold = {x}) AS segment_{m}_{round(x * 100)}" for x in (0.1, 0.25, 0.5) for m in ('f1', 'precision', 'recall', 'predicted'))} FROM cr GROUP BY 1),
+cv AS (SELECT CAST(x AS INT) AS class_id, coalesce(m, 0) AS gt_segments, coalesce(v, 0) AS videos FROM range(15) y(x) LEFT JOIN (SELECT label, count(DISTINCT video_id) AS v FROM e GROUP BY 1) f ON f.label = x LEFT JOIN (SELECT label, count(*) AS m FROM t GROUP BY 1) h ON h.label = x)
+SELECT * FROM fr JOIN cv USING (class_id) LEFT JOIN cw USING (class_id)"""
+
+
+@_query(_REPORT)
 def per_class_report(spark, sf):
     f = event_frames(spark, sf)
-    return evaluate.per_class_report(f, evaluate.match_counts(f, [0.1, 0.25, 0.5]), [0.1, 0.25, 0.5])
+    out = evaluate.per_class_report(f, evaluate.match_counts(f, [0.1, 0.25, 0.5]), [0.1, 0.25, 0.5])
+    return _rounded(out, *(c for c, t in out.dtypes if t == "double"))
 
 
-_NEG = f"WITH {E}, g AS (SELECT * FROM e WHERE video_id % 5 = 0), {runs('g', 'pred', 's')}, a AS (SELECT video_id, count(*) FILTER (label <> 14) AS k, sum(CASE WHEN label <> 14 THEN seg_end - seg_start ELSE 0 END) AS b, max(seg_end) AS n FROM s GROUP BY 1)"
+_NEG = f"WITH {E}, {runs('e', 'pred', 's')}, a AS (SELECT video_id, count(*) FILTER (label <> 14) AS k, sum(CASE WHEN label <> 14 THEN seg_end - seg_start ELSE 0 END) AS b, max(seg_end) AS n FROM s GROUP BY 1)"
 
 
 @_query(f"{_NEG} SELECT video_id, round(b / n, 6) AS false_positive_frame_rate, k AS predicted_action_segments, round(k / (n / 900.0), 6) AS false_actions_per_minute FROM a")
 def negative_video_metrics(spark, sf):
-    f = event_frames(spark, sf).where(F.col("video_id") % 5 == 0)  # the negative videos of this view
-    return _rounded(evaluate.negative_metrics(f, FPS), "false_positive_frame_rate", "false_actions_per_minute")
+    return _rounded(evaluate.negative_metrics(event_frames(spark, sf), FPS), "false_positive_frame_rate", "false_actions_per_minute")
 
 
 @_query(f"{_NEG} SELECT video_id, label AS class_id, count(*) AS n FROM s WHERE label <> 14 GROUP BY 1, 2")
 def false_actions_by_class(spark, sf):
-    return evaluate.false_actions_by_class(event_frames(spark, sf).where(F.col("video_id") % 5 == 0))
+    return evaluate.false_actions_by_class(event_frames(spark, sf))
 
 
 _GROUPED = f"WITH {E}, a AS (SELECT video_id, avg(CAST(pred = label AS INT)) AS acc FROM e GROUP BY 1), b AS (SELECT video_id, 'src' || video_id % 3 AS source, 'sc' || video_id % 4 AS scene, CASE WHEN video_id % 5 = 0 THEN 'negative' ELSE 'positive' END AS polarity, acc, CASE WHEN video_id % 5 = 0 THEN acc END AS neg FROM a)"
@@ -628,9 +698,14 @@ def annotate_report(spark, sf):
 _FIELDS = ("status", "source", "subject_id", "scene", "polarity")
 
 
-@_query(f"WITH {D} " + " UNION ALL ".join(f"SELECT '{f}' AS field, coalesce({f}, 'unknown') AS value, count(*) AS n FROM d GROUP BY 2" for f in _FIELDS))
+_ERROR = "CASE CAST(string_split(video_id, '__')[2] AS BIGINT) % 4 WHEN 0 THEN 'missing_video;invalid_name' WHEN 1 THEN 'invalid_name' WHEN 2 THEN '' END"
+
+
+@_query(f"WITH {D} " + " UNION ALL ".join(f"SELECT '{f}' AS field, coalesce({f}, 'unknown') AS value, count(*) AS n FROM d GROUP BY 2" for f in _FIELDS) + f" UNION ALL SELECT 'error', c, count(*) FROM (SELECT unnest(string_split({_ERROR}, ';')) AS c FROM d) WHERE c <> '' GROUP BY 2")
 def inventory_summary(spark, sf):
-    return catalog.inventory_summary(document_catalog(spark, sf), _FIELDS)
+    n = F.split("video_id", "__")[1].cast("long") % 4
+    d = document_catalog(spark, sf).withColumn("error", F.when(n == 0, "missing_video;invalid_name").when(n == 1, "invalid_name").when(n == 2, ""))
+    return catalog.inventory_summary(d, _FIELDS)
 
 
 @_query(f"WITH {D} SELECT coalesce(status, 'unknown') AS status, count(*) AS n FROM d GROUP BY 1")
@@ -646,10 +721,16 @@ def normalize_scene(spark, sf):
 TAXONOMY = {"exact": {"EN": {"polarity": "positive", "category": "posture"}, "de": "negative", "fr": {"polarity": "negative", "category": "confounder", "hard_negative": True}}, "aliases": {"es": "fr"}}
 
 
-@_query(f"WITH {D} SELECT video_id, CASE scene WHEN 'en' THEN 'en' WHEN 'de' THEN 'de' ELSE 'fr' END AS scene, CASE scene WHEN 'en' THEN 'positive' ELSE 'negative' END AS polarity, CASE scene WHEN 'en' THEN 'posture' ELSE 'confounder' END AS scene_category, scene <> 'en' AS hard_negative_eligible FROM d WHERE scene IN ('en', 'de', 'fr', 'es')")
+_KNOWN = "scene IN ('en', 'de', 'fr', 'es') AND n % 10 <> 0"
+
+
+@_query(f"""WITH {D}, n AS (SELECT *, CAST(string_split(video_id, '__')[2] AS BIGINT) AS n FROM d)
+SELECT video_id, CASE WHEN {_KNOWN} THEN CASE scene WHEN 'en' THEN 'en' WHEN 'de' THEN 'de' ELSE 'fr' END END AS scene, CASE WHEN {_KNOWN} THEN CASE scene WHEN 'en' THEN 'positive' ELSE 'negative' END END AS polarity, CASE WHEN {_KNOWN} THEN CASE scene WHEN 'en' THEN 'posture' ELSE 'confounder' END ELSE 'unknown' END AS scene_category, coalesce({_KNOWN} AND scene <> 'en', false) AS hard_negative_eligible FROM n""")
 def scene_resolve(spark, sf):
-    rows = document_catalog(spark, sf).select("video_id", F.col("scene").alias("scene_raw"))
-    return catalog.resolved_scenes(rows, catalog.taxonomy_frame(spark, TAXONOMY)).drop("scene_raw").where(F.col("scene").isNotNull())
+    """Every tenth scene has a name that isn't listed."""
+    n = F.split("video_id", "__")[1].cast("long")
+    rows = document_catalog(spark, sf).select("video_id", F.when(n % 10 == 0, F.concat("scene", F.lit("-other"))).otherwise(F.col("scene")).alias("scene_raw"))
+    return catalog.resolved_scenes(rows, catalog.taxonomy_frame(spark, TAXONOMY)).drop("scene_raw")
 
 
 @_query("""WITH n AS (SELECT page_id, replace(replace(replace(url, '://', '_'), '/', '_'), '.', '_') AS name FROM pages), s AS (SELECT page_id, string_split(name, '_') AS p FROM n), g AS (SELECT *, len(p) >= 4 AND NOT list_contains(p[1:4], '') AS ok FROM s)
@@ -685,6 +766,23 @@ def subject_split(spark, sf):
     return catalog.hashed_splits(document_catalog(spark, sf), "subject_id", (0.7, 0.15, 0.15))
 
 
+@_query(f"WITH {D}, k AS (SELECT video_id, row_number() OVER (ORDER BY h, video_id) AS r, count(*) OVER () AS n FROM (SELECT DISTINCT video_id, {_unit_sql('5', 'video_id')} AS h FROM d)) SELECT video_id, CASE WHEN r <= greatest(1, round_even(n * 0.8, 0)) THEN 'train' WHEN r <= greatest(1, round_even(n * 0.8, 0)) + greatest(1, round_even(n * 0.1, 0)) THEN 'validation' ELSE 'test' END AS split FROM k")
+def video_split(spark, sf):
+    return catalog.hashed_splits(document_catalog(spark, sf), "video_id", (0.8, 0.1, 0.1), 5)
+
+
+@_query(f"""WITH {D}, z AS (SELECT subject_id, count(*) AS n, {_unit_sql('3', 'subject_id')} AS h FROM d GROUP BY 1), k AS (SELECT subject_id, row_number() OVER w AS r, count(*) OVER () AS c, (sum(n) OVER w - n / 2) / sum(n) OVER () AS m FROM z WINDOW w AS (ORDER BY h, subject_id))
+SELECT subject_id, CASE WHEN r = 1 THEN 'train' WHEN r = c THEN 'test' WHEN r = c - 1 THEN 'validation' WHEN m < 0.6::DOUBLE THEN 'train' WHEN m < 0.6::DOUBLE + 0.2::DOUBLE THEN 'validation' ELSE 'test' END AS split FROM k""")
+def grouped_split(spark, sf):
+    return catalog.grouped_splits(document_catalog(spark, sf), "subject_id", (0.6, 0.2, 0.2), 3)
+
+
+@_query(f"{_SPLIT} SELECT subject_id, split FROM s")
+def registered_split(spark, sf):
+    d = document_catalog(spark, sf)
+    return catalog.registered_splits(d, "subject_id", catalog.hashed_splits(d, "subject_id", (0.7, 0.15, 0.15)))
+
+
 @_query(f"{_SPLIT} SELECT video_id, split, source, subject_id, scene, polarity FROM d JOIN s USING (subject_id) WHERE quality_passed AND NOT dirty AND scene IN ('en', 'de') AND (split = 'test' OR source <> 'src0')")
 def manifest_records(spark, sf):
     d = document_catalog(spark, sf)
@@ -708,12 +806,17 @@ def tmse(spark, sf):
     return _rounded(catalog.smoothness(vector_frames(spark, sf), "logits", clamp=0.05), "tmse")
 
 
-@_query("SELECT doc_id, substr(sha256(concat(coalesce(source, ''), coalesce(lang, ''), coalesce(CAST(n_chars AS VARCHAR), ''))), 1, 16) AS fingerprint FROM documents")
+def _print_sql(*columns: str) -> str:
+    text = ", ".join(f"coalesce(concat(length(CAST({c} AS VARCHAR)), ':' || CAST({c} AS VARCHAR)), '-')" for c in columns).replace("concat(length", "(length").replace(")), ':' ||", ")) || ':' ||")
+    return f"substr(sha256(concat({text})), 1, 16)"
+
+
+@_query(f"SELECT doc_id, {_print_sql('source', 'lang', 'n_chars')} AS fingerprint FROM documents")
 def fingerprints(spark, sf):
     return table(spark, sf, "documents").select("doc_id", catalog.row_fingerprint(F.col("source"), F.col("lang"), F.col("n_chars")).alias("fingerprint"))
 
 
-@_query(f"WITH {D}, o AS (SELECT video_id, substr(sha256(concat(source, scene)), 1, 16) AS f FROM d WHERE quality_passed) SELECT d.video_id FROM d LEFT JOIN o USING (video_id) WHERE substr(sha256(concat(source, scene)), 1, 16) IS DISTINCT FROM o.f")
+@_query(f"WITH {D}, o AS (SELECT video_id, {_print_sql('source', 'scene')} AS f FROM d WHERE quality_passed) SELECT d.video_id FROM d LEFT JOIN o USING (video_id) WHERE {_print_sql('source', 'scene')} IS DISTINCT FROM o.f")
 def cache_misses(spark, sf):
     d = document_catalog(spark, sf).withColumn("fingerprint", catalog.row_fingerprint(F.col("source"), F.col("scene")))
     return catalog.stale(d, d.where("quality_passed").select("video_id", "fingerprint")).select("video_id")
@@ -772,11 +875,11 @@ def class_names(spark, sf):
     return event_frames(spark, sf).where("label < 3").select("video_id", "frame", S.class_name(F.col("label"), ["click", "purchase", "signup"]).alias("name"))
 
 
-@_query(f"WITH {E}, {runs('e', 'pred', 'p')}, {runs('e', 'label', 't')}, {runs('e', 'valid', 'k')} SELECT video_id, 'prediction' AS strip, seg_start, seg_end, label AS value FROM p UNION ALL SELECT video_id, 'truth', seg_start, seg_end, label FROM t UNION ALL SELECT video_id, 'tracking', seg_start, seg_end, label FROM k")
+@_query(f"WITH {E}, {runs('e', 'pred', 'p')}, {runs('e', 'label', 't')}, {runs('e', 'valid', 'k')}, {runs('e', 'CAST(pred <> label AS INT)', 'x')} SELECT video_id, 'prediction' AS strip, seg_start, seg_end, label AS value FROM p UNION ALL SELECT video_id, 'truth', seg_start, seg_end, label FROM t UNION ALL SELECT video_id, 'tracking', seg_start, seg_end, label FROM k UNION ALL SELECT video_id, 'errors', seg_start, seg_end, label FROM x")
 def timeline_strips(spark, sf):
     from ..sources import sinks
 
-    return sinks.timeline_strips(event_frames(spark, sf)).where("strip <> 'errors'")
+    return sinks.timeline_strips(event_frames(spark, sf))
 
 
 @_query(f"WITH {E} SELECT label, count(*) AS n FROM e GROUP BY 1")

@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from ..operators.smoothing import OneEuro
+from ..operators.smoothing import follow
 
 
 def one_euro_stream(frames: DataFrame, fps: float, min_cutoff: float = 1.0, beta: float = 0.007, d_cutoff: float = 1.0) -> DataFrame:
@@ -18,18 +18,15 @@ def one_euro_stream(frames: DataFrame, fps: float, min_cutoff: float = 1.0, beta
     kind = frames.schema["video_id"].dataType.simpleString()
 
     def step(key, batches, state):
-        f = OneEuro(min_cutoff, beta, d_cutoff)
-        if state.exists:
-            value, speed = state.get
-            f.value, f.speed = np.array([value], dtype=np.float32), np.array([speed], dtype=np.float32)
+        value, speed = (np.array([x]) for x in (state.get if state.exists else (np.nan, 0.0)))
         pdf = pd.concat(list(batches)).sort_values("frame")
         out = []
         for x, ok in zip(pdf["value"], pdf["valid"], strict=True):
             if ok > 0.5 and np.isfinite(x):
-                f(np.array([x]), 1.0 / fps)
-            out.append(0.0 if f.value is None else float(f.value[0]))
-        if f.value is not None:
-            state.update((float(f.value[0]), float(f.speed[0])))
+                value, speed = follow(value, speed, np.array([x]), 1.0 / fps, min_cutoff, beta, d_cutoff)
+            out.append(0.0 if np.isnan(value[0]) else float(value[0]))
+        if not np.isnan(value[0]):
+            state.update((float(value[0]), float(speed[0])))
         yield pd.DataFrame({"video_id": key[0], "frame": pdf["frame"].to_numpy(), "value": out})
 
     return frames.groupBy("video_id").applyInPandasWithState(step, f"video_id {kind}, frame int, value double", "value double, speed double", "append", GroupStateTimeout.NoTimeout)

@@ -65,17 +65,19 @@ def test_forward_fill_before_and_after_the_first_valid_frame(spark):
 
 
 def test_class_stats(timeline_of):
-    f = timeline_of({f"v{n}": [0] * n + [14] for n in (10, 20, 30, 40)})
-    r = stats.class_run_stats(timeline.segments(f), window=25, fps=15.0).first()
-    assert (r.segments, r.frames_total, r.mean_frames, r.p50_frames, r.p90_frames, r.p99_frames, r.max_frames) == (4, 100, 25.0, 20, 40, 40, 40)
-    assert (r.over_window, r.over_window_share, r.starts_p50) == (2, 0.5, 6) and r.p50_sec == pytest.approx(20 / 15)
+    """Against numpy's nearest rank over runs of random lengths."""
+    rng = np.random.default_rng(17)
+    lengths = rng.integers(1, 60, size=37)
+    f = timeline_of({f"v{i}": [3] * int(n) + [14] * 2 for i, n in enumerate(lengths)})
+    r = stats.class_run_stats(timeline.segments(f), window=31, fps=12.5).where("class_id = 3").first()
+    assert (r.segments, r.frames_total, r.max_frames) == (37, lengths.sum(), lengths.max()) and r.mean_frames == pytest.approx(lengths.mean())
+    assert [r.p50_frames, r.p90_frames, r.p99_frames] == [int(np.percentile(lengths, p, method="inverted_cdf")) for p in (50, 90, 99)]
+    assert r.over_window == (lengths > 31).sum() and r.over_window_share == pytest.approx((lengths > 31).mean()) and r.p50_sec == pytest.approx(r.p50_frames / 12.5)
 
 
 def test_gaps_stay_within_a_video(timeline_of):
-    f = timeline_of({"a": [0] + [14] * 6 + [1], "b": [0] + [14] * 6 + [1], "c": [2, 3]})
-    g = stats.action_gaps(timeline.segments(f))
-    assert rows(g, "gap") == [(0,), (6,), (6,)]
-    assert tuple(stats.gap_percentiles(g).first()) == (0, 0, 6)
+    g = stats.action_gaps(timeline.segments(timeline_of({"p": [14, 4, 14, 14, 4, 5, 14], "q": [6, 14], "r": [14, 14, 7, 14, 14, 14, 14, 8]})))
+    assert sorted(x for (x,) in rows(g, "gap")) == [0, 2, 4]
 
 
 def test_missing_classes(timeline_of):
@@ -126,6 +128,22 @@ def test_one_euro_equals_its_recurrence(spark):
     assert got == pytest.approx(want, abs=1e-5)
 
 
+def test_videos_are_filtered_in_step(spark, monkeypatch):
+    """Many videos of different lengths and channels at once, in small batches, equal each of them alone."""
+    monkeypatch.setattr(smoothing, "TOGETHER", 50)
+    rng = np.random.default_rng(4)
+    data = {f"v{i}": (rng.normal(size=(int(n), 3)).tolist(), (rng.random(int(n)) > 0.3).astype(int).tolist()) for i, n in enumerate(rng.integers(1, 90, 25))}
+    f = spark.createDataFrame([(v, i, None if i == 4 else x, ok) for v, (xs, oks) in data.items() for i, (x, ok) in enumerate(zip(xs, oks, strict=True))], "video_id string, frame int, coords array<double>, valid int")
+    got = {(r.video_id, r.frame): r.coords for r in smoothing.one_euro(f.repartition(3), 15.0).collect()}
+    assert len(got) == sum(len(x) for x, _ in data.values())
+    for v, (xs, oks) in data.items():
+        value, speed = np.full(3, np.nan), np.zeros(3)
+        for i, (x, ok) in enumerate(zip(xs, oks, strict=True)):
+            if ok and i != 4:
+                value, speed = smoothing.follow(value, speed, np.array(x), 1 / 15, 1.0, 0.007, 1.0)
+            assert got[v, i] == pytest.approx(np.where(np.isnan(value), 0, value).tolist(), abs=1e-6)
+
+
 def test_a_mirrored_left_hand_is_a_right_one(spark):
     p = np.random.default_rng(1).random(63).tolist()
     left = [1 - x if i % 3 == 0 else x for i, x in enumerate(p)]

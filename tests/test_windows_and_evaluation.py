@@ -157,17 +157,48 @@ def test_splits(spark):
     a = catalog.hashed_splits(keys.union(keys), "subject_id", (0.7, 0.15, 0.15))
     assert {r.split: r["count"] for r in a.groupBy("split").count().collect()} == {"train": 140, "validation": 30, "test": 30}
     assert a.exceptAll(catalog.hashed_splits(keys.repartition(9), "subject_id", (0.7, 0.15, 0.15))).count() == 0
-    s = catalog.subject_splits([f"s{i}" for i in range(8)], (0.7, 0.15, 0.15), 7)
-    assert sorted(s.values()) == ["test"] + ["train"] * 6 + ["validation"] and s == catalog.subject_splits([f"s{i}" for i in range(8)], (0.7, 0.15, 0.15), 7)
-    assert set(catalog.grouped_splits({"a": 5, "b": 3, "c": 2, "d": 1}, (0.6, 0.2, 0.2), 1).values()) == {"train", "validation", "test"}
-    assert sorted(catalog.video_splits(list("abcdefghij"), (0.8, 0.1, 0.1), 1).values()).count("train") == 8
-    with pytest.raises(ValueError):
-        catalog.subject_splits(["a", "b"], (0.7, 0.15, 0.15), 1)
+    with pytest.raises(ValueError, match="add up"):
+        catalog.hashed_splits(keys, "subject_id", (0.7, 0.2, 0.2))
+    with pytest.raises(Exception, match="three values"):
+        catalog.hashed_splits(keys.limit(2), "subject_id", (0.7, 0.15, 0.15)).collect()
+
+
+def test_whole_groups_are_split(spark):
+    sizes = {f"g{i}": 1 + (7 * i) % 40 for i in range(60)}
+    members = spark.createDataFrame([(g, i) for g, n in sizes.items() for i in range(n)], "g string, i int").repartition(7)
+    of = {r.g: r.split for r in catalog.grouped_splits(members, "g", (0.6, 0.2, 0.2), 4).collect()}
+    share = {s: sum(sizes[g] for g in of if of[g] == s) / sum(sizes.values()) for s in ("train", "validation", "test")}
+    assert of.keys() == sizes.keys() and abs(share["train"] - 0.6) < 0.06 and abs(share["test"] - 0.2) < 0.06
+    few = spark.createDataFrame([("a", 1)] * 90 + [("b", 2), ("c", 3)], "g string, i int")
+    assert sorted(r.split for r in catalog.grouped_splits(few, "g", (0.6, 0.2, 0.2)).collect()) == ["test", "train", "validation"]
+    with pytest.raises(Exception, match="three values"):
+        catalog.grouped_splits(few.where("g <> 'a'"), "g", (0.6, 0.2, 0.2)).collect()
+
+
+def test_a_registry_has_to_know_all(spark):
+    registry = spark.createDataFrame([("a", "train"), ("b", "test")], "subject_id string, split string")
+    rows_ = spark.createDataFrame([("b",), ("a",), ("b",), (None,)], "subject_id string")
+    assert rows(catalog.registered_splits(rows_, "subject_id", registry), "subject_id", "split") == [("a", "train"), ("b", "test")]
+    more = rows_.union(spark.createDataFrame([("c",)], "subject_id string"))
+    with pytest.raises(Exception, match="lacks subject_id c"):
+        catalog.registered_splits(more, "subject_id", registry).collect()
+    records = more.selectExpr("subject_id", "coalesce(subject_id, 'x') AS video_id", "true AS quality_passed")
+    with pytest.raises(Exception, match="no split for subject c"):
+        catalog.manifest_records(records, registry, records.limit(0)).collect()
+
+
+def test_hard_negatives_are_the_least_of_all(spark):
+    c = spark.createDataFrame([(f"v{i % 30}", i, i + 4) for i in range(600)], "video_id string, win_start int, win_end int")
+    out = windows.hard_negatives(c, 100, 0.25, 3)
+    assert out.columns == c.columns and out.count() == 25 and out.exceptAll(windows.hard_negatives(c.repartition(9), 100, 0.25, 3)).count() == 0
+    assert max(r["count"] for r in out.groupBy("video_id").count().collect()) <= 3 and windows.hard_negatives(c, 0, 0.25, 3).count() == 1 and windows.hard_negatives(c, 100, 0.0, 3).count() == 0
 
 
 def test_leaks_and_fingerprints(spark):
     r = spark.createDataFrame([("a", "train"), ("a", "train"), ("b", "test")], "video_id string, split string")
     assert rows(catalog.leaks(r), "video_id", "n") == [("a", 2)]
+    p = spark.createDataFrame([("ab", "c"), ("a", "bc"), ("abc", None), ("abc", "")], "x string, y string")
+    assert p.select(catalog.row_fingerprint(F.col("x"), F.col("y"))).distinct().count() == 4
     assert catalog.fingerprint({"b": 1, "a": 2, "run": 3}, ("run",)) == catalog.fingerprint({"a": 2, "b": 1})
 
 
