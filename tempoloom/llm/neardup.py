@@ -12,11 +12,12 @@
    spread over groups of bounded size, each with one copy of the leader.
 5. Classes are the connected components of the verified links.
 6. Texts that share a bucket with a class of LARGE or more texts, but belong to a
-   smaller one, are compared with that whole class: its shingles are indexed in
-   blocks of bounded size, and each text meets each block once, not each member.
+   smaller one, are its guests. They are compared with that whole class and with
+   its other guests: the shingles of all these are indexed in blocks of bounded
+   size, and each guest meets each block once, not each text.
 7. Where the other texts of a bucket are of several classes, those outside the
    bucket's largest class lead in turn, more of them in each round, and are tried
-   against all texts of other classes. So at the end any two texts of a bucket
+   against all texts of other classes that weren't guests beside them. So at the end any two texts of a bucket
    were compared, or are of one class, or differ too much in length. A bucket of
    texts that are alike costs no more than its leaders; one of n texts that are
    all just below the threshold has n * n / 2 pairs to compare.
@@ -113,18 +114,18 @@ def candidate_pairs(members: DataFrame, likeness: float = LIKENESS) -> DataFrame
 
 
 def with_classes(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """The texts (band, id, n) with their class."""
-    return members.hint("merge").join(classes, F.col("id") == F.col("node"), "left").select("band", "id", "n", F.coalesce("component", "id").alias("class"))
+    """The texts (id, ...) with their class."""
+    return members.hint("merge").join(classes, F.col("id") == F.col("node"), "left").select(*members.columns, F.coalesce("component", "id").alias("class"))
 
 
 def open_members(left: DataFrame, classes: DataFrame, leaders: int) -> DataFrame:
-    """(band, id, n, class, leads) of the texts (band, id, n) in buckets that hold several classes; about so many in each lead, none of its largest class, and all where they are no more."""
+    """(band, id, n, hosts, class, leads) of the texts (band, id, n, hosts) in buckets that hold several classes; about so many in each lead, none of its largest class, and all where they are no more."""
     placed = with_classes(left, classes)
     by_class = placed.groupBy("band", "class").agg(F.count("*").alias("k"))
     buckets = by_class.groupBy("band").agg(F.max(F.struct("k", "class")).alias("main"), F.sum("k").alias("all"), F.count("*").alias("classes")).where("classes > 1")
     buckets = written(buckets.select("band", F.col("main.class").alias("main"), (F.col("all") - F.col("main.k")).alias("others")), "buckets")
     chance = F.pmod(F.xxhash64("id", "band"), F.lit(1 << 30)) * F.col("others") < F.lit(leaders << 30)
-    return placed.hint("merge").join(buckets.hint("merge"), "band").select("band", "id", "n", "class", ((F.col("class") != F.col("main")) & chance).alias("leads"))
+    return placed.hint("merge").join(buckets.hint("merge"), "band").select("band", "id", "n", "hosts", "class", ((F.col("class") != F.col("main")) & chance).alias("leads"))
 
 
 def guests(placed: DataFrame, large: DataFrame, likeness: float) -> DataFrame:
@@ -137,31 +138,35 @@ def guests(placed: DataFrame, large: DataFrame, likeness: float) -> DataFrame:
 
 
 def hosted(guests_: DataFrame, classes: DataFrame, sizes: DataFrame, docs: DataFrame, key: str, text: str, size: int = SHINGLE, likeness: float = LIKENESS) -> DataFrame:
-    """Links (a, b) of the guests (id, class) with texts of their class, one for each block of it that has one alike. sizes: (id, n)."""
-    few = guests_.groupBy("class").agg(F.ceil(F.count("*") / GUESTS).alias("turns"))
-    own = classes.withColumnRenamed("component", "class").join(few.hint("merge"), "class").join(sizes.hint("merge"), F.col("node") == F.col("id")).select("id", "n", "class", "turns")
-    parts = written(own.groupBy("class").agg(F.ceil(F.sum("n") / BLOCK).alias("parts"), F.max("turns").alias("turns")), "parts")
+    """Links (a, b) of the guests (id, class) with texts of their host class and with its other guests: for each block of these one with each class that has a text alike. sizes: (id, n)."""
+    hosts = guests_.select("id", F.col("class").alias("host"))
+    few = written(hosts.groupBy("host").agg(F.ceil(F.count("*") / GUESTS).alias("turns")), "turns")
+    placed = with_classes(hosts, classes)
+    members = classes.select(F.col("node").alias("id"), F.col("component").alias("host")).hint("merge").join(few.hint("merge"), "host").select("id", "host", F.col("host").alias("class"))
+    members = members.unionByName(placed).hint("merge").join(sizes.hint("merge"), "id")
+    parts = written(members.groupBy("host").agg(F.ceil(F.sum("n") / BLOCK).alias("parts")).join(few.hint("merge"), "host"), "parts")
     all_ = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
-    members = own.drop("turns").hint("merge").join(parts.hint("merge"), "class").select("id", "class", F.pmod(F.xxhash64("id"), "parts").alias("part"), all_("turns").alias("turn"), F.lit(0).alias("role"))
-    others = guests_.hint("merge").join(parts.hint("merge"), "class").select("id", "class", all_("parts").alias("part"), F.pmod(F.xxhash64("id"), "turns").alias("turn"), F.lit(1).alias("role"))
+    inside = members.hint("merge").join(parts.hint("merge"), "host").select("id", "host", "class", F.pmod(F.xxhash64("id"), "parts").alias("part"), all_("turns").alias("turn"), F.lit(0).alias("role"))
+    asking = placed.hint("merge").join(parts.hint("merge"), "host").select("id", "host", "class", all_("parts").alias("part"), F.pmod(F.xxhash64("id"), "turns").alias("turn"), F.lit(1).alias("role"))
     texts = text_of(docs, key, text=text).where(F.col(key).isNotNull()).withColumnsRenamed({key: "id", text: "body"})
-    rows = members.unionByName(others).hint("merge").join(texts, "id").select("class", "part", "turn", "role", "id", "body")
+    rows = inside.unionByName(asking).hint("merge").join(texts, "id").select("host", "part", "turn", "role", "id", "class", "body")
     kind = rows.schema["id"].dataType.simpleString()
 
     def each(rows_):
         hashes, at = WordHashes(), None
         block = Block()
-        for lead, part, turn, role, i, body in rows_:
-            if at != (lead, part, turn):
-                at, block = (lead, part, turn), Block()
+        for host, part, turn, role, i, own_class, body in rows_:
+            if at != (host, part, turn):
+                at, block = (host, part, turn), Block()
             own, counts = np.unique(shingle_hashes(hashes.of(body.split()), size), return_counts=True)
             if role == 0:
-                block.add(i, own, counts)
-            elif (other := block.alike(own, counts, likeness)) is not None:
-                yield i, other
+                block.add(i, own_class, own, counts)
+            else:
+                for other in block.alike(own_class, own, counts, likeness):
+                    yield i, other
 
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return map_rows(rows.repartition(n, "class", "part", "turn").sortWithinPartitions("class", "part", "turn", "role"), each, f"a {kind}, b {kind}", 1000)
+    return map_rows(rows.repartition(n, "host", "part", "turn").sortWithinPartitions("host", "part", "turn", "role"), each, f"a {kind}, b {kind}", 1000)
 
 
 class Block:
@@ -169,17 +174,19 @@ class Block:
 
     def __init__(self):
         self.ids: list = []
+        self.classes: list = []
         self.open: list[tuple[np.ndarray, np.ndarray]] = []
         self.hash: np.ndarray | None = None
 
-    def add(self, i, hashes: np.ndarray, counts: np.ndarray) -> None:
+    def add(self, i, own_class, hashes: np.ndarray, counts: np.ndarray) -> None:
         self.ids.append(i)
+        self.classes.append(own_class)
         self.open.append((hashes, counts))
 
-    def alike(self, hashes: np.ndarray, counts: np.ndarray, likeness: float):
-        """The text that is most alike to the one with these shingles, None if none is alike enough."""
+    def alike(self, own_class, hashes: np.ndarray, counts: np.ndarray, likeness: float) -> list:
+        """A text of each other class that has one which is alike enough to the one with these shingles."""
         if not self.ids:
-            return None
+            return []
         if self.hash is None:
             whole = np.concatenate([h for h, _ in self.open])
             order = np.argsort(whole, kind="stable")
@@ -192,14 +199,13 @@ class Block:
         at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
         both = np.bincount(self.of[at], weights=np.minimum(self.count[at], np.repeat(counts, n)), minlength=len(self.ids))
         like = both / np.maximum(self.total + counts.sum() - both, 1)
-        best = int(like.argmax())
-        return self.ids[best] if like[best] >= likeness else None
+        return list({self.classes[i]: self.ids[i] for i in np.flatnonzero(like >= likeness).tolist() if self.classes[i] != own_class}.values())
 
 
 def further_pairs(members: DataFrame, tried: DataFrame, likeness: float) -> DataFrame:
-    """(id, lead) from open_members(): the texts of a bucket with its leaders of other classes, less the pairs tried before."""
-    leads = members.where("leads").select("band", F.col("id").alias("lead"), F.col("n").alias("m"), F.col("class").alias("its"))
-    both = members.hint("merge").join(leads, "band").where((F.col("class") != F.col("its")) & _long_enough("n", "m", likeness))
+    """(id, lead) from open_members(): the texts of a bucket with its leaders of other classes, less the pairs tried before and those of guests of one class."""
+    leads = members.where("leads").select("band", F.col("id").alias("lead"), F.col("n").alias("m"), F.col("class").alias("its"), F.col("hosts").alias("other_hosts"))
+    both = members.hint("merge").join(leads, "band").where((F.col("class") != F.col("its")) & _long_enough("n", "m", likeness) & ~F.arrays_overlap("hosts", "other_hosts"))
     both = both.groupBy(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).agg(F.min("lead").alias("lead"))
     before = tried.select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b"))
     return both.hint("merge").join(before, ["a", "b"], "left_anti").select(F.when(F.col("a") == F.col("lead"), F.col("b")).otherwise(F.col("a")).alias("id"), "lead")
@@ -234,13 +240,19 @@ def linked(banded: DataFrame, shared: DataFrame, docs: DataFrame, key: str, text
     classes = written(components(verified(tried, docs, key, text, size, likeness).union(shared)), "classes")
     more = lambda links: written(components(links.union(classes.select(F.col("node").alias("a"), F.col("component").alias("b")))), "classes")
     left = members.where((F.col("id") != F.col("first.id")) & (F.col("id") != F.col("other.id"))).select("band", "id", "n")
+    none = F.array().cast(f"array<{members.schema['id'].dataType.simpleString()}>")
     large = written(classes.groupBy(F.col("component").alias("class")).agg(F.count("*").alias("size")).where(F.col("size") >= LARGE), "large")
     if not large.isEmpty():
         placed = written(with_classes(left, classes), "placed")
         left = placed.hint("merge").join(large, "class", "left_anti").select("band", "id", "n")
-        links = written(hosted(written(guests(placed, large, likeness), "guests"), classes, banded.select("id", "n"), docs, key, text, size, likeness), "links")
+        met = written(guests(placed, large, likeness), "guests")
+        links = written(hosted(met, classes, banded.select("id", "n"), docs, key, text, size, likeness), "links")
         if not links.isEmpty():
             classes = more(links)
+        hosts = written(met.groupBy("id").agg(F.collect_set("class").alias("hosts")), "hosts")
+        left = left.hint("merge").join(hosts.hint("merge"), "id", "left").select("band", "id", "n", F.coalesce("hosts", none).alias("hosts"))
+    else:
+        left = left.withColumn("hosts", none)
     leaders = MORE
     while True:
         now = written(open_members(left, classes, leaders), "open")
@@ -250,7 +262,7 @@ def linked(banded: DataFrame, shared: DataFrame, docs: DataFrame, key: str, text
         links = written(verified(pairs, docs, key, text, size, likeness), "links")
         if not links.isEmpty():
             classes = more(links)
-        tried, left = tried.union(pairs), now.where(~F.col("leads")).select("band", "id", "n")
+        tried, left = tried.union(pairs), now.where(~F.col("leads")).select("band", "id", "n", "hosts")
         leaders *= MORE
 
 
