@@ -186,11 +186,13 @@ def first_places(rows: DataFrame, digest: str, name: str) -> DataFrame:
 
 
 def runs_of(starts: np.ndarray, shapes: np.ndarray, digests: np.ndarray, sources: list[tuple], own, words: int):
-    """What a document's chunks that several places have lead to, in order: rows (start, end, bound, run, source).
+    """What a document's chunks that several places have lead to: rows (start, end, run, source).
 
     Stretches of one source other than the document's own place have the
     source and no run; runs across changes of source have the run's digest and
-    no source. bound: the words that a passage around may have at most.
+    no source. Those are left out around which a passage can't have enough
+    words; one that holds another has as many words around it at least, so
+    nothing is lost when the longest are looked for among the others.
     """
     shape = shapes.view(np.uint32).astype(np.int64)
     size, n, before, after = shape & 2047, shape >> 11 & 127, shape >> 18 & 127, shape >> 25 & 127
@@ -203,8 +205,8 @@ def runs_of(starts: np.ndarray, shapes: np.ndarray, digests: np.ndarray, sources
     lasts = np.append(heads[1:], len(starts)) - 1
     bounds = before[heads] + begun[lasts + 1] - begun[heads] + after[lasts]
     for i, j, bound in zip(heads.tolist(), lasts.tolist(), bounds.tolist(), strict=True):
-        if sources[i] != own:
-            yield int(starts[i]), int(ends[j]), bound, None, sources[i]
+        if sources[i] != own and bound >= words:
+            yield int(starts[i]), int(ends[j]), None, sources[i]
     if not (touch & change).any():
         return
     changes, gaps = np.cumsum(change), np.cumsum(~touch)
@@ -223,17 +225,17 @@ def runs_of(starts: np.ndarray, shapes: np.ndarray, digests: np.ndarray, sources
         if not len(at):
             return
         last = at + length - 1
-        mixed = changes[last] > changes[at]
+        bounds = before[at] + begun[last + 1] - begun[at] + after[last]
+        mixed = (changes[last] > changes[at]) & (bounds >= words)
         from_, to = at[mixed], last[mixed]
         with np.errstate(over="ignore"):
             h = mix64((sums[to + 1] - sums[from_]) * back[from_] + U64(length)).view(np.int64)
-        bounds = before[from_] + begun[to + 1] - begun[from_] + after[to]
-        for row in zip(starts[from_].tolist(), ends[to].tolist(), bounds.tolist(), h.tolist(), strict=True):
+        for row in zip(starts[from_].tolist(), ends[to].tolist(), h.tolist(), strict=True):
             yield *row, None
 
 
 def stretches(parts: DataFrame, words: int) -> DataFrame:
-    """(u, start, end, bound, run, of, shift): the rows of runs_of() for all documents with the chunks parts."""
+    """(u, start, end, run, of, shift): the rows of runs_of() for all documents with the chunks parts."""
     first = first_places(parts, "digest", "first")
     places = parts.hint("merge").join(first, "digest").select("u", F.struct("start", "shape", "digest", F.col("first.u").alias("of"), (F.col("start") - F.col("first.start")).alias("shift")).alias("x"))
     rows = places.groupBy("u").agg(F.sort_array(F.collect_list("x")).alias("x")).select("u", "x.start", "x.shape", "x.digest", "x.of", "x.shift")
@@ -250,13 +252,13 @@ def stretches(parts: DataFrame, words: int) -> DataFrame:
                     if len(starts) > 1 and (again := np.flatnonzero(np.diff(starts) == 0)).size:  # rows that are the same
                         one = np.delete(np.arange(len(starts)), again + 1)
                         starts, shapes, digests, of, shift = starts[one], shapes[one], digests[one], [of[i] for i in one], [shift[i] for i in one]
-                    for start, end, bound, run, source in runs_of(starts.astype(np.int64), shapes, digests, list(zip(of, shift, strict=True)), (u, 0), words):
-                        out.append((number, start, end, bound, run, *(source or (None, None))))
+                    for start, end, run, source in runs_of(starts.astype(np.int64), shapes, digests, list(zip(of, shift, strict=True)), (u, 0), words):
+                        out.append((number, start, end, run, *(source or (None, None))))
                 if out:
-                    number, start, end, bound, run, of, shift = zip(*out, strict=True)
-                    yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(number, pa.int32())), *(pa.array(x, pa.int32()) for x in (start, end, bound)), pa.array(run, pa.int64()), pa.array(of, b.column(0).type), pa.array(shift, pa.int32())], names=["u", "start", "end", "bound", "run", "of", "shift"])
+                    number, start, end, run, of, shift = zip(*out, strict=True)
+                    yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(number, pa.int32())), *(pa.array(x, pa.int32()) for x in (start, end)), pa.array(run, pa.int64()), pa.array(of, b.column(0).type), pa.array(shift, pa.int32())], names=["u", "start", "end", "run", "of", "shift"])
 
-    return rows.mapInArrow(each, f"u {kind}, start int, end int, bound int, run long, of {kind}, shift int")
+    return rows.mapInArrow(each, f"u {kind}, start int, end int, run long, of {kind}, shift int")
 
 
 def sources(parts: DataFrame, words: int = WORDS) -> DataFrame:
@@ -264,11 +266,11 @@ def sources(parts: DataFrame, words: int = WORDS) -> DataFrame:
     rows = written(stretches(parts, words), "stretches")
     runs = rows.where("run IS NOT NULL").drop("of", "shift")
     found = runs.hint("merge").join(first_places(runs, "run", "runs"), "run").where(F.struct("u", "start") != F.col("first"))
-    found = found.select("u", "start", "end", "bound", F.col("first.u").alias("of"), (F.col("start") - F.col("first.start")).alias("shift"))
+    found = found.select("u", "start", "end", F.col("first.u").alias("of"), (F.col("start") - F.col("first.start")).alias("shift"))
     both = rows.where("run IS NULL").drop("run").unionByName(found)
     # those within others go; of equal ones the first source stays
     reach = F.max("end").over(Window.partitionBy("u").orderBy("start", F.desc("end"), "of", "shift").rowsBetween(Window.unboundedPreceding, -1))
-    outer = both.withColumn("reach", reach).where((F.col("reach").isNull() | (F.col("end") > F.col("reach"))) & (F.col("bound") >= words))
+    outer = both.withColumn("reach", reach).where(F.col("reach").isNull() | (F.col("end") > F.col("reach")))
     return outer.groupBy("u", "of").agg(F.sort_array(F.collect_list(F.struct("start", "end", "shift"))).alias("places"))
 
 
