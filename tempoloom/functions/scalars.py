@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,6 +15,16 @@ def hash_unit(*columns: Column | str) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("double") / F.lit(float(16**12))
 
 
+def fixed(number: Column, digits: int = 4) -> Column:
+    """A number as text with so many digits, rounded by its exact binary value as C does, where format_string() rounds the decimal one half up. Null for null."""
+
+    @F.pandas_udf("string")
+    def text(x: pd.Series) -> pd.Series:
+        return x.map(lambda v: None if v is None or v != v else f"{v:.{digits}f}")
+
+    return text(number.cast("double"))
+
+
 def ratio(part: Column, whole: Column) -> Column:
     """part / whole, null where whole is 0."""
     return F.try_divide(part.cast("double"), whole.cast("double"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.scalars import ratio
 from ..schema import BACKGROUND
 from .timeline import longest_missing, with_runs
 
@@ -55,9 +56,10 @@ def _good(palm: Column) -> Column:
 
 def palm_outliers(frames: DataFrame, palm: str = "palm") -> DataFrame:
     """(video_id, palm_outlier_rate): frames whose palm is more than three medians from the median, and 1 without any good palm."""
-    median = frames.groupBy("video_id").agg(F.median(_good(F.col(palm))).alias("_m"))
-    far = F.abs(F.col(palm) - F.col("_m")) > F.greatest(3 * F.col("_m"), F.lit(1e-3))
-    return frames.join(median, "video_id").groupBy("video_id").agg(F.when(F.max("_m").isNull(), 1.0).otherwise(F.avg(far.cast("double"))).alias("palm_outlier_rate"))
+    # the palms of a video, one number a frame, are listed once instead of joining frames with their own median
+    lists = frames.groupBy("video_id").agg(F.collect_list(F.col(palm).cast("double")).alias("_p"), F.median(_good(F.col(palm))).alias("_m"))
+    far = F.filter("_p", lambda p: F.abs(p - F.col("_m")) > F.greatest(3 * F.col("_m"), F.lit(1e-3)))
+    return lists.select("video_id", F.when(F.col("_m").isNull(), 1.0).otherwise(ratio(F.size(far), F.size("_p"))).alias("palm_outlier_rate"))
 
 
 def jump_rate(frames: DataFrame, coords: str = "coords", palm: str = "palm", valid: str = "valid") -> DataFrame:
@@ -65,26 +67,30 @@ def jump_rate(frames: DataFrame, coords: str = "coords", palm: str = "palm", val
     order = Window.partitionBy("video_id").orderBy("frame")
     before, was = F.lag(coords).over(order), F.lag(valid).over(order)
     square = F.aggregate(F.zip_with(F.col(coords), before, lambda a, b: ((a - b) * (a - b)).cast("double")), F.lit(0.0), lambda s, x: s + x)
-    steps = frames.withColumn("_d", F.when((F.col(valid) > 0.5) & (was > 0.5), F.sqrt(square)))
-    scale = F.greatest(F.coalesce(F.median(_good(F.col(palm))), F.lit(1.0)), F.lit(1e-3))
-    of_video = steps.groupBy("video_id").agg(scale.alias("_s"), F.median("_d").alias("_m"), F.count("_d").alias("_n"))
-    dist = steps.select("video_id", "_d").join(of_video, "video_id").withColumn("_d", F.col("_d") / F.col("_s")).withColumn("_m", F.col("_m") / F.col("_s"))
-    mad = dist.groupBy("video_id").agg(F.median(F.abs(F.col("_d") - F.col("_m"))).alias("_mad"))
+    steps = frames.select("video_id", F.when((F.col(valid) > 0.5) & (was > 0.5), F.sqrt(square)).alias("_d"), _good(F.col(palm)).alias("_p"))
+    scale = F.greatest(F.coalesce(F.median("_p"), F.lit(1.0)), F.lit(1e-3))
+    # one exchange: a video's steps as a list, and what is asked of them from the list
+    own = steps.groupBy("video_id").agg(scale.alias("_s"), F.sort_array(F.collect_list("_d")).alias("_d")).withColumn("_d", F.transform("_d", lambda d: d / F.col("_s")))
+    middle = lambda c: F.when(F.size(c) > 0, (F.get(c, F.expr(f"(size({c}) - 1) div 2").cast("int")) + F.get(c, F.expr(f"size({c}) div 2").cast("int"))) / 2)
+    own = own.withColumn("_m", middle("_d")).withColumn("_a", F.sort_array(F.transform("_d", lambda d: F.abs(d - F.col("_m"))))).withColumn("_mad", middle("_a"))
     limit = F.col("_m") + 6 * F.greatest("_mad", 0.1 * F.col("_m"), F.lit(1e-6))
-    rate = F.avg((F.col("_d") > limit).cast("double"))
-    out = dist.join(mad, "video_id").groupBy("video_id").agg(rate.alias("_r"), F.max("_n").alias("_n"))
-    enough = F.col("_n") >= LEAST_JUMPS
-    return out.select("video_id", F.when(enough, F.col("_r")).otherwise(0.0).alias("trajectory_jump_rate"), enough.alias("trajectory_jump_reliable"))
+    enough = F.size("_d") >= LEAST_JUMPS
+    far = ratio(F.size(F.filter("_d", lambda d: d > limit)), F.size("_d"))
+    return own.select("video_id", F.when(enough, far).otherwise(0.0).alias("trajectory_jump_rate"), enough.alias("trajectory_jump_reliable"))
 
 
 def quality_gate(rows: DataFrame, threshold: float, class_threshold: float, exclude_unknown: bool = True) -> DataFrame:
-    """rows with scene_valid, quality_passed and status; the core rates fall back on the plain ones, those on 0."""
+    """rows with scene_valid, quality_passed and status; the core rates fall back on the plain ones, those on 0. A row with a load_error is neither passed nor rejected."""
     plain = F.coalesce(F.col("detection_rate"), F.lit(0.0))
     least = F.coalesce(F.col("min_class_detection_rate"), plain)
     core, core_least = F.coalesce(F.col("core_detection_rate"), plain), F.coalesce(F.col("min_class_core_detection_rate"), least)
     valid = ~F.col("polarity").eqNullSafe("unknown")  # no polarity at all is not an unknown one
     passed = (core >= threshold) & (core_least >= class_threshold) & (valid if exclude_unknown else F.lit(True))
-    return rows.withColumn("scene_valid", valid).withColumn("quality_passed", passed).withColumn("status", F.when(passed, "passed").otherwise("rejected"))
+    out = rows.withColumn("scene_valid", valid)
+    if "load_error" in rows.columns:  # what couldn't be read has no rates to go by
+        unread = F.col("load_error").isNotNull()
+        return out.withColumn("quality_passed", passed & ~unread).withColumn("status", F.when(unread, "load_failed").when(passed, "passed").otherwise("rejected"))
+    return out.withColumn("quality_passed", passed).withColumn("status", F.when(passed, "passed").otherwise("rejected"))
 
 
 def quality_verdict(rows: DataFrame, frames: DataFrame, threshold: float) -> DataFrame:

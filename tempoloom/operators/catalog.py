@@ -108,6 +108,21 @@ def inference_inventory(files: DataFrame, root: str, source: str = "inference")
     return rows.select(F.lit(source).alias("source"), F.concat_ws("__", F.lit(source), F.replace("sample", F.lit("/"), F.lit("__"))).alias("video_id"), at(F.col("sample")).alias("directory_path"), at(F.col("rel")).alias("video_path"), at(F.col("_note")).alias("annotation_path"), known("subject_id"), known("gender"), known("field3"), known("scene_raw"), F.lit("unknown").alias("scene"), F.lit("unknown").alias("polarity"), F.lit("ok").alias("status"), F.col("size").alias("video_size"), (F.unix_micros("mtime") * 1000).alias("video_mtime_ns"), F.col("name_error").alias("error"))
 
 
+def _plain(part: Column) -> Column:
+    """Text that can be a file's or folder's name."""
+    return F.regexp_replace(part, r"[/\\]", "_")
+
+
+def sequence_path(root: str, source: Column, video_id: Column) -> Column:
+    """Where a sequence's record lies."""
+    return F.concat(F.lit(root.rstrip("/") + "/"), _plain(source), F.lit("/"), _plain(video_id), F.lit(".npz"))
+
+
+def track_path(root: str, source: Column, video_id: Column, fingerprint_: Column) -> Column:
+    """Where a track's record lies: a folder for each way to track, so that tracks of other settings aren't found."""
+    return F.concat(F.lit(root.rstrip("/") + "/"), fingerprint_, F.lit("/"), _plain(source), F.lit("/"), _plain(video_id), F.lit(".track.npz"))
+
+
 def paired_recordings(entries: DataFrame, side: str | None = None) -> DataFrame:
     """Recordings with both a video and an annotation; of one hand side, those of unknown side included."""
     both = entries.where(F.col("video_path").isNotNull() & F.col("annotation_path").isNotNull())

@@ -71,6 +71,14 @@ def ms_tcn2(weights: dict[str, np.ndarray]) -> Scorer:
     return score
 
 
+@register("linear")
+def linear(weights: np.ndarray, bias: np.ndarray | None = None) -> Scorer:
+    """Each position by itself: weights (classes, channels)."""
+    w = np.asarray(weights)
+    b = np.zeros(len(w)) if bias is None else np.asarray(bias)
+    return lambda x: np.einsum("oi,nit->not", w, x) + b[None, :, None]
+
+
 def scored_windows(padded: DataFrame, scorer: Scorer, size: int, batch: int = 256, features: str = "features") -> DataFrame:
     """(video_id, win_start, win_end, pos, class_id, logit), the input of windows.fused(), from padded windows (video_id, win_start, pos, features, valid, label) and win_end."""
     whole = padded.groupBy("video_id", "win_start", "win_end").agg(F.sort_array(F.collect_list(F.struct("pos", F.col(features).alias("x")))).alias("rows"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import linspace_int, quantised, timestamp_text
+from ..functions.scalars import fixed, linspace_int, quantised, timestamp_text
 from ..schema import BACKGROUND
 
 
@@ -93,9 +93,11 @@ def annotation_times(intervals: DataFrame) -> DataFrame:
     return intervals.select("*", start.alias("_s"), end.alias("_e")).withColumns({"start_sec": F.col("_s"), "end_sec": F.col("_e")}).drop("_s", "_e")
 
 
-def srt_blocks(intervals: DataFrame, names: list[str] | None = None) -> DataFrame:
-    """(video_id, block_no, block): the subtitle block of each interval, numbered from 1 by start."""
+def srt_blocks(intervals: DataFrame, names: list[str] | None = None, confidence: bool = False) -> DataFrame:
+    """(video_id, block_no, block): the subtitle block of each interval, numbered from 1 by start; confidence: with that of the interval behind the name."""
     name = F.get(F.array(*(F.lit(n) for n in names)), F.col("label")) if names else F.concat(F.lit("class "), F.col("label").cast("string"))
+    if confidence:
+        name = F.concat(name, F.lit(" ("), fixed(F.col("confidence"), 2), F.lit(")"))
     number = F.row_number().over(Window.partitionBy("video_id").orderBy("start_sec", "end_sec", "label"))
     head = intervals.withColumn("block_no", number.cast("int"))
     block = F.concat(F.col("block_no").cast("string"), F.lit("\n"), timestamp_text(F.col("start_sec")), F.lit(" --> "), timestamp_text(F.col("end_sec")), F.lit("\n"), name)

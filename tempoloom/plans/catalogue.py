@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..operators import audit, catalog, evaluate, landmarks, postprocess, resample, smoothing, stats, timeline, windows
+from ..operators import audit, catalog, evaluate, landmarks, postprocess, resample, scoring, smoothing, stats, timeline, windows
+from . import assemble, evaluation
 from .adapters import C, D, E, V, conversation_frames, document_catalog, event_frames, runs, table, vector_frames
 
 _QUERIES: dict[str, Callable] = {}
@@ -885,3 +886,59 @@ def timeline_strips(spark, sf):
 @_query(f"WITH {E} SELECT label, count(*) AS n FROM e GROUP BY 1")
 def label_counts(spark, sf):
     return catalog.label_interval_counts(event_frames(spark, sf))
+
+
+_EV_FRAMES = f"{_FUSED}, hh AS (SELECT video_id, frame, class_id, round(score, 9) AS score FROM g), rr AS (SELECT *, row_number() OVER (PARTITION BY video_id, frame ORDER BY score DESC, class_id) AS k FROM hh), e AS (SELECT v.video_id, v.frame, v.label, rr.class_id AS pred FROM rr JOIN v ON v.video_id = rr.video_id AND v.frame = rr.frame WHERE k = 1)"
+
+
+@_query(f"{_EV_FRAMES.replace('g AS (', 'fg AS (').replace('FROM g)', 'FROM fg)')}, {_VIDEO.split(E + ', ', 1)[1]} SELECT video_id, {', '.join(f'round({m}, 6) AS {m}' for m in _METRICS)} FROM vm".replace("WITH ", "WITH RECURSIVE ", 1))
+def full_video_evaluation(spark, sf):
+    """Window scores, fusion, labels and the metrics of each video."""
+    v = vector_frames(spark, sf)
+    config = evaluation.Evaluation(size=20, stride=6)
+    scores = windows.fused(windows.window_scores(windows.sliding_windows(windows.lengths(v), 20, 6), v), 20)
+    return _rounded(evaluation.full_videos(_rounded_to(scores, 9), v.select("video_id", "frame", "label"), config), *_METRICS)
+
+
+@_query(f"""WITH {V}, x AS (SELECT video_id, frame, list_transform(coords, lambda c: floor(c * 64)) AS f FROM v), s AS (SELECT video_id, frame, CAST(c AS INT) AS class_id, f, c FROM x, range(15) y(c))
+SELECT video_id, frame, class_id, round(list_sum(list_transform(f, lambda a, i: a * ((c * 7 + (i - 1) * 3) % 11 - 5))), 3) + 0.0 AS score FROM s""")
+def linear_model_scores(spark, sf):
+    """A model with whole weights over whole features, through windows and fusion."""
+    v = vector_frames(spark, sf).withColumn("features", F.transform("coords", lambda c: F.floor(c * 64).cast("double")))
+    weights = [[(c * 7 + k * 3) % 11 - 5 for k in range(63)] for c in range(15)]
+    out = evaluation.scored(v, scoring.build("linear", weights=weights), evaluation.Evaluation(size=20, stride=6))
+    return out.withColumn("score", _r("score", digits=3) + F.lit(0.0))
+
+
+def _assembled(spark, sf):
+    v = vector_frames(spark, sf)
+    tracks = v.select("video_id", "frame", F.col("coords").alias("landmarks"), "valid", F.col("quality"), F.when(F.col("valid") == 0, 0).when(F.col("frame") % 4 == 0, -1).otherwise(1).alias("side"))
+    spans = timeline.action_spans(timeline.segments(v))
+    notes = spans.select("video_id", F.col("seg_id").alias("line_no"), (F.col("seg_start") / 30.0).alias("start_sec"), (F.col("seg_end") / 30.0).alias("end_sec"), "label")
+    return assemble.assembled(tracks, notes, 30.0)
+
+
+@_query(f"""WITH RECURSIVE {V}, m AS (SELECT video_id, frame, valid, CASE WHEN valid = 1 AND frame % 4 = 0 THEN list_transform(coords, lambda c, i: CASE WHEN (i - 1) % 3 = 0 THEN -c ELSE c END) ELSE coords END AS p FROM v),
+z AS (SELECT video_id, frame, valid, CAST(p[4] - p[1] AS DOUBLE) AS x FROM m), """ + """r AS (SELECT video_id, frame, CASE WHEN valid = 1 THEN x END AS v, 0.0::DOUBLE AS d FROM z WHERE frame = 0 UNION ALL
+SELECT video_id, frame, CASE WHEN valid = 0 THEN v WHEN v IS NULL THEN x ELSE v + GAIN2 * (x - v) END, CASE WHEN valid = 0 OR v IS NULL THEN d ELSE w END FROM (SELECT z.video_id, z.frame, z.valid, x, v, d, d + GAIN1 * ((x - v) * 30 - d) AS w FROM r JOIN z ON z.video_id = r.video_id AND z.frame = r.frame + 1))
+SELECT video_id, frame, round(CAST(CAST(coalesce(v, 0) AS FLOAT) AS DOUBLE), 5) + 0.0 AS x FROM r""".replace("GAIN1", _gain_sql("1.0").replace("15", "30")).replace("GAIN2", _gain_sql("1.0 + 0.007 * abs(w)").replace("15", "30")))
+def assembled_channel(spark, sf):
+    """One channel of the tracks that the assembly makes at the source rate: mirrored, centred, smoothed and filled."""
+    v = vector_frames(spark, sf)
+    tracks = v.select("video_id", "frame", F.col("coords").alias("landmarks"), "valid", "quality", F.when(F.col("valid") == 0, 0).when(F.col("frame") % 4 == 0, -1).otherwise(1).alias("side"))
+    return assemble.source_tracks(tracks, 30.0, assemble.Assembly()).select("video_id", "frame", (_r(F.get("coords", F.lit(3)), digits=5) + F.lit(0.0)).alias("x"))
+
+
+@_query(f"WITH {V}, n AS (SELECT video_id, frame // 2 AS b, label, count(*) AS n, min(frame) AS f FROM v GROUP BY 1, 2, 3), k AS (SELECT *, row_number() OVER (PARTITION BY video_id, b ORDER BY n DESC, label) AS k FROM n) SELECT video_id, CAST(b AS INT) AS frame, label FROM k WHERE k = 1")
+def assembled_labels(spark, sf):
+    """The labels of assembled sequences at half the source rate."""
+    return _assembled(spark, sf)[0].select("video_id", "frame", "label")
+
+
+@_query(f"WITH {V} SELECT video_id, 'ready' AS status FROM v WHERE video_id % 3 > 0 GROUP BY 1 HAVING bool_and(label = 14 OR video_id % 2 = 0) UNION ALL SELECT video_id, 'annotation_conflict' FROM v WHERE video_id % 3 > 0 GROUP BY 1 HAVING NOT bool_and(label = 14 OR video_id % 2 = 0) UNION ALL SELECT DISTINCT video_id, 'missing_track' FROM v WHERE video_id % 3 = 0")
+def assembly_outcomes(spark, sf):
+    """Every third video has no track; odd ones are of negative scenes."""
+    v = vector_frames(spark, sf)
+    i = F.col("video_id")
+    entries = v.select(i).distinct().select(i, F.lit("s").alias("source"), F.when(i % 2 == 0, "positive").otherwise("negative").alias("polarity"), F.lit("ready").alias("status"))
+    return assemble.outcome(entries, entries.where(i % 3 > 0), v.where(i % 3 > 0).select("video_id", "frame", "label")).select("video_id", "status")

@@ -7,6 +7,7 @@ import json
 
 import numpy as np
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -107,13 +108,48 @@ def config(path: str, *required: str) -> dict:
     return out
 
 
-def inputs(spark: SparkSession, paths: list[str], manifest_path: str | None = None, split: str = "test") -> list[str]:
-    """The paths to read: those given, else the files of a manifest's split."""
+def inputs(spark: SparkSession, paths: list[str], manifest_path: str | None = None, split: str = "test") -> DataFrame:
+    """(path) of what to read: those given, else the files of a manifest's split."""
     if paths:
-        return paths
+        return spark.createDataFrame([(p,) for p in paths], "path string")
     if not manifest_path:
         raise ValueError("neither paths nor a manifest")
-    return [r.path for r in manifest(spark, manifest_path).where(F.col("split") == split).orderBy("path").collect()]
+    return manifest(spark, manifest_path).where(F.col("split") == split).select("path")
+
+
+def listing(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
+    """(path, length, modificationTime) of the files below root; a root that can't be listed gives one row with an error instead of failing."""
+    kinds = "path string, modificationTime timestamp, length long, error string"
+    try:
+        found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)
+    except AnalysisException as e:
+        reason = io_error(e.getCondition() or "unknown")
+        return spark.createDataFrame([(root, None, None, reason)], kinds)
+    return found.select("path", "modificationTime", "length", F.lit(None).cast("string").alias("error"))
+
+
+def io_error(reason: str) -> str:
+    """The code of an error of the file system; semicolons part codes, so none may be inside."""
+    return "io_error:" + reason.replace(";", ",")
+
+
+def sequence_sources(files: DataFrame, root: str) -> DataFrame:
+    """(source, path) of the NPZ records in the folders right below root; the loose ones of root itself, under its own name, where there are no others."""
+    clean = F.regexp_replace(F.col("path"), "^file:/*", "/")
+    top = root.rstrip("/")
+    parts = F.split(F.substr(clean, F.lit(len(top) + 2)), "/")
+    own = files.where(F.col("path").endswith(".npz")).select(F.when(F.size(parts) == 2, F.get(parts, F.lit(0))).alias("source"), "path", F.size(parts).alias("depth")).where("depth <= 2")
+    below = own.where("depth = 2").select("source", "path")
+    loose = own.where("depth = 1").join(F.broadcast(below.limit(1).select(F.lit(1).alias("any"))), F.lit(True), "left_anti")
+    return below.unionByName(loose.select(F.lit(top.rsplit("/", 1)[-1]).alias("source"), "path"))
+
+
+def predictions(spark: SparkSession, files: DataFrame, marker: str = "predictions.json") -> DataFrame:
+    """(video_id, prediction, logits?) of the latest run: the table prediction.parquet beside its marker."""
+    run = latest_run(files, marker).first()["run"]
+    if run is None:
+        raise FileNotFoundError(f"no run has {marker}")
+    return spark.read.parquet(f"{run}/prediction.parquet")
 
 
 def inventory_jsonl(spark: SparkSession, path: str) -> DataFrame:
@@ -142,6 +178,14 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("splits map<string, array<string>>").option("multiLine", True).json(path).select(F.explode("splits").alias("split", "paths")).select("split", F.explode("paths").alias("path"))
 
 
+def checked_manifest(records: DataFrame, files: DataFrame) -> DataFrame:
+    """The rows (split, path) of a manifest, of which each has to be among files (path)."""
+    there = files.select(F.regexp_replace("path", "^file:/*", "/").alias("path"), F.lit(True).alias("_there")).distinct()
+    missing = F.raise_error(F.concat(F.lit("a manifest's file is missing: "), F.col("path"))).cast("string")
+    own = records.withColumn("path", F.regexp_replace("path", "^file:/*", "/"))
+    return own.join(there, "path", "left").select("split", F.when(F.col("_there"), F.col("path")).otherwise(missing).alias("path"))
+
+
 def latest_run(files: DataFrame, marker: str = "predictions.json") -> DataFrame:
     """(run): the last folder, by name, that has the marker file."""
     folder = F.regexp_extract("path", f"^(.*)/{marker}$", 1)

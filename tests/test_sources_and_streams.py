@@ -4,8 +4,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tempoloom.operators import catalog, smoothing, timeline
-from tempoloom.plans import assemble
+from tempoloom.functions import scalars
+from tempoloom.operators import audit, catalog, evaluate, smoothing, timeline
+from tempoloom.plans import assemble, config
 from tempoloom.schema import INVENTORY, feature_names
 from tempoloom.sources import readers, sinks
 from tempoloom.streaming import filters
@@ -110,7 +111,7 @@ def test_manifest(spark, tmp_path):
     r = spark.createDataFrame([("a", "train"), ("b", "validation"), ("c", "test")], "video_id string, split string")
     path = sinks.manifest_json(r, str(tmp_path / "m.json"), seed=1)
     assert rows(readers.manifest(spark, path), "split", "path") == [("test", "c"), ("train", "a"), ("validation", "b")]
-    assert readers.inputs(spark, [], path, "train") == ["a"] and readers.inputs(spark, ["x"]) == ["x"]
+    assert [x.path for x in readers.inputs(spark, [], path, "train").collect()] == ["a"] and [x.path for x in readers.inputs(spark, ["x"]).collect()] == ["x"]
     with pytest.raises(ValueError, match="test"):
         sinks.manifest_json(r.where("split <> 'test'"), path)
 
@@ -167,3 +168,108 @@ def test_streamed_filter_and_runs_equal_the_batch_ones(spark, tmp_path, timeline
             assert rows(got, "video_id", "label", "seg_start", "seg_end") == rows(want, "video_id", "label", "seg_start", "seg_end")
         else:
             assert [x[2] for x in rows(got, "video_id", "frame", "value")] == pytest.approx([x[2] for x in rows(want, "video_id", "frame", "value")], abs=1e-5)
+
+
+def test_numbers_as_text_round_as_c_does(spark):
+    values = [0.00015, 0.00005, 1.00005, 2.5, -0.00015, 123456.78905]
+    df = spark.createDataFrame([(x,) for x in [*values, None, float("nan")]], "x double")
+    assert [r.t for r in df.select(scalars.fixed(F.col("x")).alias("t")).collect()] == [*(f"{x:.4f}" for x in values), None, None]
+
+
+def test_subtitles_show_the_confidence(spark):
+    df = spark.createDataFrame([("a", 0.0, 1.5, 3, 0.875)], "video_id string, start_sec double, end_sec double, label int, confidence double")
+    assert timeline.srt_blocks(df, confidence=True).first().block.endswith("\nclass 3 (0.88)") and timeline.srt_blocks(df).first().block.endswith("\nclass 3")
+
+
+def test_written_records_are_read_again(spark, tmp_path):
+    x = np.random.default_rng(2).random((5, 128)).astype("float32")
+    rows_ = [("s/1", "v1", 15.0, x.tolist(), [1.0, 0.0, 1.0, 1.0, 1.0], [14, 14, 2, 2, 14], "S1"), ("s/1", "v2", 15.0, x.tolist(), [1.0] * 5, None, "S2")]
+    df = spark.createDataFrame(rows_, "source string, video_id string, fps double, features array<array<float>>, valid array<float>, labels array<int>, subject_id string")
+    assert df.count() == 2
+    out = sinks.sequences_npz(df.withColumn("source", F.lit("one")), str(tmp_path), "v3").collect()
+    assert sorted(r.file for r in out) == [str(tmp_path / "one" / "v1.npz"), str(tmp_path / "one" / "v2.npz")]
+    back = readers.sequences_npz(spark, str(tmp_path), "v3").orderBy("video_id", "frame").collect()
+    assert [r.label for r in back] == [14, 14, 2, 2, 14] + [None] * 5 and np.allclose([r.features for r in back[:5]], x) and back[0].subject_id == "S1"
+    found = readers.sequence_sources(readers.listing(spark, str(tmp_path)), str(tmp_path))
+    assert {r.source for r in found.collect()} == {"one"} and found.count() == 2
+    alone = readers.sequence_sources(readers.listing(spark, str(tmp_path / "one")), str(tmp_path / "one"))
+    assert {r.source for r in alone.collect()} == {"one"} and alone.count() == 2
+
+
+def test_runs_and_their_predictions(spark, tmp_path, timeline_of):
+    f = timeline_of({"a": [14, 1, 1], "b": [2]})
+    for run in ("20250101", "20250301", "20250201"):
+        (tmp_path / run).mkdir()
+        sinks.arrays(f, str(tmp_path / run / "prediction.parquet"))
+        (tmp_path / run / "predictions.json").write_text("{}")
+    (tmp_path / "20250401").mkdir()
+    got = {r.video_id: r.prediction for r in readers.predictions(spark, readers.listing(spark, str(tmp_path))).collect()}
+    assert got == {"a": [14, 1, 1], "b": [2]}
+    with pytest.raises(FileNotFoundError):
+        readers.predictions(spark, readers.listing(spark, str(tmp_path / "20250401")))
+
+
+def test_what_is_missing_is_said(spark, tmp_path):
+    gone = readers.listing(spark, str(tmp_path / "none")).collect()
+    assert len(gone) == 1 and gone[0].error.startswith("io_error:") and readers.io_error("a;b") == "io_error:a,b"
+    (tmp_path / "x.npz").write_bytes(b"x")
+    files = readers.listing(spark, str(tmp_path))
+    records = spark.createDataFrame([("train", str(tmp_path / "x.npz"))], "split string, path string")
+    assert readers.checked_manifest(records, files).count() == 1
+    with pytest.raises(Exception, match="file is missing"):
+        readers.checked_manifest(records.withColumn("path", F.lit("/no/such.npz")), files).collect()
+    d = spark.createDataFrame([("a", 0.9, "bad header"), ("b", 0.9, None), ("c", 0.1, None)], "video_id string, detection_rate double, load_error string").withColumn("polarity", F.lit("positive")).withColumns({c: F.lit(None).cast("double") for c in ("min_class_detection_rate", "core_detection_rate", "min_class_core_detection_rate")})
+    assert {r.video_id: r.status for r in audit.quality_gate(d, 0.5, 0.5).collect()} == {"a": "load_failed", "b": "passed", "c": "rejected"}
+
+
+def test_settings_refuse_what_makes_no_sense():
+    assert config.ManifestConfig.from_dict({"sources": ["a", "b"], "seed": 3}).sources == ("a", "b")
+    for bad in ({"physical_hand": "both"}, {"allow_opposite_hand_fallback": True}, {"max_hands": 0}, {"other": 1}):
+        with pytest.raises(ValueError):
+            config.TrackConfig.from_dict(bad)
+
+
+def test_paths_of_records(spark):
+    df = spark.createDataFrame([("a/b", "v\\1", "f0")], "s string, v string, f string")
+    r = df.select(catalog.sequence_path("/root/", F.col("s"), F.col("v")).alias("a"), catalog.track_path("/root", F.col("s"), F.col("v"), F.col("f")).alias("b")).first()
+    assert tuple(r) == ("/root/a_b/v_1.npz", "/root/f0/a_b/v_1.track.npz")
+
+
+def test_reports_as_json(spark, tmp_path):
+    import json
+    from pathlib import Path
+
+    per = spark.createDataFrame([("b", 0.5), ("a", 1.0)], "video_id string, frame_accuracy double")
+    sinks.metrics_json(per, evaluate.mean_metrics(per), str(tmp_path / "m"))
+    text = [json.loads(line) for p in Path(tmp_path / "m").glob("*.json") for line in p.read_text().splitlines()]
+    assert text == [{"mean": {"frame_accuracy": 0.75}, "videos": [{"video_id": "a", "frame_accuracy": 1.0}, {"video_id": "b", "frame_accuracy": 0.5}]}]
+    g = lambda rows_, kinds: spark.createDataFrame(rows_, kinds)
+    sinks.stats_json(g([("x", 2)], "grp string, videos int"), g([("x", 3, 1)], "grp string, class_id int, segments int"), g([("x", "sit", 2)], "grp string, scene string, videos int"), g([("x", 0, 4)], "grp string, p05 int, p50 int"), str(tmp_path / "s"))
+    text = [json.loads(line) for p in Path(tmp_path / "s").glob("*.json") for line in p.read_text().splitlines()]
+    assert text == [{"grp": "x", "videos": 2, "classes": [{"class_id": 3, "segments": 1}], "scenes": [{"scene": "sit", "videos": 2}], "gaps": {"p05": 0, "p50": 4}}]
+
+
+def test_whole_assembly_equals_a_plain_one(spark):
+    """The tracks of one video, step by step in numpy."""
+    rng = np.random.default_rng(6)
+    n = 24
+    points, valid, side = rng.normal(size=(n, 63)), rng.random(n) > 0.2, np.where(np.arange(n) % 5 == 0, -1, 1)
+    tracks = spark.createDataFrame([("a", i, points[i].tolist(), float(valid[i]), 0.5, int(side[i])) for i in range(n)], "video_id string, frame int, landmarks array<double>, valid double, quality double, side int")
+    got = assemble.source_tracks(tracks, 30.0, assemble.Assembly()).orderBy("frame").collect()
+    value = speed = None
+    for i in range(n):
+        p = points[i].reshape(21, 3).copy()
+        if side[i] == -1:
+            p[:, 0] *= -1
+        palm = max(np.mean([np.linalg.norm(p[k] - p[0]) for k in (5, 9, 13, 17)]), 1e-3)
+        x = np.append((p - p[0]).ravel(), palm)
+        if valid[i]:
+            if value is None:
+                value, speed = x, np.zeros(64)
+            else:
+                a = lambda c: 1 / (1 + 30 / (2 * np.pi * c))
+                speed = a(1.0) * (x - value) * 30 + (1 - a(1.0)) * speed
+                b = a(1.0 + 0.007 * np.abs(speed))
+                value = b * x + (1 - b) * value
+        want = np.append(np.zeros(63), 1.0) if value is None else value
+        assert np.allclose(got[i].coords, want[:63], atol=1e-5) and got[i].palm == pytest.approx(want[63], abs=1e-5)
