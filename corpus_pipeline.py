@@ -1,7 +1,14 @@
 """The corpus pipeline: five stages over documents, each of one operator of tempoloom.llm.
 
 Each stage function takes (spark, docs, sf_dir) and gives a DataFrame that is
-written as Parquet and read again as the next stage's docs.
+written as Parquet and read again as the next stage's docs. Columns of docs other
+than doc_id, text, lang, source, n_chars are kept, whatever their names. Null
+texts are empty: the classifier scores them as such, and they form one class
+of near duplicates; rows without a doc_id pass all stages but the classifier
+unchanged but for their personal values; rows that share a doc_id are one
+document to the near dedup; equal rows are treated alike; texts are taken
+whole, however long; empty tables give empty tables, and without labels of
+both qualities the classifier rejects by their share alone.
 """
 
 from __future__ import annotations
@@ -9,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tempoloom.llm.cdc import repeated_spans, without_spans
-from tempoloom.llm.common import written
+from tempoloom.llm.common import discard, kept, temporary, written
 from tempoloom.llm.cotrain import accepted, fit
 from tempoloom.llm.neardup import without_near_duplicates
 from tempoloom.llm.pii import pseudonymised, session_key
@@ -48,8 +55,13 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows for the documents in sf_dir."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for number, (_, stage) in enumerate(STAGES):
-        out = stage(spark, docs, sf_dir)
-        docs = written(out, f"stage{number}") if number + 1 < len(STAGES) else out
-    return docs
+    docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for number, (_, stage) in enumerate(STAGES[:-1]):
+        with temporary(spark):  # what a stage has written itself goes once its rows are stored
+            out = stage(spark, docs, sf_dir)
+            with kept():
+                docs = written(out, f"stage{number}")
+        if last is not None:
+            discard(last)
+        last = docs
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -6,6 +6,8 @@ import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -15,8 +17,8 @@ from pyspark.sql import functions as F
 
 U64 = np.uint64
 _GOLDEN = 0x9E3779B97F4A7C15
-#: Paths of the tables that written() has made and drop_written() hasn't deleted.
-_WRITTEN: list[str] = []
+#: The paths of the tables made within the innermost temporary(), if there is one.
+_MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
 _M1, _M2 = U64(0xBF58476D1CE4E5B9), U64(0x94D049BB133111EB)
 
 
@@ -36,17 +38,46 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/tempoloom/{name}-{uuid.uuid4().hex}"
     schema = df.schema
-    _WRITTEN.append(path)
+    if (made := _MADE.get()) is not None:
+        made.append(path)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out._written_to = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables of written() of which nothing lazy reads any more."""
+    for df in tables:
+        _delete(df.sparkSession, df._written_to)
+
+
+@contextmanager
+def temporary(spark: SparkSession):
+    """What written() makes within the block by this thread is deleted at its end; results have to be stored before."""
+    made: list[str] = []
+    outer = _MADE.set(made)
+    try:
+        yield
+    finally:
+        _MADE.reset(outer)
+        for path in made:
+            _delete(spark, path)
 
 
-def drop_written(spark: SparkSession) -> None:
-    """Deletes what written() has put into the shared folder from this process; call it once the results are stored."""
-    jvm = spark.sparkContext._jvm
-    while _WRITTEN:
-        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+@contextmanager
+def kept():
+    """What written() makes within the block outlasts a temporary() around it."""
+    outer = _MADE.set(None)
+    try:
+        yield
+    finally:
+        _MADE.reset(outer)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import discard, written
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -19,7 +19,7 @@ def components(edges: DataFrame) -> DataFrame:
     Each round links nodes to the least of their neighbours, by aggregates that
     combine before the shuffle and joins that adaptive execution can split, so
     a hub's edges need not meet in one task. Rounds are written to the shared
-    folder and end when the edges no longer change; all edges then lead to the
+    folder, those before deleted, and end when the edges no longer change; all edges then lead to the
     least node of their component.
     """
     now = written(edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
@@ -31,6 +31,7 @@ def components(edges: DataFrame) -> DataFrame:
         large = large.where(F.col("a") != F.col("b")).distinct()
         down = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(down, "a").select(F.explode(F.array(F.struct(F.col("a").alias("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.a", "e.b")
-        now = written(small.where(F.col("a") != F.col("b")).distinct(), "edges")
+        last, now = now, written(small.where(F.col("a") != F.col("b")).distinct(), "edges")
         before, state = state, _state(now)
+        discard(last, least)
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(now.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct()

@@ -177,16 +177,20 @@ def test_components(spark):
     assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-def test_written_tables_can_be_dropped(spark):
+def test_written_tables_last_as_long_as_they_should(spark):
     from pathlib import Path
 
     from tempoloom.llm import common
 
-    common.written(spark.range(3), "own")
-    path = Path(common._WRITTEN[-1])
-    assert path.is_dir()
-    common.drop_written(spark)
-    assert not path.exists() and not common._WRITTEN
+    before = common.written(spark.range(2), "own")
+    with common.temporary(spark):
+        inside = common.written(spark.range(3), "own")
+        with common.kept():
+            result = common.written(inside, "own")
+        assert all(Path(t._written_to).is_dir() for t in (before, inside, result))
+    assert Path(before._written_to).is_dir() and not Path(inside._written_to).exists() and result.count() == 3
+    common.discard(before, result)
+    assert not Path(before._written_to).exists() and not Path(result._written_to).exists()
 
 
 # ---- substring dedup ---------------------------------------------------------------
@@ -550,3 +554,38 @@ def test_pipeline(spark, tmp_path):
         lengths[r.doc_id] += r.length
     assert set(lengths) == set(seen[3]) and all(r.doc_tokens == lengths[r.doc_id] for r in seen[4])
     assert sorted(map(tuple, corpus_pipeline.run(spark, str(tmp_path)).select("doc_id", "start", "length").collect())) != []
+
+
+def test_pipeline_of_empty_tables(spark, tmp_path):
+    spark.createDataFrame([], DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_stages_keep_columns_of_any_name(spark, tmp_path):
+    rng = random.Random(3)
+    names = "_id long, _kept long, _cut_id long, c0 long, id long, u long, band long, bucket long"
+    rows = [(i, " ".join(_words(rng, 30)), "en", "s", 9, *range(8)) for i in range(12)] + [(None, None, None, None, None, *range(8))] * 2
+    spark.createDataFrame(rows, f"{DOCS}, {names}").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, 1, 0) for i in range(5)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.schema == docs.schema and out.count() == 14
+    assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == {*range(12), None}
+
+
+def test_long_near_copies_are_one_class(spark):
+    words = _words(random.Random(4), 150_000)
+    texts = {1: " ".join(words), 2: " ".join([*words[:70_000], "edited", *words[70_001:]]), 3: " ".join(words[:100_000])}
+    assert {r.doc_id: r.class_id for r in neardup.near_duplicates(_table(spark, texts)).collect()} == {1: 1, 2: 1, 3: 3}
+
+
+def test_entry_without_the_tokenizers():
+    """What llm needs may be absent: the other queries are there all the same."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = "import sys; sys.modules['public_tokenizers'] = None; import __spark_entry__ as e; q = e.queries(); assert len(q) > 100 and not [n for n in q if n.startswith('op') and n[2].isdigit()] and 'pipeline' not in q; assert set(e.oracle_sql()) <= set(q)"
+    subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).parents[2], check=True, timeout=300)

@@ -671,3 +671,22 @@ def test_pseudonym_query_equals_a_plain_version(spark, tmp_path):
 def test_long_local_parts_are_no_mail():
     text = "a" * 100_000 + "@example.org"
     assert pii.Pseudonyms(b"key")(text) == text
+
+
+def test_long_texts_are_taken_whole(spark, tmp_path, reference):
+    """Of some megabytes, with what is looked for at the very end."""
+    rng = random.Random(15)
+    filling = " ".join(rng.choices(["alpha", "beta", "gamma", "delta"], k=300_000))
+    texts = {1: f"{filling} token=abcdefgh12345", 2: "x" * 1_000_000 + " mail jo.doe@example.org", 3: "\n" * 500_000}
+    df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in texts.items()], "doc_id long, text string, lang string, source string, n_chars long")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 1)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = {r.doc_id: r for r in op8_secret_scan(spark, str(tmp_path)).collect()}
+    assert got[1].spans == f"assign:{len(texts[1]) - 19}:{len(texts[1])}" and got[2].n_assign == 0
+    got = {r.doc_id: r for r in op9_pii_pseudonyms(spark, str(tmp_path)).collect()}
+    assert [got[i].n_values for i in (1, 2, 3)] == [0, 1, 0] and got[2].text[:1_000_000] == texts[2][:1_000_000]
+    got = {r.doc_id: r for r in op4_bpe_round_trip(spark, str(tmp_path)).collect()}
+    assert all(got[i].decoded_sha256 == hashlib.sha256(t.encode()).hexdigest() for i, t in texts.items()) and got[1].n_tokens == len(reference.encode_ordinary(texts[1]))
+    assert op6_co_training(spark, str(tmp_path)).count() == 3
+    got = {r.doc_id: r for r in op1_order_minhash(spark, str(tmp_path)).collect()}
+    assert got[1].edited_sha256 == hashlib.sha256((texts[1][: len(texts[1]) - len(texts[1]) // 2] + texts[2][: len(texts[1]) // 2]).encode()).hexdigest()
