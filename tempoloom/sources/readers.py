@@ -250,26 +250,22 @@ def sequence_headers_npz(spark: SparkSession, path: str, pattern: str = "*.npz")
 
 
 def mock_frames(spark: SparkSession, videos: int, frames: int = 200, fps: float = 15.0, miss: float = 0.08, seed: int = 0) -> DataFrame:
-    """(video_id, frame, label, valid, quality, coords): made-up sequences of alternating segments, each class with movements of its own; one seed for each video."""
+    """(video_id, frame, label, valid, quality, coords): made-up sequences of random runs about a second long, half of them background; each class has a posture of its own, between which the hand drifts. One seed for each video."""
 
     def make(batches):
+        postures = np.random.default_rng(seed).normal(0, 0.3, (NUM_CLASSES, COORDS))
         for pdf in batches:
             for v in pdf["id"]:
                 rng = np.random.default_rng([seed, int(v)])
-                label = np.full(frames, BACKGROUND)
-                coords = rng.normal(0, 0.04, (frames, COORDS))
-                at = 0
-                while at < frames:
-                    n = int(rng.integers(round(0.5 * fps), round(1.6 * fps) + 1))
-                    c = BACKGROUND if rng.random() < 0.35 else int(rng.integers(0, BACKGROUND))
-                    label[at : at + n] = c
-                    if c != BACKGROUND:
-                        t = np.arange(len(label[at : at + n])) / fps
-                        coords[at : at + n, (c % 7) * 9 : (c % 7) * 9 + 9] += ((0.1 + 0.02 * c) * np.sin(2 * np.pi * (0.8 + 0.3 * c) * t))[:, None]
-                    at += n
+                lengths = 3 + rng.poisson(fps, frames // 3 + 1)
+                classes = np.where(rng.random(len(lengths)) < 0.5, BACKGROUND, rng.integers(0, NUM_CLASSES, len(lengths)))
+                label = np.repeat(classes, lengths)[:frames]
+                steps = np.exp(-np.arange(12) / 3)
+                target = postures[label]
+                coords = np.stack([np.convolve(c, steps / steps.sum())[:frames] for c in target.T], axis=1) + rng.normal(0, 0.02, (frames, COORDS))
                 valid = rng.random(frames) >= miss
                 held = np.maximum.accumulate(np.where(valid, np.arange(frames), 0))
-                yield pd.DataFrame({"video_id": f"mock_{v}", "frame": np.arange(frames, dtype="int32"), "label": label.astype("int32"), "valid": valid.astype("int32"), "quality": np.where(valid, 0.95, 0.15), "coords": list(coords[held])})
+                yield pd.DataFrame({"video_id": f"mock_{v}", "frame": np.arange(frames, dtype="int32"), "label": label.astype("int32"), "valid": valid.astype("int32"), "quality": valid * rng.uniform(0.6, 1.0, frames), "coords": list(coords[held])})
 
     return spark.range(videos).mapInPandas(make, "video_id string, frame int, label int, valid int, quality double, coords array<double>")
 
