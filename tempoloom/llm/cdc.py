@@ -50,7 +50,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import U64, code_points, map_rows, mix64, seeds, written
+from .common import BLANK, U64, code_points, map_rows, mix64, seeds, written
 
 RADIUS, LONGEST = 16, 1024
 #: Words from which a repeated passage counts.
@@ -64,12 +64,11 @@ _HIGH = np.uint32(0x9E3779B1)
 _STEP = U64(0x9E3779B97F4A7C15)
 #: Ranges of code points of scripts written without spaces: Thai and Lao, Burmese, Khmer, kana and Han.
 _UNSPACED = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF))
-_BLANK = np.array([chr(c).isspace() for c in range(0x3002)])
 
 
 def word_begins(points: np.ndarray) -> np.ndarray:
     """How many words begin before each place of a text, and before its end."""
-    blank = _BLANK[np.minimum(points, 0x3001)]
+    blank = BLANK[np.minimum(points, 0x3001)]
     begins = np.ones(len(points), dtype=bool)
     begins[1:] = blank[:-1]
     if len(points) and int(points.max()) >= _UNSPACED[0][0]:

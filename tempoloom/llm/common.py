@@ -8,10 +8,10 @@ import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -99,21 +99,38 @@ def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, kept for the words met last; emptied at ``most`` entries."""
+#: Whether a code point is white space, to that of the ideographic space; no greater one is.
+BLANK = np.array([chr(c).isspace() for c in range(0x3002)])
+_BASE = U64(0xD6E8FEB86659FD93)
 
-    def __init__(self, most: int = 200_000):
-        super().__init__()
-        self.most = most
 
-    def __missing__(self, word: str) -> int:
-        if len(self) >= self.most:
-            self.clear()
-        self[word] = value = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
-        return value
+@cache
+def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first 2**bits powers of an odd number, and of its inverse, modulo 2**64."""
+    with np.errstate(over="ignore"):
+        return tuple(np.cumprod(np.concatenate(([U64(1)], np.full((1 << bits) - 1, x)))) for x in (_BASE, U64(pow(int(_BASE), -1, 2**64))))
+
+
+@cache
+def _mixed() -> np.ndarray:
+    """mix64() of the code points of the basic plane, each one more."""
+    return mix64(np.arange(1, 0x10001, dtype=U64))
 
-    def of(self, words: list[str]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), dtype=U64, count=len(words))
+
+def word_hashes(text: str) -> np.ndarray:
+    """64-bit hashes of the words of text.split(), in order: sums over a word's code points, each times a power, so that no word is looked at alone."""
+    points = code_points(text)
+    n = len(points)
+    blank = np.ones(n + 2, dtype=bool)
+    blank[1:-1] = BLANK[np.minimum(points, 0x3001)]
+    edges = np.flatnonzero(blank[1:] != blank[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    times, back = _powers(max(12, n.bit_length()))
+    with np.errstate(over="ignore"):
+        sums = np.zeros(n + 1, dtype=U64)
+        mixed = _mixed()[points] if n and int(points.max()) < 0x10000 else mix64(points.astype(U64) + U64(1))
+        np.cumsum(mixed * times[:n], out=sums[1:])
+        return mix64((sums[ends] - sums[starts]) * back[starts])
 
 
 def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:

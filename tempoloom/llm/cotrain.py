@@ -26,10 +26,8 @@ an empty table.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Callable
 from dataclasses import dataclass, replace
-from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, WordHashes, code_points, mix64, written
+from .common import U64, code_points, mix64, word_hashes, written
 
 #: Labelled documents that a fit may use.
 LABELLED = 8000
@@ -53,7 +51,6 @@ REJECT = 0.5
 _BUCKETS = 32
 #: Hash buckets of words and of pairs of words, and the numbers before and after them in the text view.
 _WORDS, _SHAPE = 64, 76
-_HASHES = WordHashes()
 
 _SPACE, _BREAK, _LOWER, _UPPER, _DIGIT, _STOP, _SYMBOL, _OTHER = range(8)
 _CLASS = np.full(257, _SYMBOL, dtype=np.int64)
@@ -74,21 +71,20 @@ def text_view(text: str) -> np.ndarray:
     kinds = _CLASS[np.minimum(points, 256)]
     if n > 1:
         out[:64] = np.sqrt(np.bincount(kinds[:-1] * 8 + kinds[1:], minlength=64) / (n - 1))
-    words = text.split()
-    w = len(words)
+    hashes = word_hashes(text)
+    w = len(hashes)
     if w:
-        counts = Counter(words)
-        lines = text.split("\n")
-        top = max(counts.values()) / w
-        hashes = _HASHES.of(words)
         out[_SHAPE : _SHAPE + _WORDS] = np.sqrt(np.bincount((mix64(hashes) % U64(_WORDS)).astype(np.int64), minlength=_WORDS) / w)
         if w > 1:
             with np.errstate(over="ignore"):
                 pairs = mix64(hashes[:-1] * U64(0x9E3779B97F4A7C15) + hashes[1:])
             out[_SHAPE + _WORDS :] = np.sqrt(np.bincount((pairs % U64(_WORDS)).astype(np.int64), minlength=_WORDS) / (w - 1))
+        counts = np.unique(hashes, return_counts=True)[1]
+        lines = text.split("\n")
+        top = counts.max() / w
         out[64:75] = (
-            len(counts) / w, top, top > 0.3, sum(map(eq, words, words[1:])) / w, (n - w) / w / 10, len(set(lines)) / len(lines), math.log1p(w) / 10,
-            len(counts) / math.sqrt(w) / 10, sum(map(eq, words, words[2:])) / w, math.log1p(n / len(lines)) / 10, (w < 5) * 1.0,
+            len(counts) / w, top, top > 0.3, (hashes[1:] == hashes[:-1]).sum() / w, (n - w) / w / 10, len(set(lines)) / len(lines), math.log1p(w) / 10,
+            len(counts) / math.sqrt(w) / 10, (hashes[2:] == hashes[:-2]).sum() / w, math.log1p(n / len(lines)) / 10, (w < 5) * 1.0,
         )
     return out
 
@@ -116,9 +112,12 @@ def _newton(z: np.ndarray, target: np.ndarray, importance: np.ndarray, ridge: np
         step = np.linalg.solve((z * (importance * np.maximum(p * (1 - p), 1e-9))[:, None]).T @ z + np.diag(ridge), slope)
         while (after := loss(w + step)) > now and np.abs(step).max() > 1e-9:
             step = step / 2
-        if after >= now - 1e-9:
+        if after >= now:
             break
+        done = after >= now - 1e-7 * abs(now)
         w, now = w + step, after
+        if done:
+            break
     return w
 
 
@@ -220,10 +219,12 @@ Passes = Callable[[tuple[Logistic, Logistic], tuple[np.ndarray, np.ndarray], flo
 
 def pseudo_sums(views: tuple[np.ndarray, np.ndarray], models: tuple[Logistic, Logistic], weights: tuple[np.ndarray, np.ndarray], confident: float) -> list[list[Sums]]:
     """For each view the sums over the rows that the other view is sure of, by the class it gives them."""
+    z = [m.standard(x) for m, x in zip(models, views, strict=True)]
+    odds = [m.slope * (x @ m.weights) + m.shift for m, x in zip(models, z, strict=True)]
     out = []
     for v in (0, 1):
-        odds = models[1 - v].odds(views[1 - v])
-        out.append([Sums.of(models[v].standard(views[v][own]), np.full(int(own.sum()), float(c)), weights[v]) for c in (0, 1) for own in [(odds if c else -odds) >= _logit(confident)]])
+        chosen = [np.flatnonzero((odds[1 - v] if c else -odds[1 - v]) >= _logit(confident)) for c in (0, 1)]
+        out.append([Sums.of(z[v][own], np.full(len(own), float(c)), weights[v]) for c, own in enumerate(chosen)])
     return out
 
 

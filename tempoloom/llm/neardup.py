@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bagminhash import bag_minhash
-from .common import U64, WordHashes, map_rows, mix64, shingle_hashes, text_of, written
+from .common import U64, map_rows, mix64, shingle_hashes, text_of, word_hashes, written
 from .graph import components
 
 SHINGLE, LIKENESS, BANDS, ROWS = 5, 0.8, 32, 4
@@ -78,11 +78,10 @@ def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text", size: i
     """(key, digest of the words, shingles, bands); no bands for a text without words."""
 
     def each(rows_):
-        hashes = WordHashes()
         for k, t in rows_:
             words = t.split()
             digest = xxhash.xxh3_128_hexdigest(" ".join(words).encode())
-            own, counts = np.unique(shingle_hashes(hashes.of(words), size), return_counts=True)
+            own, counts = np.unique(shingle_hashes(word_hashes(t), size), return_counts=True)
             yield k, digest, int(counts.sum()), bands_of(bag_minhash(own, counts, bands * rows), bands, rows).tolist() if len(own) else []
 
     df = text_of(docs.where(F.col(key).isNotNull()), key, text=text)
@@ -153,12 +152,11 @@ def hosted(guests_: DataFrame, classes: DataFrame, sizes: DataFrame, docs: DataF
     kind = rows.schema["id"].dataType.simpleString()
 
     def each(rows_):
-        hashes, at = WordHashes(), None
-        block = Block()
+        at, block = None, Block()
         for host, part, turn, role, i, own_class, body in rows_:
             if at != (host, part, turn):
                 at, block = (host, part, turn), Block()
-            own, counts = np.unique(shingle_hashes(hashes.of(body.split()), size), return_counts=True)
+            own, counts = np.unique(shingle_hashes(word_hashes(body), size), return_counts=True)
             if role == 0:
                 block.add(i, own_class, own, counts)
             else:

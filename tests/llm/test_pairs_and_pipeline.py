@@ -8,6 +8,8 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -118,13 +120,22 @@ def test_texts_alike_to_one_member_of_a_large_class(spark):
     assert got == want and max(list(want.values()).count(c) for c in set(want.values())) > neardup.LARGE
 
 
+@settings(max_examples=200, deadline=None)
+@given(text=st.text(alphabet="ab \n\t\u00a0\u3000\u3001\x1fé東😀", max_size=60))
+def test_words_have_hashes_of_their_own(text):
+    from tempoloom.llm.common import word_hashes
+
+    words, hashes = text.split(), word_hashes(text).tolist()
+    assert len(words) == len(hashes) and len(set(words)) == len(set(hashes)) == len(set(zip(words, hashes, strict=True)))
+    assert word_hashes(" ".join(words)).tolist() == hashes
+
+
 def test_blocks_compare_as_pairs_do():
     rng = random.Random(23)
     texts = [" ".join(rng.choices("abcde", k=rng.randrange(1, 40))) for _ in range(60)]
-    from tempoloom.llm.common import WordHashes, shingle_hashes
+    from tempoloom.llm.common import shingle_hashes, word_hashes
 
-    hashes = WordHashes()
-    own = [np.unique(shingle_hashes(hashes.of(t.split()), 2), return_counts=True) for t in texts]
+    own = [np.unique(shingle_hashes(word_hashes(t), 2), return_counts=True) for t in texts]
     block = neardup.Block()
     for i in range(30):
         block.add(i, i // 3, *own[i])
