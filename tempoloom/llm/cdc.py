@@ -299,10 +299,13 @@ def passages(own: np.ndarray, its: np.ndarray, places: list[tuple[int, int, int]
 
 def laid_over(pairs: DataFrame, texts: DataFrame, words: int = WORDS) -> DataFrame:
     """(u, start, end, words, of): the passages of enough words that u shares with `of` around the places of pairs."""
-    texts = texts.distinct()
     pairs = written(pairs, "pairs")
-    # texts once for each of their documents, then for each pair
-    rows = pairs.hint("merge").join(texts.withColumnRenamed("body", "own"), "u").hint("merge").join(texts.withColumnsRenamed({"u": "of", "body": "its"}), "of").select("u", "of", "places", "own", "its")
+    # all texts go through one join with what is asked of them, and only those asked for go on to their pairs
+    asked = pairs.select("u", "of", F.explode(F.array(F.struct(F.col("u").alias("id"), F.lit(0).alias("role")), F.struct(F.col("of").alias("id"), F.lit(1).alias("role")))).alias("x")).select("u", "of", "x.id", "x.role")
+    found = asked.hint("merge").join(texts.withColumnRenamed("u", "id").hint("merge"), "id")
+    side = lambda role, name: F.max(F.when(F.col("role") == role, F.col("body"))).alias(name)
+    both = found.groupBy("u", "of").agg(side(0, "own"), side(1, "its"))
+    rows = both.hint("merge").join(pairs.hint("merge"), ["u", "of"]).select("u", "of", "places", "own", "its")
 
     def each(rows_):
         for u, of, places, own, its in rows_:
