@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 U64 = np.uint64
 _GOLDEN = 0x9E3779B97F4A7C15
+#: Rows from which a table of a few numbers is worth a file of its own.
+ROWS_A_FILE = 50_000
 #: The paths of the tables made within the innermost temporary(), if there is one.
 _MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
 _M1, _M2 = U64(0xBF58476D1CE4E5B9), U64(0x94D049BB133111EB)
@@ -33,9 +35,20 @@ def shared_folder(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder: later jobs read it, lost executors take nothing along."""
+def in_few(df: DataFrame, rows: int) -> DataFrame:
+    """df, where its last exchange brings about so many rows of a few numbers, in no more partitions than these fill or cores can work on.
+
+    Where Hadoop has no native code, each file that is written starts two
+    processes in the executor, which share all of its memory as they start.
+    """
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // ROWS_A_FILE)))
+
+
+def written(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """df as a Parquet table in the shared folder: later jobs read it, lost executors take nothing along. rows: as for in_few(), if known."""
     spark = df.sparkSession
+    if rows is not None:
+        df = in_few(df, rows)
     path = f"{shared_folder(spark)}/tempoloom/{name}-{uuid.uuid4().hex}"
     schema = df.schema
     if (made := _MADE.get()) is not None:

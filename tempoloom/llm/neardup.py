@@ -88,17 +88,18 @@ def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text", size: i
     return map_rows(df, each, f"{key} {df.schema[key].dataType.simpleString()}, digest string, n long, bands array<long>", 1000)
 
 
-def bucket_members(banded: DataFrame) -> DataFrame:
-    """(band, id, n, first, other) from (id, n, bands): the texts of each bucket of several, and its two first leaders."""
+def bucket_members(banded: DataFrame, texts: int) -> DataFrame:
+    """(band, id, n, first, other) from (id, n, bands) of about so many texts, stored: the texts of each bucket of several, and its two first leaders."""
     keys = banded.select("id", "n", F.explode("bands").alias("band"))
     # written, so that the joins with them are of two plain shuffles, whose large partitions can be split
-    many = written(keys.groupBy("band").agg(F.count("*").alias("many")).where("many > 1"), "many")
-    members = written(keys.hint("merge").join(many.hint("merge"), "band"), "shared")
+    many = written(keys.groupBy("band").agg(F.count("*").alias("many")).where("many > 1"), "many", texts * BANDS)
+    members = written(keys.hint("merge").join(many.hint("merge"), "band"), "shared", texts * BANDS)
+    rows = members.count()
     central = members.groupBy("id").agg(F.sum("many").alias("central"))
     leader = F.struct("id", "n")
     leads = members.hint("merge").join(central.hint("merge"), "id").groupBy("band").agg(F.max(F.struct("central", F.xxhash64("id").alias("h"), leader.alias("x"))).alias("first"), F.min(F.struct(F.xxhash64("id", "band").alias("h"), leader.alias("x"))).alias("other"))
     leads = leads.select("band", F.col("first.x").alias("first"), F.col("other.x").alias("other"))
-    return members.hint("merge").join(written(leads, "leads").hint("merge"), "band").select("band", "id", "n", "first", "other")
+    return written(members.hint("merge").join(written(leads, "leads", rows).hint("merge"), "band").select("band", "id", "n", "first", "other"), "members", rows)
 
 
 def _long_enough(a: str, b: str, likeness: float):
@@ -117,21 +118,21 @@ def with_classes(members: DataFrame, classes: DataFrame) -> DataFrame:
     return members.hint("merge").join(classes, F.col("id") == F.col("node"), "left").select(*members.columns, F.coalesce("component", "id").alias("class"))
 
 
-def open_members(left: DataFrame, classes: DataFrame, leaders: int) -> DataFrame:
-    """(band, id, n, hosts, class, leads) of the texts (band, id, n, hosts) in buckets that hold several classes; about so many in each lead, none of its largest class, and all where they are no more."""
+def open_members(left: DataFrame, classes: DataFrame, leaders: int, rows: int) -> DataFrame:
+    """(band, id, n, hosts, class, leads) of the texts (band, id, n, hosts), so many rows at most, in buckets that hold several classes; about so many in each lead, none of its largest class, and all where they are no more."""
     placed = with_classes(left, classes)
     by_class = placed.groupBy("band", "class").agg(F.count("*").alias("k"))
     buckets = by_class.groupBy("band").agg(F.max(F.struct("k", "class")).alias("main"), F.sum("k").alias("all"), F.count("*").alias("classes")).where("classes > 1")
-    buckets = written(buckets.select("band", F.col("main.class").alias("main"), (F.col("all") - F.col("main.k")).alias("others")), "buckets")
+    buckets = written(buckets.select("band", F.col("main.class").alias("main"), (F.col("all") - F.col("main.k")).alias("others")), "buckets", rows)
     chance = F.pmod(F.xxhash64("id", "band"), F.lit(1 << 30)) * F.col("others") < F.lit(leaders << 30)
     return placed.hint("merge").join(buckets.hint("merge"), "band").select("band", "id", "n", "hosts", "class", ((F.col("class") != F.col("main")) & chance).alias("leads"))
 
 
-def guests(placed: DataFrame, large: DataFrame, likeness: float) -> DataFrame:
-    """(id, class): texts of placed (band, id, n, class) that share a bucket with a larger class of large (class, size) and might be alike to one of its texts there."""
+def guests(placed: DataFrame, large: DataFrame, likeness: float, rows: int) -> DataFrame:
+    """(id, class): texts of placed (band, id, n, class), so many rows at most, that share a bucket with a larger class of large (class, size) and might be alike to one of its texts there."""
     sized = placed.hint("merge").join(large.hint("merge"), "class", "left")
     hosts = sized.where("size IS NOT NULL").groupBy("band", F.col("class").alias("host")).agg(F.max("size").alias("its"), F.min("n").alias("low"), F.max("n").alias("high"))
-    both = sized.hint("merge").join(written(hosts, "hosts").hint("merge"), "band")
+    both = sized.hint("merge").join(written(hosts, "hosts", rows).hint("merge"), "band")
     smaller = F.struct(F.coalesce("size", F.lit(1)).cast("long"), F.col("class")) < F.struct(F.col("its").cast("long"), F.col("host"))
     return both.where(smaller & (F.col("n") >= F.col("low") * likeness) & (F.col("n") * likeness <= F.col("high"))).select("id", F.col("host").alias("class")).distinct()
 
@@ -139,11 +140,11 @@ def guests(placed: DataFrame, large: DataFrame, likeness: float) -> DataFrame:
 def hosted(guests_: DataFrame, classes: DataFrame, sizes: DataFrame, docs: DataFrame, key: str, text: str, size: int = SHINGLE, likeness: float = LIKENESS) -> DataFrame:
     """Links (a, b) of the guests (id, class) with texts of their host class and with its other guests: for each block of these one with each class that has a text alike. sizes: (id, n)."""
     hosts = guests_.select("id", F.col("class").alias("host"))
-    few = written(hosts.groupBy("host").agg(F.ceil(F.count("*") / GUESTS).alias("turns")), "turns")
+    few = written(hosts.groupBy("host").agg(F.ceil(F.count("*") / GUESTS).alias("turns")), "turns", guests_.count())
     placed = with_classes(hosts, classes)
     members = classes.select(F.col("node").alias("id"), F.col("component").alias("host")).hint("merge").join(few.hint("merge"), "host").select("id", "host", F.col("host").alias("class"))
     members = members.unionByName(placed).hint("merge").join(sizes.hint("merge"), "id")
-    parts = written(members.groupBy("host").agg(F.ceil(F.sum("n") / BLOCK).alias("parts")).join(few.hint("merge"), "host"), "parts")
+    parts = written(members.groupBy("host").agg(F.ceil(F.sum("n") / BLOCK).alias("parts")).join(few.hint("merge"), "host"), "parts", few.count())
     all_ = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
     inside = members.hint("merge").join(parts.hint("merge"), "host").select("id", "host", "class", F.pmod(F.xxhash64("id"), "parts").alias("part"), all_("turns").alias("turn"), F.lit(0).alias("role"))
     asking = placed.hint("merge").join(parts.hint("merge"), "host").select("id", "host", "class", all_("parts").alias("part"), F.pmod(F.xxhash64("id"), "turns").alias("turn"), F.lit(1).alias("role"))
@@ -211,7 +212,7 @@ def further_pairs(members: DataFrame, tried: DataFrame, likeness: float) -> Data
 
 def verified(pairs: DataFrame, docs: DataFrame, key: str, text: str, size: int = SHINGLE, likeness: float = LIKENESS) -> DataFrame:
     """The pairs (a, b) of pairs (id, lead) whose texts are alike."""
-    sizes = written(pairs.groupBy("lead").agg(F.ceil(F.count("*") / GROUP).alias("parts")), "sizes")
+    sizes = written(pairs.groupBy("lead").agg(F.ceil(F.count("*") / GROUP).alias("parts")), "sizes", pairs.count())
     members = pairs.join(sizes, "lead").select("id", "lead", F.pmod(F.xxhash64("id"), F.col("parts")).alias("part"), F.lit(1).alias("role"))
     heads = sizes.select(F.col("lead").alias("id"), "lead", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.lit(0).alias("role"))
     texts = text_of(docs, key, text=text).where(F.col(key).isNotNull()).withColumnsRenamed({key: "id", text: "body"})
@@ -231,29 +232,31 @@ def verified(pairs: DataFrame, docs: DataFrame, key: str, text: str, size: int =
     return map_rows(rows.repartition(n, "lead", "part").sortWithinPartitions("lead", "part", "role"), each, f"a {kind}, b {kind}", 1000)
 
 
-def linked(banded: DataFrame, shared: DataFrame, docs: DataFrame, key: str, text: str, size: int = SHINGLE, likeness: float = LIKENESS) -> DataFrame:
-    """(node, component): the classes of the texts (id, n, bands) by all links in their buckets and the given ones (a, b)."""
-    members = written(bucket_members(banded), "members")
-    tried = written(candidate_pairs(members, likeness), "pairs")
-    classes = written(components(verified(tried, docs, key, text, size, likeness).union(shared)), "classes")
-    more = lambda links: written(components(links.union(classes.select(F.col("node").alias("a"), F.col("component").alias("b")))), "classes")
+def linked(banded: DataFrame, texts: int, shared: DataFrame, docs: DataFrame, key: str, text: str, size: int = SHINGLE, likeness: float = LIKENESS) -> DataFrame:
+    """(node, component): the classes of the texts (id, n, bands), about so many, by all links in their buckets and the given ones (a, b)."""
+    members = bucket_members(banded, texts)
+    rows = members.count()
+    tried = written(candidate_pairs(members, likeness), "pairs", 2 * rows)
+    stored = lambda links: written(components(links, texts), "classes", texts)
+    classes = stored(verified(tried, docs, key, text, size, likeness).union(shared))
+    more = lambda links: stored(links.union(classes.select(F.col("node").alias("a"), F.col("component").alias("b"))))
     left = members.where((F.col("id") != F.col("first.id")) & (F.col("id") != F.col("other.id"))).select("band", "id", "n")
     none = F.array().cast(f"array<{members.schema['id'].dataType.simpleString()}>")
-    large = written(classes.groupBy(F.col("component").alias("class")).agg(F.count("*").alias("size")).where(F.col("size") >= LARGE), "large")
+    large = written(classes.groupBy(F.col("component").alias("class")).agg(F.count("*").alias("size")).where(F.col("size") >= LARGE), "large", texts)
     if not large.isEmpty():
-        placed = written(with_classes(left, classes), "placed")
+        placed = written(with_classes(left, classes), "placed", rows)
         left = placed.hint("merge").join(large, "class", "left_anti").select("band", "id", "n")
-        met = written(guests(placed, large, likeness), "guests")
+        met = written(guests(placed, large, likeness, rows), "guests", rows)
         links = written(hosted(met, classes, banded.select("id", "n"), docs, key, text, size, likeness), "links")
         if not links.isEmpty():
             classes = more(links)
-        hosts = written(met.groupBy("id").agg(F.collect_set("class").alias("hosts")), "hosts")
+        hosts = written(met.groupBy("id").agg(F.collect_set("class").alias("hosts")), "hosts", rows)
         left = left.hint("merge").join(hosts.hint("merge"), "id", "left").select("band", "id", "n", F.coalesce("hosts", none).alias("hosts"))
     else:
         left = left.withColumn("hosts", none)
     leaders = MORE
     while True:
-        now = written(open_members(left, classes, leaders), "open")
+        now = written(open_members(left, classes, leaders, rows), "open", rows)
         if now.isEmpty():
             return classes
         pairs = written(further_pairs(now, tried, likeness), "pairs")
@@ -267,12 +270,13 @@ def linked(banded: DataFrame, shared: DataFrame, docs: DataFrame, key: str, text
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, likeness: float = LIKENESS) -> DataFrame:
     """(key, class_id): the class of each document with a key."""
     signed = written(signatures(docs, key, text, size), "signatures").withColumnRenamed(key, "id")
-    same = written(signed.groupBy("digest").agg(F.min("id").alias("first")), "same")
+    texts = signed.count()
+    same = written(signed.groupBy("digest").agg(F.min("id").alias("first")), "same", texts)
     banded = signed.join(same, "digest").where(F.col("id") == F.col("first")).select("id", "n", "bands")
     # a key that has several texts links their classes
     own = signed.join(same, "digest").select(F.col("id").alias("a"), F.col("first").alias("b"))
     shared = own.groupBy("a").agg(F.min("b").alias("low"), F.max("b").alias("high")).where("low <> high").select(F.col("low").alias("a"), F.col("high").alias("b"))
-    classes = linked(banded, shared, docs, key, text, size, likeness)
+    classes = linked(banded, texts, shared, docs, key, text, size, likeness)
     return own.join(classes, F.col("b") == F.col("node"), "left").groupBy(F.col("a").alias(key)).agg(F.min(F.coalesce("component", "b")).alias("class_id"))
 
 

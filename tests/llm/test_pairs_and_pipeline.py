@@ -204,6 +204,35 @@ def test_written_tables_last_as_long_as_they_should(spark):
     assert not Path(before._written_to).exists() and not Path(result._written_to).exists()
 
 
+def test_small_tables_are_few_files(spark):
+    """Tables of a few rows are written in no more files than there are cores, larger ones in as many as their rows fill."""
+    from pathlib import Path
+
+    from tempoloom.llm import common
+
+    files = lambda path: len(list(Path(path).glob("part-*.parquet")))
+    many, cores = spark.range(200).repartition(50), spark.sparkContext.defaultParallelism
+    for rows, want in ((0, cores), (200, cores), (10 * common.ROWS_A_FILE, 10), (10**9, 50), (None, 50)):
+        table = common.written(many, "own", rows)
+        assert files(table._written_to) == want and table.count() == 200
+    texts = [" ".join(_words(random.Random(i // 3), 40)) for i in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    made = []
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "40")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        with common.temporary(spark):
+            got = {r.doc_id: r.class_id for r in neardup.near_duplicates(docs).collect()}
+            made = [(Path(p).name.split("-")[0], files(p)) for p in common._MADE.get() if Path(p).is_dir()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {i: i - i % 3 for i in range(300)}
+    assert {"same", "many", "shared", "members", "classes"} <= {name for name, _ in made}
+    assert all(n <= cores for name, n in made if name != "links"), made
+
+
 # ---- substring dedup ---------------------------------------------------------------
 
 
