@@ -201,10 +201,16 @@ class Block:
         return list({self.classes[i]: self.ids[i] for i in np.flatnonzero(like >= likeness).tolist() if self.classes[i] != own_class}.values())
 
 
-def further_pairs(members: DataFrame, tried: DataFrame, likeness: float) -> DataFrame:
-    """(id, lead) from open_members(): the texts of a bucket with its leaders of other classes, less the pairs tried before and those of guests of one class."""
+def beside_leaders(members: DataFrame, likeness: float) -> DataFrame:
+    """(id, lead) from open_members(), for each bucket: its texts with its leaders of other classes, less those of guests of one class. Two leaders meet once, not each the other."""
     leads = members.where("leads").select("band", F.col("id").alias("lead"), F.col("n").alias("m"), F.col("class").alias("its"), F.col("hosts").alias("other_hosts"))
-    both = members.hint("merge").join(leads, "band").where((F.col("class") != F.col("its")) & _long_enough("n", "m", likeness) & ~F.arrays_overlap("hosts", "other_hosts"))
+    once = ~F.col("leads") | (F.col("lead") < F.col("id"))
+    return members.hint("merge").join(leads, "band").where(once & (F.col("class") != F.col("its")) & _long_enough("n", "m", likeness) & ~F.arrays_overlap("hosts", "other_hosts")).select("id", "lead")
+
+
+def further_pairs(members: DataFrame, tried: DataFrame, likeness: float) -> DataFrame:
+    """(id, lead) from open_members(): the pairs of beside_leaders() that were not tried before."""
+    both = beside_leaders(members, likeness)
     both = both.groupBy(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).agg(F.min("lead").alias("lead"))
     before = tried.select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b"))
     return both.hint("merge").join(before, ["a", "b"], "left_anti").select(F.when(F.col("a") == F.col("lead"), F.col("b")).otherwise(F.col("a")).alias("id"), "lead")

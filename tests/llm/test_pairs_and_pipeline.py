@@ -120,6 +120,17 @@ def test_texts_alike_to_one_member_of_a_large_class(spark):
     assert got == want and max(list(want.values()).count(c) for c in set(want.values())) > neardup.LARGE
 
 
+def test_leaders_meet_each_other_once(spark):
+    """Of n texts of a bucket that all lead, n * (n - 1) / 2 pairs are made; with some that don't, each of these meets all leaders."""
+    schema = "band long, id long, n long, hosts array<long>, class long, leads boolean"
+    rows = [(1, i, 10, [], i, True) for i in range(20)] + [(2, i, 10, [], i, i < 35) for i in range(30, 42)]
+    members = spark.createDataFrame(rows, schema)
+    got = [tuple(r) for r in neardup.beside_leaders(members, 0.8).collect()]
+    want = {(i, k) for i in range(20) for k in range(i)} | {(30 + i, 30 + k) for i in range(12) for k in range(min(i, 5))}
+    assert len(got) == 190 + 10 + 35 and {(max(p), min(p)) for p in got} == {(max(p), min(p)) for p in want}
+    assert neardup.further_pairs(members, spark.createDataFrame([], "id long, lead long"), 0.8).count() == 235
+
+
 @settings(max_examples=200, deadline=None)
 @given(text=st.text(alphabet="ab \n\t\u00a0\u3000\u3001\x1fé東😀", max_size=60))
 def test_words_have_hashes_of_their_own(text):
